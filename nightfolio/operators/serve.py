@@ -141,9 +141,11 @@ def merge_run(
     serving = serving.select(*SERVING.fieldNames())
     if first is None or last is None:
         return upsert(serving, batch, GOLD_KEYS, overwrite, {"updated_at": now})
-    touched = F.col("stay_date").between(F.lit(first), F.lit(last))
-    merged = upsert(serving.filter(touched), batch, GOLD_KEYS, overwrite, {"updated_at": now})
-    return merged.unionByName(serving.filter(~touched))
+    night = F.col("stay_date")
+    inside = serving.filter(night.between(F.lit(first), F.lit(last)))
+    outside = serving.filter((night < F.lit(first)) | (night > F.lit(last)) | night.isNull())
+    merged = upsert(inside, batch, GOLD_KEYS, overwrite, {"updated_at": now})
+    return merged.unionByName(outside)
 
 
 def upsert_all(

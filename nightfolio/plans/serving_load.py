@@ -25,7 +25,7 @@ from nightfolio.schemas import AUDIT, SERVING
 from nightfolio.sources.files import read_layer, write_parquet
 from nightfolio.sources.jdbc import write_jdbc
 from nightfolio.sources.snapshots import read_snapshot, write_snapshot
-from nightfolio.sources.staging import clear_run, read_staged, stage_run
+from nightfolio.sources.staging import clear_all, clear_run, read_staged, stage_run
 
 JOB_NAME = "load_gold_stay_revenue"
 
@@ -90,13 +90,21 @@ def run_serving_load(
     return LoadCounts(run_id, gold_count, staged_count, merged_count)
 
 
-def run_upsert_load(spark: SparkSession, gold_path: str, serving_path: str) -> int:
-    """Merge the whole gold layer into the serving table without run bookkeeping."""
-    batch = serving_columns(read_layer(spark, gold_path))
-    require_keys(batch)
+def run_upsert_load(
+    spark: SparkSession, gold_path: str, staging_path: str, serving_path: str
+) -> int:
+    """Merge the whole gold layer into the serving table without run bookkeeping.
+
+    What was staged before is replaced, and the staging area is emptied at the end.
+    """
+    write_parquet(serving_columns(read_layer(spark, gold_path)), staging_path)
+    staged = read_layer(spark, staging_path)
+    require_keys(staged)
+    staged_count = staged.count()
     serving = read_snapshot(spark, serving_path, SERVING)
-    write_snapshot(upsert_all(serving, batch), serving_path)
-    return batch.count()
+    write_snapshot(upsert_all(serving, staged), serving_path)
+    clear_all(spark, staging_path)
+    return staged_count
 
 
 def run_append_load(spark: SparkSession, gold_path: str, table_path: str) -> int:

@@ -70,16 +70,22 @@ def dated_path(directory: str, prefix: str, business_date: str, extension: str)
 
 
 def write_reservations_csv(records: DataFrame, directory: str, business_date: str) -> str:
-    """Flat records as CSV part files with header, below one path per business date."""
+    """Flat records as CSV part files with header, below one path per business date.
+
+    ``ValueError`` when there are none.
+    """
     path = dated_path(directory, "reservations", business_date, "csv")
-    records.write.mode("overwrite").option("header", True).csv(path)
+    require_rows(records).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
 def write_events_json(events: DataFrame, directory: str, business_date: str) -> str:
-    """Nested events, one JSON object per line, below one path per business date."""
+    """Nested events, one JSON object per line, below one path per business date.
+
+    ``ValueError`` when there are none.
+    """
     path = dated_path(directory, "reservation_events", business_date, "json")
-    events.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    require_rows(events).write.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightfolio.schemas import STAGING
-from nightfolio.sources.snapshots import delete_directory
+from nightfolio.sources.snapshots import delete_directory, make_directory
 
 
 def run_directory(path: str, run_id: str) -> str:
@@ -18,16 +18,10 @@ def stage_run(staged: DataFrame, path: str, run_id: str) -> None:
     staged.drop("run_id").write.mode("overwrite").parquet(run_directory(path, run_id))
 
 
-def read_staged(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    """Rows staged by one run; only its partition is listed and read."""
-    columns = [name for name in STAGING.fieldNames()]
-    return (
-        spark.read.schema(STAGING)
-        .option("basePath", path)
-        .parquet(run_directory(path, run_id))
-        .filter(F.col("run_id") == run_id)
-        .select(*columns)
-    )
+def read_staged(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
+    """Rows staged by one run, from its partition only, or by all runs."""
+    staged = spark.read.schema(STAGING).parquet(path).select(*STAGING.fieldNames())
+    return staged if run_id is None else staged.filter(F.col("run_id") == run_id)
 
 
 def clear_run(spark: SparkSession, path: str, run_id: str) -> bool:
@@ -35,6 +29,7 @@ def clear_run(spark: SparkSession, path: str, run_id: str) -> bool:
     return delete_directory(spark, run_directory(path, run_id))
 
 
-def clear_all(spark: SparkSession, path: str) -> bool:
-    """Drop everything staged."""
-    return delete_directory(spark, path)
+def clear_all(spark: SparkSession, path: str) -> None:
+    """Drop everything staged; the empty staging area stays."""
+    delete_directory(spark, path)
+    make_directory(spark, path)

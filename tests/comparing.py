@@ -1,0 +1,43 @@
+"""Comparison of a Spark result with DuckDB on the same files, row for row."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def oracle_rows(sql: str, sf_dir: str) -> tuple[list[str], Counter]:
+    with duckdb.connect() as connection:
+        for name in TABLES:
+            connection.execute(
+                f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')"
+            )
+        cursor = connection.execute(sql)
+        columns = [item[0] for item in cursor.description]
+        return columns, counted(columns, cursor.fetchall())
+
+
+def spark_rows(df) -> tuple[list[str], Counter]:
+    return df.columns, counted(df.columns, [tuple(row) for row in df.collect()])
+
+
+def counted(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda position: columns[position])
+    return Counter(tuple(row[position] for position in order) for row in rows)
+
+
+def assert_same(df, sql: str, sf_dir: str) -> None:
+    names, actual = spark_rows(df)
+    expected_names, expected = oracle_rows(sql, sf_dir)
+    assert sorted(names) == sorted(expected_names)
+    missing, extra = expected - actual, actual - expected
+    assert not missing and not extra, (
+        f"{sum(missing.values())} rows missing, e.g. {list(missing)[:2]}; "
+        f"{sum(extra.values())} rows extra, e.g. {list(extra)[:2]}"
+    )

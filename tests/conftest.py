@@ -1,0 +1,26 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()

@@ -1,0 +1,21 @@
+"""Every registered query against its SQL at the smallest scale."""
+
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+from comparing import assert_same
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(spark, name):
+    assert_same(queries()[name](spark, SF_DIR), oracle_sql()[name], SF_DIR)
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0
