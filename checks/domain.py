@@ -15,7 +15,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightfolio.schemas import RAW_COLUMNS
+from nightfolio.schemas import RAW, RAW_COLUMNS
+from nightfolio.sources.snapshots import is_complete
 
 BUSINESS_DATE = "2026-05-11"
 
@@ -32,7 +33,7 @@ def _day(column: Column) -> Column:
     return column.cast("date").cast("string")
 
 
-def raw_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _reservations_of(lines: DataFrame) -> DataFrame:
     ship = F.col("l_shipdate")
     created = ship - F.make_dt_interval(F.lit(30), F.lit(0), F.lit(0), F.col("l_partkey"))
     updated = created + F.make_dt_interval(
@@ -79,7 +80,6 @@ def raw_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "created_ts": created.cast("string"),
         "updated_ts": updated.cast("string"),
     }
-    lines = table(spark, sf_dir, "lineitem")
     return lines.select(*[text[name].alias(name) for name in RAW_COLUMNS])
 
 
@@ -92,3 +92,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         shared = os.path.join(tempfile.gettempdir(), "nightfolio")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """A file of one row group is one task; share its rows out unless there are enough."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
+
+
+_written: dict[tuple[str, str], str] = {}
+
+
+def raw_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ``lineitem`` table as raw reservations, written once per application.
+
+    As a table on disk it is scanned like any landing zone: columns and filters of the
+    operators under test reach a file, not the expressions that make up the text.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written or not is_complete(spark, _written[key]):
+        path = scratch_path(spark, "raw")
+        lines = _spread(table(spark, sf_dir, "lineitem"))
+        _reservations_of(lines).write.parquet(path)
+        _written[key] = path
+    return spark.read.schema(RAW).parquet(_written[key])

@@ -26,6 +26,7 @@ from nightfolio.schemas import (
     AUDIT_COUNTS,
     BRONZE,
     GOLD_KEYS,
+    RAW,
     SERVING,
 )
 from nightfolio.sources import files, staging
@@ -420,7 +421,7 @@ def preview_gold(spark, sf):
 def csv_roundtrip(spark, sf):
     directory = scratch_path(spark, "csv")
     files.write_reservations_csv(raw_reservations(spark, sf), directory, BUSINESS_DATE)
-    return files.read_raw_reservations(spark, directory)
+    return files.read_raw_reservations(spark, directory, RAW)
 
 
 def json_roundtrip(spark, sf):

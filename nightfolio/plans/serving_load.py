@@ -66,11 +66,12 @@ def run_serving_load(
         stage_run(to_staging(gold, run_id, business_date), staging_path, run_id)
 
         staged = read_staged(spark, staging_path, run_id)
-        staged_count = scalar(run_count(staged, run_id))
+        staged_count, first, last = staged.agg(
+            F.count(F.lit(1)), F.min("stay_date"), F.max("stay_date")
+        ).first()
         require_equal_counts(gold_count, staged_count)
         require_keys(staged)
 
-        first, last = staged.agg(F.min("stay_date"), F.max("stay_date")).first()
         serving = read_snapshot(spark, serving_path, SERVING)
         write_snapshot(merge_run(serving, staged, run_id, first=first, last=last), serving_path)
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import types as T
 
+# The columns of the raw files.
 RAW_COLUMNS = (
     "reservation_id",
     "property_code",

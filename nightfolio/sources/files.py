@@ -8,22 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nightfolio.schemas import EVENT, RAW
+from nightfolio.schemas import EVENT
 
 
 def read_raw_reservations(
-    spark: SparkSession, path: str | list[str], schema: T.StructType = RAW
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
     """All CSV files below ``path``, with a header line each, as text columns.
 
-    One pass: nothing is read to infer types. Rows with too few fields get nulls.
+    Columns are named by the header of one file, so they may come in any order and
+    further ones are kept; no pass over the data is made to infer types. With a
+    schema, the header of every file must match it. Rows with too few fields get
+    nulls.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+    if schema is not None:
+        reader = reader.schema(schema).option("enforceSchema", False)
+    return reader.csv(path)
 
 
 def read_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -58,8 +59,12 @@ def write_rejects(rejected: DataFrame, count: int, path: str, keep_stale: bool =
     A clean run replaces earlier rejects by an empty layer. With ``keep_stale`` it
     leaves the directory alone instead, so that old rejects stay there.
     """
-    if count == 0 and keep_stale:
-        return False
+    if count == 0:
+        if keep_stale:
+            return False
+        # Known to be empty: no need to look through the data for it.
+        write_parquet(rejected.limit(0), path)
+        return True
     # Rejects are few and spread over all tasks: without this, one tiny file each.
     write_parquet(rejected.hint("rebalance"), path)
     return True

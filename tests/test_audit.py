@@ -1,0 +1,66 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from nightfolio.functions.stay import new_run_id, run_id
+from nightfolio.operators import audit
+from nightfolio.schemas import AUDIT, AUDIT_COUNTS
+
+FIRST = datetime(2026, 5, 1, 8)
+SECOND = datetime(2026, 5, 1, 9)
+THIRD = datetime(2026, 5, 2)
+
+
+def only(frame):
+    (row,) = frame.collect()
+    return row
+
+
+def test_a_run_from_start_to_success_and_again(spark):
+    started = audit.start_run(audit.empty_audit(spark), "r", "job", "2026-05-11", FIRST)
+    assert started.schema.fieldNames() == AUDIT.fieldNames()
+    row = only(started)
+    assert (row.status, row.job_name, row.business_date) == ("RUNNING", "job", date(2026, 5, 11))
+    assert (row.started_at, row.ended_at) == (FIRST, None)
+
+    finished = audit.finish_run(started, "r", SECOND, gold_count=5, staged_count=0)
+    row = only(finished)
+    assert (row.status, row.ended_at) == ("SUCCESS", SECOND)
+    assert (row.gold_count, row.staged_count, row.merged_count) == (5, 0, None)
+
+    again = only(audit.start_run(finished, "r", "other job", "2026-05-12", THIRD))
+    assert (again.status, again.started_at, again.ended_at) == ("RUNNING", THIRD, None)
+    # Known runs keep job, date and the counts of last time.
+    assert (again.job_name, again.business_date) == ("job", date(2026, 5, 11))
+    assert again.gold_count == 5
+
+
+def test_failure_keeps_counts_and_any_text(spark):
+    started = audit.start_run(audit.empty_audit(spark), "r", "job", "2026-05-11", FIRST)
+    finished = audit.finish_run(started, "r", SECOND, merged_count=7)
+    text = "it's \"broken\"; DROP TABLE runs; -- \\ é\n"
+    row = only(audit.fail_run(finished, "r", text, THIRD))
+    assert (row.status, row.ended_at, row.error_message) == ("FAILED", THIRD, text)
+    assert row.merged_count == 7
+    row = only(audit.finish_run(audit.fail_run(finished, "r", text, THIRD), "r", SECOND))
+    assert (row.status, row.error_message) == ("SUCCESS", None)
+    assert all(row[name] is None for name in AUDIT_COUNTS)
+
+
+def test_unknown_run_is_not_entered(spark):
+    started = audit.start_run(audit.empty_audit(spark), "r", "job", "2026-05-11", FIRST)
+    assert only(audit.finish_run(started, "x", SECOND)).status == "RUNNING"
+    assert only(audit.fail_run(started, "x", "no", SECOND)).status == "RUNNING"
+    with pytest.raises(TypeError, match="no_such_count"):
+        audit.finish_run(started, "r", no_such_count=1)
+
+
+def test_run_id(spark):
+    now = datetime(2026, 5, 10, 21, 15, 30)
+    expected = "gold_load_job_20260509_20260510_211530"
+    assert new_run_id("Gold-Load Job", "2026-05-09", now) == expected
+    row = spark.range(1).select(
+        run_id(F.lit("Gold-Load Job"), F.lit("2026-05-09"), F.lit("2026-05-10 21:15:30").cast("timestamp"))
+    ).first()
+    assert row[0] == expected

@@ -1,0 +1,123 @@
+import pytest
+from pyspark.sql import functions as F
+
+from builders import raw_frame
+from nightfolio.operators import quality
+from nightfolio.operators.ingest import to_bronze
+from nightfolio.operators.refine import to_silver
+from nightfolio.operators.revenue import to_gold
+
+CASES = [
+    ("good", {}, None),
+    ("property", {"property_code": None}, "PROPERTY_CODE_NULL"),
+    ("confirmation", {"confirmation_number": None}, "CONFIRMATION_NUMBER_NULL"),
+    ("arrival", {"arrival_date": None}, "ARRIVAL_DATE_NULL"),
+    ("departure", {"departure_date": None}, "DEPARTURE_DATE_NULL"),
+    ("same day", {"departure_date": "2026-06-01"}, "INVALID_STAY_DATES"),
+    ("backwards", {"departure_date": "2026-05-31"}, "INVALID_STAY_DATES"),
+    ("no rooms", {"room_count": "0"}, "INVALID_ROOM_COUNT"),
+    ("half a room", {"room_count": "0.5"}, None),
+    ("negative", {"total_revenue": "-0.01"}, "NEGATIVE_REVENUE"),
+    ("free", {"total_revenue": "0"}, None),
+    ("status", {"booking_status": "HOLD"}, "INVALID_BOOKING_STATUS"),
+    ("status case", {"booking_status": "booked"}, "INVALID_BOOKING_STATUS"),
+    ("earliest wins", {"property_code": None, "room_count": "-1"}, "PROPERTY_CODE_NULL"),
+    ("later pair", {"total_revenue": "-5", "booking_status": "X"}, "NEGATIVE_REVENUE"),
+    ("null status", {"booking_status": None}, None),
+    ("null rooms", {"room_count": None}, None),
+    ("null revenue", {"total_revenue": None}, None),
+    ("unreadable arrival", {"arrival_date": "oops"}, None),
+    ("unreadable departure", {"departure_date": "2026-02-30"}, None),
+    ("unreadable rooms", {"room_count": "two"}, None),
+]
+
+
+@pytest.fixture(params=["true", "false"], ids=["ansi", "lenient"])
+def either_mode(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def _case_frame(spark):
+    return raw_frame(spark, *[{**change, "guest_id": name} for name, change, _ in CASES])
+
+
+def test_first_broken_rule_decides(spark, either_mode):
+    checked = quality.with_reason(_case_frame(spark))
+    actual = {row.guest_id: row.validation_reason for row in checked.collect()}
+    assert actual == {name: code for name, _, code in CASES}
+
+
+def test_split_loses_nothing(spark):
+    checked = quality.with_reason(_case_frame(spark))
+    valid, rejected = quality.valid_rows(checked), quality.rejected_rows(checked)
+    assert valid.count() + rejected.count() == len(CASES)
+    counts = checked.agg(*quality.split_counts()).first()
+    assert counts.raw_count == len(CASES)
+    assert counts.valid_count == sum(code is None for _, _, code in CASES)
+    assert counts.rejected_count == sum(code is not None for _, _, code in CASES)
+
+
+def test_strict_rules_reject_what_the_standard_ones_let_through(spark):
+    checked = quality.with_reason(_case_frame(spark), quality.strict_rules())
+    actual = {row.guest_id: row.validation_reason for row in checked.collect()}
+    assert actual["good"] is None and actual["free"] is None
+    assert actual["null status"] == "BOOKING_STATUS_NULL"
+    assert actual["null rooms"] == actual["unreadable rooms"] == "ROOM_COUNT_MISSING"
+    assert actual["null revenue"] == "REVENUE_MISSING"
+    assert actual["unreadable arrival"] == "ARRIVAL_DATE_UNREADABLE"
+    assert actual["unreadable departure"] == "DEPARTURE_DATE_UNREADABLE"
+    assert actual["earliest wins"] == "PROPERTY_CODE_NULL"
+
+
+def test_unreadable_values_become_null_and_leave_gold(spark, either_mode):
+    raw = raw_frame(
+        spark,
+        {"guest_id": "good"},
+        {"guest_id": "arrival", "arrival_date": "oops"},
+        {"guest_id": "status", "booking_status": None},
+        {"guest_id": "rooms", "room_count": "2.0"},
+        {"guest_id": "timestamp", "created_ts": "yesterday"},
+    )
+    checked = quality.with_reason(to_bronze(raw, "2026-05-11"))
+    silver = to_silver(quality.valid_rows(checked))
+    assert dict(silver.dtypes)["arrival_date"] == "date"
+    assert dict(silver.dtypes)["room_count"] == "int"
+    assert dict(silver.dtypes)["total_revenue"] == "double"
+    assert dict(silver.dtypes)["updated_ts"] == "timestamp"
+    assert dict(silver.dtypes)["business_date"] == "string"
+    assert "validation_reason" not in silver.columns
+    rows = {row.guest_id: row for row in silver.collect()}
+    assert len(rows) == 5
+    assert rows["arrival"].arrival_date is None
+    assert rows["rooms"].room_count == 2
+    assert rows["timestamp"].created_ts is None
+    gold = to_gold(silver).collect()
+    # The good row, the one with '2.0' rooms and the one without created_ts, all one id.
+    assert [(row.reservation_count, row.booked_rooms) for row in gold] == [(1, 6), (1, 6)]
+
+
+def test_bronze_keeps_columns_and_adds_lineage(spark):
+    bronze = to_bronze(raw_frame(spark, {}), "2026-05-11")
+    assert bronze.columns[-3:] == ["business_date", "bronze_ingestion_ts", "source_system"]
+    row = bronze.first()
+    assert row.business_date == "2026-05-11"
+    assert row.source_system == "dummy_reservation_generator"
+    assert row.bronze_ingestion_ts is not None
+
+
+def test_key_violations(spark):
+    frame = spark.createDataFrame(
+        [("a", 1), ("a", 1), ("a", 2), (None, 3), ("b", None)], "p string, d int"
+    )
+    found = quality.key_violations(frame, ["p", "d"]).collect()
+    assert {(row.p, row.d, row.row_count) for row in found} == {
+        ("a", 1, 2),
+        (None, 3, 1),
+        ("b", None, 1),
+    }
+    with pytest.raises(ValueError, match="keys"):
+        quality.require_keys(frame, ["p", "d"])
+    quality.require_keys(frame.filter(F.col("d") == 2), ["p", "d"])

@@ -1,0 +1,134 @@
+from collections import Counter
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from nightfolio.operators import synth
+from nightfolio.operators.ingest import flatten_events, to_events
+from nightfolio.plans.synthesis import synthesise_and_store
+from nightfolio.schemas import RAW_COLUMNS
+from nightfolio.sources.files import (
+    read_events,
+    read_raw_reservations,
+    write_events_json,
+    write_reservations_csv,
+)
+
+DAY = "2026-05-11"
+N = 20000
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    frame, _ = synth.synthesise(spark, N, DAY, seed=1)
+    return frame.collect()
+
+
+def test_every_value_in_its_range(records):
+    start = date.fromisoformat(DAY)
+    assert [row.reservation_id for row in records] == [f"RES{100000 + i}" for i in range(1, N + 1)]
+    for row in records:
+        assert row.confirmation_number[3:] == row.guest_id[5:] == row.reservation_id[3:]
+        arrival, departure = map(date.fromisoformat, (row.arrival_date, row.departure_date))
+        nights = (departure - arrival).days
+        assert 1 <= (arrival - start).days <= 60 and 1 <= nights <= 5
+        assert 1 <= row.room_count <= 4
+        prefix = {"MEMBER": "MEM", "PREPAY": "PPR"}.get(row.rate_plan_code, row.rate_plan_code)
+        assert row.price_plan_code in (f"{prefix}_STD", f"{prefix}_DLX")
+        if row.booking_status == "CANCELLED":
+            assert row.total_revenue == 0
+        else:
+            rate, rest = divmod(row.total_revenue, nights * row.room_count)
+            assert rest == 0 and 3500 <= rate <= 15000
+        created = datetime.fromisoformat(row.created_ts)
+        updated = datetime.fromisoformat(row.updated_ts)
+        assert created.date() == start
+        assert timedelta(0) <= updated - created <= timedelta(minutes=180)
+        assert row.currency == "INR"
+
+
+def test_values_are_spread_evenly_and_independently(records):
+    def near(counter, kinds):
+        assert len(counter) == kinds
+        for count in counter.values():
+            assert abs(count - N / kinds) < 6 * (N / kinds) ** 0.5
+
+    near(Counter(row.property_code for row in records), 11)
+    near(Counter(row.rate_plan_code for row in records), 5)
+    near(Counter(row.price_plan_code for row in records), 10)
+    near(Counter(row.room_type for row in records), 5)
+    near(Counter(row.booking_status for row in records), 3)
+    near(Counter(row.arrival_date for row in records), 60)
+    near(Counter((row.property_code, row.room_count) for row in records), 44)
+    near(Counter((row.room_type, row.booking_status, row.rate_plan_code) for row in records), 75)
+    # Neighbouring rows.
+    pairs = zip(records, records[1:])
+    near(Counter((a.room_type, b.room_type) for a, b in pairs), 25)
+
+
+def test_a_seed_decides_the_data(spark):
+    def some(seed, **options):
+        return synth.synthesise(spark, 50, DAY, seed=seed, **options)[0].collect()
+
+    assert some(3) == some(3) == some(3, partitions=7)
+    assert some(3) != some(4)
+    assert some(None) != some(None)
+    assert {row.property_code for row in some(3, property_code="GOA009")} == {"GOA009"}
+
+
+def test_rows_far_apart_differ(spark):
+    indexes = spark.createDataFrame([(1,), (1 + 2147483647,), (1 + 5 * 2147483647,)], "index bigint")
+    rows = synth.reservations_for(indexes, DAY).drop(
+        "reservation_id", "confirmation_number", "guest_id"
+    )
+    assert rows.distinct().count() == 3
+
+
+@pytest.mark.parametrize("count, day", [(0, DAY), (-1, DAY), (1, "11.05.2026"), (1, "2026-13-01")])
+def test_bad_requests(spark, count, day):
+    with pytest.raises(ValueError):
+        synth.synthesise(spark, count, day)
+
+
+def test_event_of_a_record(spark):
+    records, events = synth.synthesise(spark, 30, DAY, seed=5)
+    for record, event in zip(records.collect(), events.collect()):
+        assert event.eventId == f"EVT_{record.reservation_id}"
+        assert event.eventType == f"Reservation{record.booking_status.title()}"
+        assert event.eventTimestamp == record.updated_ts.replace(" ", "T")
+        assert event.confirmationNumber.value == record.confirmation_number
+        assert event.reservationDetails.totalRevenue == record.total_revenue
+        assert event.reservationDetails.status == record.booking_status
+
+
+def test_stored_files_read_back(spark, tmp_path):
+    csv, json = str(tmp_path / "csv"), str(tmp_path / "json")
+    summary = synthesise_and_store(spark, 40, DAY, csv, json, seed=5, partitions=3)
+    assert summary["csv_file_path"] == f"{csv}/reservations_20260511.csv"
+    assert summary["json_file_path"] == f"{json}/reservation_events_20260511.json"
+    assert summary["sample_record"]["reservation_id"] == "RES100001"
+    assert summary["sample_event"]["reservationDetails"]["reservationId"] == "RES100001"
+    assert (summary["reservation_count"], summary["property_code"]) == (40, "RANDOM")
+
+    records, _ = synth.synthesise(spark, 40, DAY, seed=5)
+    text = records.select(*[F.col(name).cast("string") for name in RAW_COLUMNS])
+    from_csv = read_raw_reservations(spark, csv)
+    assert from_csv.columns == list(RAW_COLUMNS)
+    assert sorted(from_csv.collect()) == sorted(text.collect())
+    from_json = flatten_events(read_events(spark, json))
+    assert sorted(from_json.drop("created_ts").collect()) == sorted(
+        text.drop("created_ts").collect()
+    )
+    # The raw text of a number survives the way through an event.
+    assert read_events(spark, json).filter("reservationDetails.totalRevenue like '%.%'").isEmpty()
+
+
+def test_nothing_to_write(spark, tmp_path):
+    records, events = synth.synthesise(spark, 1, DAY, seed=5)
+    with pytest.raises(ValueError):
+        write_reservations_csv(records.limit(0), str(tmp_path / "csv"), DAY)
+    with pytest.raises(ValueError):
+        write_events_json(to_events(records.limit(0)), str(tmp_path / "json"), DAY)
+    assert not list(tmp_path.iterdir())
+    assert events.count() == 1
