@@ -423,7 +423,9 @@ FROM synthetic""",
     "layer_roundtrip": f"WITH {BRONZE} SELECT * FROM bronze",
     "gold_by_property": f"WITH {GOLD} {_GOLD_OUT}",
     "rejects_conditional": _REJECTED,
-    "rejects_cleared": f"WITH {CHECKED} SELECT * FROM checked WHERE FALSE",
+    "rejects_cleared": f"""WITH {CHECKED}
+SELECT count(validation_reason) AS after_rejects, CAST(0 AS BIGINT) AS after_clean_run
+FROM checked""",
     "batch_gold": f"""WITH {GOLD}
 SELECT property_code, {_DAY}, reservation_count, booked_rooms, total_revenue, adr FROM gold""",
     "batch_counts": f"""WITH {GOLD}, counted AS (
@@ -447,7 +449,8 @@ SELECT run_id, 'load_gold_stay_revenue' AS job_name, '2026-05-11' AS business_da
 FROM runs""",
     "upsert_load": f"WITH {MERGED} {_UPSERT_SELECT}",
     "append_to_files": f"WITH {TWO_LOADS} {_APPENDED}",
-    "staging_cleared_run": f"WITH {STAGED} {_STAGED_OUT} WHERE run_id = 'run_two'",
+    "staging_cleared_run": f"""WITH {STAGED}
+{_STAGED_OUT.replace("FROM", f", {_FIRST_AT} AS staged_at FROM")} WHERE run_id = 'run_two'""",
     "truncate_stage": f"""WITH {TWO_LOADS}, staged AS ({_staging("run_other", "early")})
-{_STAGED_OUT}""",
+{_STAGED_OUT.replace("FROM", f", {_FIRST_AT} AS staged_at FROM")}""",
 }

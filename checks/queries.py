@@ -456,13 +456,18 @@ def rejects_conditional(spark, sf):
 
 
 def rejects_cleared(spark, sf):
-    """Rejects written, then replaced by those of a clean run: none."""
+    """Rejected rows on disk after a run with rejects and after a clean one."""
     path = scratch_path(spark, "rejects")
     checked = _checked(spark, sf)
     rejected = quality.rejected_rows(checked)
     files.write_rejects(rejected, rejected.count(), path)
+    after_first = files.read_layer(spark, path, checked.schema).count()
     files.write_rejects(rejected.limit(0), 0, path)
-    return portable(files.read_layer(spark, path, checked.schema))
+    left = files.read_layer(spark, path, checked.schema)
+    return left.agg(
+        F.lit(after_first).cast("bigint").alias("after_rejects"),
+        F.count(F.lit(1)).alias("after_clean_run"),
+    )
 
 
 def _run_batch(spark: SparkSession, sf: str) -> tuple[str, object]:
@@ -578,7 +583,9 @@ def append_to_files(spark, sf):
 def _stage_both(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "staging")
     for name, gold in zip((FIRST_RUN, SECOND_RUN), _two_loads(spark, sf)):
-        staging.stage_run(serve.to_staging(gold, name, BUSINESS_DATE), path, name)
+        staging.stage_run(
+            serve.to_staging(gold, name, BUSINESS_DATE), path, name, _at(FIRST_MERGE_AT)
+        )
     return path
 
 
@@ -594,7 +601,8 @@ def truncate_stage(spark, sf):
     path = _stage_both(spark, sf)
     staging.clear_all(spark, path)
     early, _ = _two_loads(spark, sf)
-    staging.stage_run(serve.to_staging(early, OTHER_RUN, BUSINESS_DATE), path, OTHER_RUN)
+    staged = serve.to_staging(early, OTHER_RUN, BUSINESS_DATE)
+    staging.stage_run(staged, path, OTHER_RUN, _at(FIRST_MERGE_AT))
     return portable(staging.read_staged(spark, path))
 
 

@@ -88,6 +88,9 @@ STAGING = T.StructType(
     ]
 )
 
+# As stored: with the time each row came in.
+STAGED = T.StructType(STAGING.fields + [T.StructField("staged_at", T.TimestampType())])
+
 SERVING = T.StructType(
     [
         T.StructField("property_code", T.StringType()),

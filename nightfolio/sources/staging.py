@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightfolio.schemas import STAGING
+from nightfolio.operators.serve import with_staged_at
+from nightfolio.schemas import STAGED
 from nightfolio.sources.snapshots import delete_directory, make_directory
 
 
@@ -13,14 +16,17 @@ def run_directory(path: str, run_id: str) -> str:
     return f"{path.rstrip('/')}/run_id={run_id}"
 
 
-def stage_run(staged: DataFrame, path: str, run_id: str) -> None:
+def stage_run(
+    staged: DataFrame, path: str, run_id: str, at: Column | datetime | None = None
+) -> None:
     """Replace what is staged for this run; other runs stay. Repeating it is harmless."""
-    staged.drop("run_id").write.mode("overwrite").parquet(run_directory(path, run_id))
+    rows = with_staged_at(staged, at).drop("run_id")
+    rows.write.mode("overwrite").parquet(run_directory(path, run_id))
 
 
 def read_staged(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Rows staged by one run, from its partition only, or by all runs."""
-    staged = spark.read.schema(STAGING).parquet(path).select(*STAGING.fieldNames())
+    staged = spark.read.schema(STAGED).parquet(path).select(*STAGED.fieldNames())
     return staged if run_id is None else staged.filter(F.col("run_id") == run_id)
 
 

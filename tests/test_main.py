@@ -1,0 +1,29 @@
+import pytest
+
+from nightfolio.__main__ import run
+from nightfolio.sources.files import read_layer
+
+
+def test_jobs_in_a_row(spark, tmp_path, capsys):
+    def at(*names):
+        return [part for name in names for part in (f"--{name}", str(tmp_path / name))]
+
+    day = ["--business-date", "2026-05-11"]
+    made = run(spark, ["synthesise", *at("csv", "json"), *day, "--count", "60", "--seed", "3"])
+    assert made["reservation_count"] == 60
+    layers = at("bronze", "silver", "rejected", "gold")
+    batch = run(spark, ["batch", "--raw", made["csv_file_path"], *layers, *day])
+    assert (batch["raw"], batch["rejected"]) == (60, 0)
+    loaded = run(spark, ["load", *at("gold", "staging", "serving", "audit"), *day])
+    assert loaded["merged"] == loaded["gold"] == batch["gold"]
+    upserted = run(spark, ["upsert", *at("gold", "staging", "serving")])
+    assert upserted["rows"] == batch["gold"]
+    assert run(spark, ["append", *at("gold", "table")])["rows"] == batch["gold"]
+    assert read_layer(spark, str(tmp_path / "table")).count() == batch["gold"]
+    assert run(spark, ["preview", *at("bronze", "silver", "gold")]) is None
+    assert "RES1000" in capsys.readouterr().out
+
+
+def test_unknown_job(spark):
+    with pytest.raises(SystemExit):
+        run(spark, ["serve"])
