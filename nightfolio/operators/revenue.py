@@ -48,7 +48,8 @@ def _within(
     if last is not None:
         stays = stays.filter(F.col("arrival_date") <= F.lit(last))
         end = F.least(end, F.lit(last))
-    return stays, start, end
+    # A sequence whose start lies behind its end would run backwards.
+    return stays.filter(start <= end), start, end
 
 
 def stay_nights(

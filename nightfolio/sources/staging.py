@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from nightfolio.sources.snapshots import delete_directory, make_directory
 
 
 def run_directory(path: str, run_id: str) -> str:
+    if not re.fullmatch(r"[\w.-]+", run_id, re.ASCII):
+        raise ValueError(f"a run id is made of letters, digits, '_', '.' and '-', not {run_id!r}")
     return f"{path.rstrip('/')}/run_id={run_id}"
 
 

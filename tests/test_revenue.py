@@ -82,7 +82,7 @@ def stays():
             st.one_of(st.none(), st.integers(min_value=0, max_value=100000)),
         ),
         min_size=1,
-        max_size=25,
+        max_size=60,
     )
 
 
@@ -102,7 +102,7 @@ def as_rows(drawn):
 
 
 @settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(drawn=stays())
 def test_gold_equals_brute_force(spark, drawn):
@@ -178,7 +178,16 @@ def test_backward_and_empty_stays_have_no_nights(spark):
         ("R1", "P", day, day, "BOOKED", 1, 1.0),
         ("R2", "P", day, day - timedelta(days=3), "BOOKED", 1, 1.0),
     ]
-    assert to_gold(silver_frame(spark, rows)).count() == 0
+    silver = silver_frame(spark, rows)
+    assert to_gold(silver).count() == 0
+    assert stay_nights(silver).count() == 0 and reservations_per_night(silver).count() == 0
+
+
+def test_empty_range_has_no_nights(spark):
+    day = date(2026, 6, 5)
+    rows = [("R1", "P", day, day + timedelta(days=20), "BOOKED", 1, 1.0)]
+    inverted = {"first": day + timedelta(days=9), "last": day + timedelta(days=5)}
+    assert to_gold(silver_frame(spark, rows), **inverted).count() == 0
 
 
 def test_one_id_and_property_with_a_third_of_all_rows(spark):

@@ -131,6 +131,8 @@ def test_staging_area(spark, tmp_path):
     assert staging.read_staged(spark, path).count() == 2
     staging.clear_all(spark, path)
     assert staging.read_staged(spark, path).count() == 0
+    with pytest.raises(ValueError, match="run id"):
+        staging.clear_run(spark, path, "..//run")
 
 
 class RecordingWriter:
