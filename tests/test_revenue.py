@@ -81,7 +81,7 @@ def stays():
             st.one_of(st.none(), st.integers(min_value=1, max_value=4)),
             st.one_of(st.none(), st.integers(min_value=0, max_value=100000)),
         ),
-        min_size=1,
+        min_size=15,
         max_size=60,
     )
 
