@@ -2,19 +2,21 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 from comparing import assert_same
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    assert_same(queries()[name](spark, SF_DIR), oracle_sql()[name], SF_DIR)
+    assert_same(QUERIES[name](spark, SF_DIR), ORACLE_SQL[name], SF_DIR)
 
 
 def test_entry(spark):
