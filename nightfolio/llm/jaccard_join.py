@@ -9,8 +9,8 @@ drops pairs whose sizes and positions keep the overlap below the bound. What is
 decided by the exact overlap of the whole sets.
 
 Documents with equal sets are one row of the matrix. In a column with more than ``CROWD``
-rows only neighbours by size and a leader are paired at first; the column is paired
-further, tile by tile, only where its rows are still in different components. So a group
+rows only leaders are paired with the others at first; the column is paired further, tile
+by tile, only where its rows are still in different components. So a group
 of copies costs about its size, and no link between components is lost.
 
 Defined results: a null or empty text and one of white space have no n-gram and link with
@@ -215,8 +215,13 @@ def _run_lengths(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ends - np.arange(len(keys)) - 1, np.repeat(lengths, lengths)
 
 
-def _pairs_of(docs, sizes, places, after, lengths, percent: int):
-    """Pairs within runs sorted by size: all of small runs, neighbours and leaders of others."""
+def _pairs_of(keys, docs, sizes, places, after, lengths, percent: int):
+    """Pairs within runs of one column: all of small runs, leaders with the rest of others.
+
+    Rows of a crowded column fall into classes whose sizes are within the bound. Where the
+    column stands earliest in its document, most of the document can still be shared: the
+    first two rows of a class by place are its leaders, for their own class and the next.
+    """
     left, right = [], []
 
     def add(a, b):
@@ -226,27 +231,28 @@ def _pairs_of(docs, sizes, places, after, lengths, percent: int):
         right.append(b[good])
 
     for step in range(1, CROWD):
-        a = np.flatnonzero((after >= step) & ((lengths <= CROWD) | (step == 1)))
+        a = np.flatnonzero((after >= step) & (lengths <= CROWD))
         if not len(a):
             break
         add(a, a + step)
     crowded = np.flatnonzero(lengths > CROWD)
     if len(crowded):
-        first = crowded - (lengths[crowded] - 1 - after[crowded])
-        # The leader is the first row of the run whose size is within the bound.
-        leader = first.copy()
-        for begin in np.unique(first):
-            own = sizes[begin : begin + lengths[begin]]
-            at = np.searchsorted(crowded, begin)
-            lead = 0
-            while lead < len(own):
-                out = np.searchsorted(own, own[lead] * 100 // percent, side="right")
-                leader[at + lead : at + out] = begin + lead
-                lead = out
-        add(leader, crowded)
-    return np.concatenate(left) if left else np.empty(0, int), (
-        np.concatenate(right) if right else np.empty(0, int)
-    )
+        run = np.cumsum(np.concatenate(([False], keys[crowded][1:] != keys[crowded][:-1])))
+        level = (np.log(sizes[crowded]) / np.log(100 / percent)).astype(np.int64)
+        group = run * 1024 + level
+        order = np.lexsort((docs[crowded], places[crowded], group))
+        ranked = group[order]
+        names, first, many = np.unique(ranked, return_index=True, return_counts=True)
+        for shift in (-1, 0, 1):
+            at = np.searchsorted(names, group + shift)
+            there = (at < len(names)) & (names[np.minimum(at, len(names) - 1)] == group + shift)
+            for rank in (0, 1):
+                some = np.flatnonzero(there)
+                some = some[many[at[some]] > rank]
+                add(crowded[order[first[at[some]] + rank]], crowded[some])
+    if not left:
+        return np.empty(0, int), np.empty(0, int)
+    return np.concatenate(left), np.concatenate(right)
 
 
 _PAIR_COLUMNS = ["a", "b", "overlap", "key", "doc", "n", "place"]
@@ -273,7 +279,7 @@ def _product(percent: int):
             return
         keys, docs, sizes, places = keys[order], docs[order], sizes[order], places[order]
         after, lengths = _run_lengths(keys)
-        left, right = _pairs_of(docs, sizes, places, after, lengths, percent)
+        left, right = _pairs_of(keys, docs, sizes, places, after, lengths, percent)
         a, b = np.minimum(docs[left], docs[right]), np.maximum(docs[left], docs[right])
         if len(a):
             order = np.lexsort((b, a))
@@ -373,11 +379,9 @@ def _verify(words: int, percent: int):
 
 
 def _decided(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``pairs`` with whether they link."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    used = stored(texts.join(involved, "doc_id", "left_semi"), "pair-texts")
-    first = used.select(F.col("doc_id").alias("a"), F.col("text").alias("first"))
-    second = used.select(F.col("doc_id").alias("b"), F.col("text").alias("second"))
+    """``pairs`` with whether they link; ``texts`` has the texts of their documents."""
+    first = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("first"))
+    second = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("second"))
     return (
         pairs.join(first, "a")
         .join(second, "b")
@@ -424,7 +428,14 @@ def join_components(
         "products",
     )
     pairs = products.filter("a is not null").groupBy("a", "b").agg(F.sum("overlap").alias("overlap"))
-    first = stored(_decided(pairs.select("a", "b"), present, words, percent), "first-pairs")
+    involved = products.select(F.explode(F.array("a", "b", "doc")).alias("doc_id")).filter(
+        "doc_id is not null"
+    )
+    # The texts move once, in every case: a broadcast here would hang on the number of copies.
+    used = stored(
+        present.join(involved.distinct().hint("shuffle_hash"), "doc_id", "left_semi"), "used"
+    )
+    first = stored(_decided(pairs.select("a", "b"), used, words, percent), "first-pairs")
     links = first.filter("linked").select("a", "b")
     found = components(links)
 
@@ -460,7 +471,7 @@ def join_components(
     )
     rest = stored(tiled.join(first.select("a", "b"), ["a", "b"], "left_anti"), "open-pairs")
     if not rest.isEmpty():
-        more = _decided(rest, present, words, percent).filter("linked").select("a", "b")
+        more = _decided(rest, used, words, percent).filter("linked").select("a", "b")
         links = stored(links.union(more), "links")
         found = components(links)
 
