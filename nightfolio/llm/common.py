@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import pickle
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,23 @@ def _quietly_delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+class Shared:
+    """A broadcast value of a class of this package, pickled by value like its functions."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._value = None
+
+    def __getstate__(self):
+        return {"_sent": self._sent, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = pickle.loads(self._sent.value)
+        return self._value
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read from there."""
     path = scratch_path(df.sparkSession, name)
@@ -61,6 +80,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tree_reduced(parts: DataFrame, key: str, merge, schema: str, fan: int = 64) -> DataFrame:
+    """Merges the rows of each ``key``, at most ``fan`` in one group, level by level.
+
+    ``part`` numbers the rows of a key; ``merge`` gives one row for a frame, with any of
+    the frame's numbers.
+    """
+    last = parts.agg(F.max("part").alias("n")).first()["n"]
+    rows = last + 1 if last is not None else 0
+    while rows > 1:
+        rows = -(-rows // fan)
+        parts = (
+            parts.withColumn("part", F.floor(F.col("part") / fan))
+            .groupBy(key, "part")
+            .applyInPandas(merge, schema)
+        )
+    return parts
+
+
 def uniform(*columns) -> F.Column:
     """A number of [0, 1) that only the columns' values decide."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import NOT_ALNUM, WordCodes, mixed
+from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, mixed
 
 #: 1 is a place whose word is read, 0 one that is ignored. Fixed values.
 MASKS = ("1110100111", "1101011011", "1011100101")
@@ -239,7 +239,7 @@ def index_of(
     index = SeedIndex(sorted(named, key=lambda r: (r[0], r[1].tobytes())), masks)
     if len(index.codes) > limit:
         return None
-    return benchmark.sparkSession.sparkContext.broadcast(index)
+    return Shared(benchmark.sparkSession, index)
 
 
 def overlaps(

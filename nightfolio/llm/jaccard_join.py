@@ -28,10 +28,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import WordCodes, components, mixed, stored
+from nightfolio.llm.common import WordCodes, components, mixed, stored, tree_reduced
 
 WORDS = 5
 PERCENT = 80
@@ -65,7 +66,8 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def _signatures(words: int):
-    """For each document its set's size and digest; at the end the bucket counts."""
+    """For each document its set's size and digest; at the end the bucket counts, with the
+    number of the task as ``doc_id``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCodes()
@@ -99,7 +101,8 @@ def _signatures(words: int):
         if counts.any():
             parts = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, SEGMENTS)]
             yield pa.record_batch(
-                [pa.nulls(SEGMENTS, pa.int64())] * 4
+                [pa.array([TaskContext.get().partitionId()] * SEGMENTS, pa.int64())]
+                + [pa.nulls(SEGMENTS, pa.int64())] * 3
                 + [pa.array(range(SEGMENTS), pa.int32()), pa.array(parts, pa.binary())],
                 names,
             )
@@ -112,17 +115,27 @@ def _add_counts(frame: pd.DataFrame) -> pd.DataFrame:
     for part in frame["counts"]:
         total += np.frombuffer(zlib.decompress(part), np.uint32)
     total = np.minimum(total, (1 << 31) - 1).astype(np.uint32)
-    return pd.DataFrame({"segment": frame["segment"].iloc[:1], "counts": [total.tobytes()]})
+    return pd.DataFrame(
+        {
+            "segment": frame["segment"].iloc[:1].to_numpy(),
+            "part": frame["part"].iloc[:1].to_numpy(),
+            "counts": [zlib.compress(total.tobytes(), 1)],
+        }
+    )
 
 
 def _bucket_counts(signatures: DataFrame) -> np.ndarray:
     """How many n-grams of all documents fall into each bucket, at most 2^20."""
-    parts = signatures.filter("segment is not null").select("segment", "counts")
-    rows = parts.groupBy("segment").applyInPandas(_add_counts, "segment int, counts binary")
+    parts = signatures.filter("segment is not null").select(
+        "segment", F.col("doc_id").alias("part"), "counts"
+    )
+    rows = tree_reduced(parts, "segment", _add_counts, "segment int, part long, counts binary")
     total = np.zeros(1 << BUCKET_BITS, np.uint32)
     width = len(total) // SEGMENTS
     for row in rows.collect():
-        total[row["segment"] * width :][:width] = np.frombuffer(row["counts"], np.uint32)
+        total[row["segment"] * width :][:width] = np.frombuffer(
+            zlib.decompress(row["counts"]), np.uint32
+        )
     return np.minimum(total, (1 << 20) - 1)
 
 

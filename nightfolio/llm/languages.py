@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import uniform
+from nightfolio.llm.common import Shared, uniform
 
 UNKNOWN = "und"
 FIT_DOCUMENTS = 500
@@ -361,8 +361,7 @@ def predictor(model):
 
 def fitted_on(docs: DataFrame):
     """The model of a table's labelled rows, as a broadcast variable."""
-    model = fit(training_rows(docs))
-    return docs.sparkSession.sparkContext.broadcast(model)
+    return Shared(docs.sparkSession, fit(training_rows(docs)))
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightfolio.llm import decontaminate, jaccard_join, languages, packing, pii
+from nightfolio.llm import (
+    blob_ledger,
+    decontaminate,
+    embedding_lsh,
+    jaccard_join,
+    languages,
+    masked_lm,
+    packing,
+    pii,
+    warc,
+)
+from nightfolio.llm.common import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,12 +40,42 @@ def op4_crf_language(spark, sf):
     return languages.identify(_table(spark, sf, "documents"))
 
 
+def op5_blob_ledger(spark, sf):
+    """Scans into a new ledger, so every blob is unseen."""
+    return blob_ledger.report(_table(spark, sf, "documents"), scratch_path(spark, "ledger"))
+
+
 def op7_jaccard_join(spark, sf):
     return jaccard_join.join_components(_table(spark, sf, "documents"))
 
 
+def op8_masked_lm(spark, sf):
+    return masked_lm.score(_table(spark, sf, "documents"))
+
+
+def op9_cross_polytope(spark, sf):
+    return embedding_lsh.near_duplicates(_table(spark, sf, "embeddings"))
+
+
+def op10_dictionary_warc(spark, sf):
+    return warc.round_trip(_table(spark, sf, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op10_dictionary_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n
+            FROM pages
+        ), m AS (
+            SELECT html, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY html
+        )
+        SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, sha1(p.html) AS payload_digest,
+            CASE WHEN m.top > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN m.top > p.page_id THEN m.top END AS refers_to
+        FROM p LEFT JOIN m ON p.html = m.html
+    """,
+}
