@@ -15,6 +15,7 @@ from nightfolio.llm import (
     masked_lm,
     packing,
     pii,
+    transcripts,
     warc,
 )
 from nightfolio.llm.common import scratch_path
@@ -45,6 +46,10 @@ def op5_blob_ledger(spark, sf):
     return blob_ledger.report(_table(spark, sf, "documents"), scratch_path(spark, "ledger"))
 
 
+def op6_hmm_transcripts(spark, sf):
+    return transcripts.recovered(_table(spark, sf, "conversations"))
+
+
 def op7_jaccard_join(spark, sf):
     return jaccard_join.join_components(_table(spark, sf, "documents"))
 
