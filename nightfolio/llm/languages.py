@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +36,9 @@ FEATURE_BITS = 15
 EPOCHS = 3
 SEQUENCE = 48
 #: Words that go through one forward-backward pass together.
-PASS_WORDS = 1_000_000
-KNOWN_WORDS = 300_000
+PASS_WORDS = 400_000
+#: Words whose emissions a task keeps for when they come again.
+KNOWN_WORDS = 150_000
 _FACTOR = 0x9E3779B1
 
 
@@ -139,9 +140,12 @@ def marginal_sums(
     time = np.arange(len(rank)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     inside = np.empty(len(rank), np.int64)
     inside[offsets[time] + rank] = np.repeat(starts, sizes) + time
+    del rank, time
     local = emissions[inside]
-    local = np.exp(local - local.max(axis=1, keepdims=True)).astype(np.float64)
-    step_weights = np.exp(transitions - transitions.max()).astype(np.float64)
+    del inside
+    local -= local.max(axis=1, keepdims=True)
+    np.exp(local, out=local)
+    step_weights = np.exp(transitions - transitions.max()).astype(local.dtype)
     ahead = np.empty_like(local)
     before = local[: active[0]] / local[: active[0]].sum(axis=1, keepdims=True)
     ahead[: active[0]] = before
@@ -151,7 +155,7 @@ def marginal_sums(
         now /= now.sum(axis=1, keepdims=True)
         ahead[rows] = before = now
     sums = np.zeros((len(sizes), labels))
-    behind = np.ones((len(sizes), labels))
+    behind = np.ones((len(sizes), labels), local.dtype)
     back = step_weights.T.copy()
     for t in range(steps - 1, -1, -1):
         rows = slice(offsets[t], offsets[t + 1])
@@ -309,54 +313,54 @@ class _Known(dict):
 def prediction(model):
     """Batches of texts to ``lang_pred`` and ``score``; ``model`` is a broadcast variable."""
 
-    def predict(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fitted = model.value
         known, table = _Known(), None
-        for texts in series:
+        for texts in batches:
             names = np.full(len(texts), UNKNOWN, object)
             scores = np.zeros(len(texts))
             waiting, at, total = [], [], 0
 
             def finish():
-                nonlocal table
-                if not waiting:
-                    return
+                nonlocal known, table
                 if known.fresh:
-                    rows = [_emissions(fitted, known.fresh[i : i + 50_000]) for i in range(0, len(known.fresh), 50_000)]
-                    blank = np.zeros((1, len(fitted.labels)), np.float32)
-                    table = np.concatenate([blank if table is None else table, *rows])
-                    known.fresh = []
+                    if table is None:
+                        table = np.zeros((1, len(fitted.labels)), np.float32)
+                    fresh, known.fresh = known.fresh, []
+                    parts = [fresh[i : i + 20_000] for i in range(0, len(fresh), 20_000)]
+                    table = np.concatenate([table, *(_emissions(fitted, p) for p in parts)])
                 lengths = np.fromiter(map(len, waiting), np.int64, len(waiting))
                 sums = marginal_sums(table[np.concatenate(waiting)], fitted.transitions, lengths)
                 best = sums.argmax(axis=1)
                 names[at] = np.array(fitted.labels, object)[best]
                 scores[at] = np.clip(sums[np.arange(len(best)), best] / lengths, 0, 1)
-
-            if fitted is not None:
-                for i, text in enumerate(texts):
-                    if not text:
-                        continue
-                    words = text.split()
-                    found = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
-                    found = found[found > 0]
-                    if len(found):
-                        waiting.append(found)
-                        at.append(i)
-                        total += len(found)
-                    if total >= PASS_WORDS:
-                        finish()
-                        waiting, at, total = [], [], 0
+                if len(known) > KNOWN_WORDS:
+                    known, table = _Known(), None
+
+            for i, text in enumerate(texts if fitted is not None else []):
+                # One text at a time becomes Python objects.
+                words = (text.as_py() or "").split()
+                found = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
+                found = found[found > 0]
+                if len(found):
+                    waiting.append(found)
+                    at.append(i)
+                    total += len(found)
+                if total >= PASS_WORDS:
+                    finish()
+                    waiting, at, total = [], [], 0
+            if waiting:
                 finish()
-            if len(known) > KNOWN_WORDS or len(known.numbers) > KNOWN_WORDS:
-                known, table = _Known(), None
-            yield pd.DataFrame({"lang_pred": names, "score": scores})
+            yield pa.StructArray.from_arrays(
+                [pa.array(names.tolist(), pa.string()), pa.array(scores)], ["lang_pred", "score"]
+            )
 
     return predict
 
 
 def predictor(model):
     """``prediction`` as a column function."""
-    return F.pandas_udf(prediction(model), "lang_pred string, score double")
+    return F.arrow_udf(prediction(model), "lang_pred string, score double")
 
 
 def fitted_on(docs: DataFrame):
