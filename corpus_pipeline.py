@@ -8,31 +8,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from nightfolio.llm import decontaminate, jaccard_join, languages, packing, pii
-from nightfolio.llm.common import stored
+from nightfolio.llm.common import stored, tuned
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a language."""
+    tuned(spark)
     return languages.keep_identified(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
+    tuned(spark)
     return jaccard_join.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold benchmark passages."""
-    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.keep_clean(docs, tuned(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data in the texts."""
+    tuned(spark)
     return pii.redact(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the texts in sequences."""
+    tuned(spark)
     return packing.packed(docs)
 
 

@@ -56,6 +56,19 @@ def _quietly_delete(spark: SparkSession, path: str) -> None:
         pass
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """``spark`` with Arrow batches that whole texts do not make large.
+
+    The default of 10,000 rows is meant for narrow rows; another setting is left as it is.
+    """
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+    return spark
+
+
 class Shared:
     """A broadcast value of a class of this package, pickled by value like its functions."""
 
@@ -196,8 +209,11 @@ class WordCodes:
         return high + int(gaps[0]) + 1 if len(gaps) else end
 
 
-def byte_texts(column: pa.Array) -> list[bytes | None]:
-    return column.cast(pa.large_binary()).to_pylist()
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Views of fewer rows each, so that what is made of a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, mixed
+from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, mixed, sliced
 
 #: 1 is a place whose word is read, 0 one that is ignored. Fixed values.
 MASKS = ("1110100111", "1101011011", "1011100101")
@@ -134,7 +134,7 @@ class SeedIndex:
 def _by_index(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, found = plain_words(), index.value
-        for batch in batches:
+        for batch in sliced(batches):
             rows = [
                 (doc, item, *overlap)
                 for doc, words in zip(batch.column(0).to_pylist(), coder.of(batch.column(1)))
@@ -152,7 +152,7 @@ def _seed_rows(masks: tuple[str, ...]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = plain_words()
-        for batch in batches:
+        for batch in sliced(batches):
             for key, words in zip(batch.column(0).to_pylist(), coder.of(batch.column(1))):
                 parts = [seeds(words, mask, n) for n, mask in enumerate(masks)]
                 codes = np.concatenate(parts).view(np.int64)
@@ -169,7 +169,7 @@ def _seed_rows(masks: tuple[str, ...]):
 def _on_diagonals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     coder = plain_words()
     names = [c.split()[0] for c in _COLUMNS.split(", ")]
-    for batch in batches:
+    for batch in sliced(batches):
         doc, item, diagonal = (batch.column(i).to_pylist() for i in range(3))
         texts, items = coder.of(batch.column(3)), coder.of(batch.column(4))
         rows = []

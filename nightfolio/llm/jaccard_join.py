@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import WordCodes, components, mixed, stored, tree_reduced
+from nightfolio.llm.common import WordCodes, components, mixed, sliced, stored, tree_reduced
 
 WORDS = 5
 PERCENT = 80
@@ -73,7 +73,7 @@ def _signatures(words: int):
         coder = WordCodes()
         counts = np.zeros(1 << BUCKET_BITS, np.uint32)
         names = ["doc_id", "n", "high", "low", "segment", "counts"]
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, high, low, pending = [], [], [], []
             for codes in coder.of(batch.column(1)):
                 own = shingles(codes, words)
@@ -148,7 +148,7 @@ def _prefixes(counts, words: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, crowds = WordCodes(), counts.value.astype(np.uint64)
-        for batch in batches:
+        for batch in sliced(batches):
             ids, sizes, blobs = [], [], []
             for doc, codes in zip(batch.column(0).to_pylist(), coder.of(batch.column(1))):
                 own = shingles(codes, words)
@@ -372,7 +372,7 @@ def _verify(words: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCodes()
-        for batch in batches:
+        for batch in sliced(batches):
             # A text that stands in many pairs is cut into shingles once.
             sides = pa.concat_arrays([batch.column(2), batch.column(3)]).dictionary_encode()
             sets = [shingles(codes, words) for codes in coder.of(sides.dictionary)]

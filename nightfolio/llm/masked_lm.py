@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import Shared, WordCodes, mixed, stored, tree_reduced
+from nightfolio.llm.common import Shared, WordCodes, mixed, sliced, stored, tree_reduced
 
 VOCABULARY = 4096
 SHARED = 256
@@ -180,7 +180,7 @@ def _trained(weights, known, round_: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, words = WordCodes(), known.value
         trainer, learned = Trainer(weights.value, words), 0
-        for batch in batches:
+        for batch in sliced(batches, 4000):
             line, places = contexts(coder.of(batch.column(0)), words)
             spread = mixed(places.astype(np.uint64) + np.uint64(round_ << 40))
             masked = places[spread < np.uint64(int(MASKED * 2**64))]
@@ -257,7 +257,7 @@ def log_likelihoods(
 def _scored(weights, known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCodes()
-        for batch in batches:
+        for batch in sliced(batches, 4000):
             texts = coder.of(batch.column(1))
             sums = log_likelihoods(texts, weights.value, known.value)
             lengths = np.array([len(t) for t in texts], np.int64)

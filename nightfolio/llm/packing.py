@@ -177,8 +177,8 @@ def _packed(path: str, capacity: int):
 
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text)
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = encode(text.as_py())
                 whole = len(ids) // capacity * capacity
                 for start in range(0, whole, capacity):
                     part = ids[start : start + capacity]

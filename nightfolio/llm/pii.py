@@ -270,7 +270,7 @@ def proposed(text: str | None) -> list[dict]:
 
 def _propose(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pa.array([proposed(t) for t in texts.to_pylist()], pa.list_(_SPAN))
+        yield pa.array([proposed(t.as_py()) for t in texts], pa.list_(_SPAN))
 
 
 def with_proposals(docs: DataFrame, *columns: str) -> DataFrame:
@@ -335,7 +335,7 @@ def redact(docs: DataFrame) -> DataFrame:
     def rewrite(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             out = []
-            for text in texts.to_pylist():
+            for text in (t.as_py() for t in texts):
                 pieces, at = [], 0
                 for span in proposed(text):
                     if span["kind"] >= len(BASE) and span["combination"] not in accepted:

@@ -18,11 +18,11 @@ from nightfolio.llm import (
     transcripts,
     warc,
 )
-from nightfolio.llm.common import scratch_path
+from nightfolio.llm.common import scratch_path, tuned
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_weak_pii(spark, sf):
