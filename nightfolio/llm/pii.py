@@ -298,6 +298,11 @@ def _kept(accepted: set[int]):
     )
 
 
+def _is_kind(kind: int):
+    # A second parameter, even with a default, would be the place in the array.
+    return lambda span: span["kind"] == kind
+
+
 def _joined(spans) -> F.Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.concat_ws(
@@ -314,7 +319,7 @@ def find(docs: DataFrame) -> DataFrame:
     spans = proposals.select("doc_id", _kept(accepted_combinations(proposals)).alias("s"))
     base = F.filter("s", lambda s: s["kind"] < len(BASE))
     counts = [
-        F.size(F.filter("s", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+        F.size(F.filter("s", _is_kind(k))).cast("long").alias(f"n_{name}")
         for k, name in enumerate(BASE)
     ]
     return spans.select(
