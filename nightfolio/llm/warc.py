@@ -100,31 +100,34 @@ def classified(pages: DataFrame) -> DataFrame:
         .filter("n > 1")
         .select("key", "refers_to")
     )
-    # Ids and keys meet first, so that the pages themselves move by id, evenly.
+    # Ids and keys meet first, so that the pages themselves move once, by id, evenly.
     revisits = (
         keyed.join(shared, "key")
-        .filter("page_id < refers_to")
-        .select("page_id", "key", "refers_to")
+        .filter("refers_to is not null and (page_id is null or page_id < refers_to)")
+        .select(F.col("page_id").alias("id"), F.col("key").alias("same"), "refers_to")
         .distinct()
     )
-    found = rows.withColumn("key", F.sha2("html", 256)).join(revisits, ["page_id", "key"], "left")
-    # A row without an id revisits like any other, if some page with an id has its payload.
-    nameless = found.filter("page_id is null").drop("refers_to").join(shared, "key", "left")
     return (
-        found.filter("page_id is not null")
-        .unionByName(nameless.select(found.columns))
-        .select(
-            "page_id", "url", "html",
-            F.sha1("html").alias("digest"),
-            "refers_to",
+        rows.withColumn("key", F.sha2("html", 256))
+        .join(
+            revisits,
+            F.col("page_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("same")),
+            "left",
         )
+        .select("page_id", "url", "html", F.sha1("html").alias("digest"), "refers_to")
     )
 
 
-def sample_dictionary(rows: DataFrame) -> bytes:
-    """A dictionary of records, or none where they are too few to learn from."""
+def sample_dictionary(pages: DataFrame) -> bytes:
+    """A dictionary of records, or none where they are too few to learn from.
+
+    ``pages`` is sampled as it lies, before anything is joined or moved.
+    """
     import zstandard
 
+    rows = pages.select(
+        F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
+    ).withColumn("digest", F.sha1("html"))
     size = rows.agg(F.sum(F.octet_length("html") + 400).alias("n")).first()["n"] or 0
     rate = min(1.0, SAMPLE_BYTES / size) if size else 0.0
     chosen = rows.filter(uniform("page_id", "digest") < rate).select(
@@ -185,11 +188,8 @@ def _writer(folder: str, dictionary: bytes):
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes the archives below ``folder``, a URI; a row for each archive."""
-    spark = pages.sparkSession
-    rows = classified(pages)
-    dictionary = sample_dictionary(rows)
-    spread = rows.repartition("page_id", F.xxhash64("digest"))
-    return stored(spread.mapInArrow(_writer(folder, dictionary), _MANIFEST), "manifest")
+    dictionary = sample_dictionary(pages)
+    return stored(classified(pages).mapInArrow(_writer(folder, dictionary), _MANIFEST), "manifest")
 
 
 class _Head(dict):
