@@ -284,8 +284,8 @@ def _synth(index: str, table: str, seed: int, property_code: str | None = None)
 picked AS (
   SELECT CAST(100000 + i AS VARCHAR) AS number, {chosen} AS property_code,
          ['BAR', 'CORP', 'MEMBER', 'PKG', 'PREPAY'][d2 % 5 + 1] AS rate_plan_code,
-         ['BAR', 'CORP', 'MEM', 'PKG', 'PPR'][d2 % 5 + 1] || ['_STD', '_DLX'][d3 % 2 + 1]
-           AS price_plan_code,
+         ['BAR_STD', 'BAR_DLX', 'CORP_STD', 'CORP_DLX', 'MEM_STD', 'MEM_DLX', 'PKG_STD',
+          'PKG_DLX', 'PPR_STD', 'PPR_DLX'][2 * (d2 % 5) + d3 % 2 + 1] AS price_plan_code,
          ['STD', 'DLX', 'STE', 'KING', 'QUEEN'][d4 % 5 + 1] AS room_type,
          DATE '2026-05-11' + CAST(1 + d5 % 60 AS INTEGER) AS arrival,
          CAST(1 + d6 % 5 AS INTEGER) AS nights,

@@ -6,6 +6,7 @@ session runs in ANSI mode.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -69,7 +70,12 @@ def run_id(job_name: Column, business_date: Column, at: Column) -> Column:
 
 
 def new_run_id(job_name: str, business_date: str, now: datetime | None = None) -> str:
-    """Same as :func:`run_id`, for the one id a driver program needs."""
+    """As :func:`run_id`, for the one id a driver program needs.
+
+    Without a given instant a part that no other run has is added, so that two runs that
+    start in one second are told apart.
+    """
     job = job_name.lower().translate(str.maketrans(" -", "__"))
     stamp = (now or datetime.now()).strftime("%Y%m%d_%H%M%S")
-    return "_".join([job, business_date.replace("-", ""), stamp])
+    own = [] if now else [uuid.uuid4().hex[:8]]
+    return "_".join([job, business_date.replace("-", ""), stamp, *own])

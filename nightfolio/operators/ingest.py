@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.functions.stay import now_or
+from nightfolio.functions.stay import as_count, now_or
 
 SOURCE_SYSTEM = "dummy_reservation_generator"
 
@@ -25,11 +25,15 @@ def to_bronze(
     )
 
 
-def to_events(records: DataFrame, revenue_type: str = "bigint") -> DataFrame:
-    """Flat records as nested events. ``created_ts`` has no place in an event."""
+def to_events(records: DataFrame, revenue_type: str = "decimal(18,2)") -> DataFrame:
+    """Flat records as nested events. ``created_ts`` has no place in an event.
+
+    Amounts keep their fraction; a room count is the whole number that silver reads.
+    """
+    status = F.array_join(F.transform(F.split("booking_status", "_"), F.initcap), "_")
     return records.select(
         F.concat(F.lit("EVT_"), "reservation_id").alias("eventId"),
-        F.concat(F.lit("Reservation"), F.initcap("booking_status")).alias("eventType"),
+        F.concat(F.lit("Reservation"), status).alias("eventType"),
         F.replace("updated_ts", F.lit(" "), F.lit("T")).alias("eventTimestamp"),
         F.col("property_code").alias("propertyCode"),
         F.struct(F.col("confirmation_number").alias("value")).alias("confirmationNumber"),
@@ -42,7 +46,7 @@ def to_events(records: DataFrame, revenue_type: str = "bigint") -> DataFrame:
             F.col("rate_plan_code").alias("ratePlanCode"),
             F.col("price_plan_code").alias("pricePlanCode"),
             F.col("booking_status").alias("status"),
-            F.col("room_count").try_cast("bigint").alias("roomCount"),
+            as_count(F.col("room_count")).cast("bigint").alias("roomCount"),
             F.col("total_revenue").try_cast(revenue_type).alias("totalRevenue"),
             F.col("currency"),
         ).alias("reservationDetails"),

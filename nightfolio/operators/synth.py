@@ -29,8 +29,13 @@ PROPERTY_CODES = [
 ]
 ROOM_TYPES = ["STD", "DLX", "STE", "KING", "QUEEN"]
 RATE_PLANS = ["BAR", "CORP", "MEMBER", "PKG", "PREPAY"]
-PRICE_PLAN_PREFIX = {"BAR": "BAR", "CORP": "CORP", "MEMBER": "MEM", "PKG": "PKG", "PREPAY": "PPR"}
-PRICE_PLAN_SUFFIXES = ["STD", "DLX"]
+PRICE_PLANS = {
+    "BAR": ["BAR_STD", "BAR_DLX"],
+    "CORP": ["CORP_STD", "CORP_DLX"],
+    "MEMBER": ["MEM_STD", "MEM_DLX"],
+    "PKG": ["PKG_STD", "PKG_DLX"],
+    "PREPAY": ["PPR_STD", "PPR_DLX"],
+}
 CURRENCY = "INR"
 FIRST_NUMBER = 100_000
 ARRIVAL_DAYS = (1, 60)
@@ -54,14 +59,19 @@ def reservations_for(
     index = F.col(index_column).cast("bigint")
     state = F.col("_state")
     business_day = F.lit(business_date).cast("date")
-    prefix = F.create_map(*[F.lit(text) for pair in PRICE_PLAN_PREFIX.items() for text in pair])
+    plans = F.coalesce(
+        *[
+            F.when(F.col("rate_plan_code") == rate, F.array(*map(F.lit, codes)))
+            for rate, codes in PRICE_PLANS.items()
+        ]
+    )
     drawn = indexes.select(index.alias("_index"), row_state(index, seed).alias("_state")).select(
         "_index",
         (F.lit(property_code) if property_code else pick(state, 1, PROPERTY_CODES)).alias(
             "property_code"
         ),
         pick(state, 2, RATE_PLANS).alias("rate_plan_code"),
-        pick(state, 3, PRICE_PLAN_SUFFIXES).alias("_price_plan"),
+        draw(state, 3, 0, 1).cast("int").alias("_price_plan"),
         pick(state, 4, ROOM_TYPES).alias("room_type"),
         random_date(business_day, state, 5, *ARRIVAL_DAYS).alias("_arrival"),
         draw(state, 6, *NIGHTS).cast("int").alias("_nights"),
@@ -87,7 +97,7 @@ def reservations_for(
         F.concat(F.lit("GUEST"), number).alias("guest_id"),
         F.col("_arrival").cast("string").alias("arrival_date"),
         F.date_add("_arrival", F.col("_nights")).cast("string").alias("departure_date"),
-        F.concat_ws("_", prefix[F.col("rate_plan_code")], "_price_plan").alias("price_plan_code"),
+        F.get(plans, F.col("_price_plan")).alias("price_plan_code"),
         F.when(F.col("booking_status") == "CANCELLED", F.lit(0).cast("bigint"))
         .otherwise(F.col("_rate") * F.col("_nights") * F.col("room_count"))
         .alias("total_revenue"),
@@ -126,4 +136,5 @@ def synthesise(
         seed = random.SystemRandom().randrange(2**31)
     numbers = spark.range(1, count + 1, numPartitions=partitions).withColumnRenamed("id", "index")
     records = reservations_for(numbers, business_date, property_code, seed)
-    return records, to_events(records)
+    # Synthetic amounts are whole numbers.
+    return records, to_events(records, "bigint")

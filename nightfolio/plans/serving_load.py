@@ -22,10 +22,15 @@ from nightfolio.operators.serve import (
     upsert_all,
 )
 from nightfolio.schemas import AUDIT, SERVING
-from nightfolio.sources.files import read_layer, write_parquet
+from nightfolio.sources.files import read_gold, read_layer, write_parquet
 from nightfolio.sources.jdbc import write_jdbc
-from nightfolio.sources.snapshots import read_snapshot, write_snapshot
-from nightfolio.sources.staging import clear_all, clear_run, read_staged, stage_run
+from nightfolio.sources.snapshots import (
+    current_version,
+    delete_directory,
+    read_snapshot,
+    write_snapshot,
+)
+from nightfolio.sources.staging import clear_run, read_staged, run_directory, stage_run
 
 JOB_NAME = "load_gold_stay_revenue"
 
@@ -51,17 +56,19 @@ def run_serving_load(
     """Stage gold, check it, merge it into the serving table, and record the run.
 
     The staged partition is written once and read back, so the count gate sees what
-    is on disk. On any error the run is recorded as failed, the serving table stays
-    at its previous version, and the error goes on to the caller.
+    is on disk. On any error the run is recorded as failed, what it staged is removed,
+    the serving table stays at its previous version, and the error goes on to the caller.
     """
     run_id = run_id or new_run_id(job_name, business_date)
 
     def record(change, *args, **kwargs) -> None:
-        write_snapshot(change(read_snapshot(spark, audit_path, AUDIT), *args, **kwargs), audit_path)
+        version = current_version(spark, audit_path)
+        before = read_snapshot(spark, audit_path, AUDIT, version)
+        write_snapshot(change(before, *args, **kwargs), audit_path, after=version)
 
     record(runs.start_run, run_id, job_name, business_date)
     try:
-        gold = read_layer(spark, gold_path)
+        gold = read_gold(spark, gold_path)
         gold_count = gold.count()
         stage_run(to_staging(gold, run_id, business_date), staging_path, run_id)
 
@@ -72,8 +79,10 @@ def run_serving_load(
         require_equal_counts(gold_count, staged_count)
         require_keys(staged)
 
-        serving = read_snapshot(spark, serving_path, SERVING)
-        write_snapshot(merge_run(serving, staged, run_id, first=first, last=last), serving_path)
+        version = current_version(spark, serving_path)
+        serving = read_snapshot(spark, serving_path, SERVING, version)
+        changed = merge_run(serving, staged, run_id, first=first, last=last)
+        write_snapshot(changed, serving_path, after=version)
 
         merged = read_snapshot(spark, serving_path, SERVING)
         merged_count = scalar(run_count(merged, run_id, "last_run_id"))
@@ -86,6 +95,7 @@ def run_serving_load(
             merged_count=merged_count,
         )
     except Exception as error:
+        clear_run(spark, staging_path, run_id)
         record(runs.fail_run, run_id, str(error))
         raise
     return LoadCounts(run_id, gold_count, staged_count, merged_count)
@@ -96,21 +106,26 @@ def run_upsert_load(
 ) -> int:
     """Merge the whole gold layer into the serving table without run bookkeeping.
 
-    What was staged before is replaced, and the staging area is emptied at the end.
+    It stages in a directory of its own, which alone is removed, come what may.
     """
-    write_parquet(serving_columns(read_layer(spark, gold_path)), staging_path)
-    staged = read_layer(spark, staging_path)
-    require_keys(staged)
-    staged_count = staged.count()
-    serving = read_snapshot(spark, serving_path, SERVING)
-    write_snapshot(upsert_all(serving, staged), serving_path)
-    clear_all(spark, staging_path)
+    own = run_directory(staging_path, new_run_id("upsert", ""))
+    try:
+        batch = serving_columns(read_gold(spark, gold_path))
+        write_parquet(batch, own)
+        staged = read_layer(spark, own, batch.schema)
+        require_keys(staged)
+        staged_count = staged.count()
+        version = current_version(spark, serving_path)
+        serving = read_snapshot(spark, serving_path, SERVING, version)
+        write_snapshot(upsert_all(serving, staged), serving_path, after=version)
+    finally:
+        delete_directory(spark, own)
     return staged_count
 
 
 def run_append_load(spark: SparkSession, gold_path: str, table_path: str) -> int:
     """Append gold's serving columns to a Parquet table, without looking at keys."""
-    batch = serving_columns(read_layer(spark, gold_path))
+    batch = serving_columns(read_gold(spark, gold_path))
     write_parquet(batch, table_path, mode="append")
     return batch.count()
 

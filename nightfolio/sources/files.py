@@ -40,6 +40,18 @@ def read_layer(
     return reader.parquet(path)
 
 
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """A gold layer with its keys as stored, even where they are directory names.
+
+    The type of a partition column is guessed from the names, which would turn the
+    property code ``001`` into the number 1.
+    """
+    keys = {"property_code": T.StringType(), "stay_date": T.DateType()}
+    fields = spark.read.parquet(path).schema.fields
+    schema = T.StructType([T.StructField(f.name, keys.get(f.name, f.dataType)) for f in fields])
+    return spark.read.schema(schema).parquet(path)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,

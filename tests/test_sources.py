@@ -91,7 +91,9 @@ def test_snapshot_versions(spark, tmp_path):
         rows = frame if expected == 3 else current.unionByName(current)
         snapshots.write_snapshot(rows, path)
         assert snapshots.read_snapshot(spark, path, frame.schema).count() == expected
-    assert sorted(os.listdir(path)) == ["version-00000003", "version-00000004"]
+    names = [name for name in sorted(os.listdir(path)) if not name.startswith(".")]
+    assert names[:2] == ["commit-00000003.json", "commit-00000004.json"]
+    assert [name[:16] for name in names[2:]] == ["version-00000003", "version-00000004"]
     with pytest.raises(ValueError):
         snapshots.write_snapshot(frame, path, keep=0)
 
@@ -106,12 +108,13 @@ def test_half_written_snapshot_does_not_count(spark, tmp_path):
     with pytest.raises(Exception, match="task lost"):
         snapshots.write_snapshot(broken, path)
     assert snapshots.read_snapshot(spark, path, frame.schema).count() == 3
-    # What a killed job leaves: files without the marker.
+    # What a killed job leaves: a directory without a commit.
     os.makedirs(f"{path}/version-00000009")
     assert snapshots.read_snapshot(spark, path, frame.schema).count() == 3
     snapshots.write_snapshot(spark.range(5), path)
     assert snapshots.read_snapshot(spark, path, frame.schema).count() == 5
-    assert sorted(os.listdir(path)) == ["version-00000001", "version-00000010"]
+    versions = sorted(name for name in os.listdir(path) if name.startswith("version"))
+    assert [name[:16] for name in versions] == [f"version-0000000{n}" for n in (1, 2, 9)]
 
 
 def test_staging_area(spark, tmp_path):
@@ -181,3 +184,53 @@ def test_jdbc_options():
     )
     assert writer.calls["options"]["driver"] == "other.Driver"
     assert writer.calls["options"]["truncate"] is True and writer.calls["mode"] == "overwrite"
+
+
+def test_snapshot_without_spark_markers(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for expected in (3, 6):
+        write = spark.range(expected)
+        snapshots.write_snapshot(write, path)
+        for version in tmp_path.glob("table/version-*/_SUCCESS"):
+            version.unlink()
+        assert snapshots.read_snapshot(spark, path, write.schema).count() == expected
+
+
+def test_versions_without_a_commit_are_not_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    frame = spark.range(3)
+    snapshots.write_snapshot(frame, path)
+    for commit in tmp_path.glob("table/commit-*"):
+        commit.unlink()
+    with pytest.raises(RuntimeError, match="no commit"):
+        snapshots.read_snapshot(spark, path, frame.schema)
+    with pytest.raises(RuntimeError, match="no commit"):
+        snapshots.write_snapshot(frame, path)
+
+
+def test_lost_data_files_are_noticed(spark, tmp_path):
+    path = str(tmp_path / "table")
+    snapshots.write_snapshot(spark.range(3), path)
+    next(tmp_path.glob("table/version-*/part-*")).unlink()
+    with pytest.raises(RuntimeError, match="lacks"):
+        snapshots.read_snapshot(spark, path, spark.range(1).schema)
+
+
+def test_of_two_writers_one_fails(spark, tmp_path):
+    path = str(tmp_path / "table")
+    snapshots.write_snapshot(spark.range(3), path)
+    version = snapshots.current_version(spark, path)
+    snapshots.write_snapshot(spark.range(4), path, after=version)
+    with pytest.raises(RuntimeError, match="another writer"):
+        snapshots.write_snapshot(spark.range(5), path, after=version)
+    assert snapshots.read_snapshot(spark, path, spark.range(1).schema).count() == 4
+    assert len(list(tmp_path.glob("table/version-*"))) == 2
+
+
+def test_gold_keys_keep_leading_zeros(spark, tmp_path):
+    path = str(tmp_path / "gold")
+    gold = spark.createDataFrame([("001", 1.5), ("010", 2.5)], "property_code string, adr double")
+    files.write_parquet(gold, path, partition_by=["property_code"])
+    assert sorted(files.read_gold(spark, path).select("property_code", "adr").collect()) == [
+        ("001", 1.5), ("010", 2.5)
+    ]
