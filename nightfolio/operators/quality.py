@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightfolio.functions.stay import as_amount, as_count, as_date
-from nightfolio.schemas import GOLD_KEYS
+from nightfolio.schemas import GOLD_KEYS, MALFORMED
 
 BOOKING_STATUSES = ("BOOKED", "CANCELLED", "MODIFIED")
 
@@ -24,6 +24,10 @@ class Rule:
     broken: Column
 
 
+def finite(amount: Column) -> Column:
+    return ~F.isnan(amount) & (F.abs(amount) < float("inf"))
+
+
 def standard_rules() -> list[Rule]:
     """The rules in order. A value that is present but unreadable, and a missing
     status, room count or revenue, breaks none of them."""
@@ -50,6 +54,8 @@ def strict_rules() -> list[Rule]:
         Rule("ROOM_COUNT_MISSING", as_count(F.col("room_count")).isNull()),
         Rule("REVENUE_MISSING", as_amount(F.col("total_revenue")).isNull()),
         Rule("BOOKING_STATUS_NULL", F.col("booking_status").isNull()),
+        Rule("ROOM_COUNT_BELOW_ONE", as_count(F.col("room_count")) < 1),
+        Rule("REVENUE_NOT_FINITE", ~finite(as_amount(F.col("total_revenue")))),
     ]
 
 
@@ -63,7 +69,14 @@ def reason_column(rules: Sequence[Rule]) -> Column:
 
 
 def with_reason(bronze: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
-    return bronze.withColumn(REASON, reason_column(rules or standard_rules()))
+    """``bronze`` with the first reason against each row.
+
+    A line that did not fit the columns is malformed before any rule is asked.
+    """
+    rules = list(rules or standard_rules())
+    if MALFORMED in bronze.columns:
+        rules.insert(0, Rule("MALFORMED_ROW", F.col(MALFORMED).isNotNull()))
+    return bronze.withColumn(REASON, reason_column(rules))
 
 
 def valid_rows(checked: DataFrame) -> DataFrame:

@@ -25,6 +25,9 @@ RAW_COLUMNS = (
 # and a typed scan would turn a malformed date into a missing one.
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
+# The text of a raw line that does not fit the columns.
+MALFORMED = "_corrupt_record"
+
 BRONZE = T.StructType(
     RAW.fields
     + [

@@ -12,17 +12,24 @@ from nightfolio.schemas import EVENT
 
 
 def read_raw_reservations(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    malformed: str | None = None,
 ) -> DataFrame:
     """All CSV files below ``path``, with a header line each, as text columns.
 
-    Columns are named by the header of one file, so they may come in any order and
-    further ones are kept; no pass over the data is made to infer types. With a
-    schema, the header of every file must match it. Rows with too few fields get
-    nulls.
+    With a schema, the header of every file must match it, in its order. Without one,
+    columns are named by the header of one file and bound by position in all: only for
+    files known to be alike. No pass over the data is made to infer types. Rows with too
+    few fields get nulls and further fields are cut off; with ``malformed`` a column of
+    that name keeps the whole line of such a row.
     """
     reader = spark.read.option("header", True).option("recursiveFileLookup", True)
     if schema is not None:
+        if malformed:
+            schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", malformed)
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 

@@ -18,7 +18,7 @@ from nightfolio.plans.serving_load import (
     run_serving_load,
     run_upsert_load,
 )
-from nightfolio.schemas import AUDIT, SERVING
+from nightfolio.schemas import AUDIT, RAW_COLUMNS, SERVING
 from nightfolio.sources.files import read_layer, write_parquet, write_reservations_csv
 from nightfolio.sources.snapshots import read_snapshot, write_snapshot
 from nightfolio.sources.staging import read_staged
@@ -227,3 +227,35 @@ def test_snapshot_of_itself(spark, paths):
     load(spark, paths, run_id="one")
     write_snapshot(read_snapshot(spark, paths.serving, SERVING), paths.serving)
     assert len(serving_cells(spark, paths)) == 1
+
+
+def test_batch_keeps_malformed_lines_and_refuses_other_headers(spark, paths):
+    write_reservations_csv(raw_frame(spark, {}, {}), paths.raw, DAY)
+    header = ",".join(RAW_COLUMNS)
+    line = ",".join(str(value) for value in raw_frame(spark, {}).first())
+    os.makedirs(f"{paths.raw}/more")
+    with open(f"{paths.raw}/more/odd.csv", "w") as file:
+        file.write(f"{header}\n{line}\n{line},surplus\nshort,row\n")
+    counts = run_batch(spark, paths)
+    assert (counts.raw, counts.valid, counts.rejected) == (5, 3, 2)
+    rejected = read_layer(spark, paths.rejected).collect()
+    assert {row.validation_reason for row in rejected} == {"MALFORMED_ROW"}
+    assert {row["_corrupt_record"] for row in rejected} == {f"{line},surplus", "short,row"}
+    assert "_corrupt_record" not in read_layer(spark, paths.silver).columns
+    swapped = [RAW_COLUMNS[1], RAW_COLUMNS[0], *RAW_COLUMNS[2:]]
+    with open(f"{paths.raw}/more/swapped.csv", "w") as file:
+        file.write(",".join(swapped) + f"\n{line}\n")
+    with pytest.raises(Exception, match="header"):
+        run_batch(spark, paths)
+
+
+def test_failed_load_leaves_nothing_staged(spark, paths, monkeypatch):
+    gold = [("a", date(2026, 6, 1))] * 2
+    frame = spark.createDataFrame(gold, "property_code string, stay_date date")
+    for name in ("reservation_count", "booked_rooms", "total_revenue", "adr"):
+        frame = frame.withColumn(name, F.lit(1))
+    frame = frame.withColumn("gold_ingestion_ts", F.current_timestamp())
+    frame.write.parquet(paths.gold)
+    with pytest.raises(ValueError, match="repeated keys"):
+        load(spark, paths, run_id="bad")
+    assert not os.path.exists(f"{paths.staging}/run_id=bad")

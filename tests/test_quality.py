@@ -121,3 +121,13 @@ def test_key_violations(spark):
     with pytest.raises(ValueError, match="keys"):
         quality.require_keys(frame, ["p", "d"])
     quality.require_keys(frame.filter(F.col("d") == 2), ["p", "d"])
+
+
+def test_strict_rules_refuse_what_cannot_be_stored(spark):
+    rows = raw_frame(
+        spark, {}, {"total_revenue": "NaN"}, {"total_revenue": "Infinity"}, {"room_count": "0.5"}
+    )
+    found = quality.with_reason(rows, quality.strict_rules()).select(quality.REASON).collect()
+    assert [row[0] for row in found] == [
+        None, "REVENUE_NOT_FINITE", "REVENUE_NOT_FINITE", "ROOM_COUNT_BELOW_ONE"
+    ]
