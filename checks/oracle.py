@@ -4,6 +4,8 @@ whole-number arithmetic for money, and left join plus union where the library jo
 
 from __future__ import annotations
 
+import hashlib
+
 RAW = """raw AS (
   SELECT
     'RES' || CAST(100000 + l_orderkey // 20 AS VARCHAR) AS reservation_id,
@@ -270,14 +272,29 @@ def _synth(index: str, table: str, seed: int, property_code: str | None = None)
         return f"(xor({value}, {value} >> 15) * 1664525525) % 2147483647"
 
     streams = range(1, 14)
-    starts = ", ".join(f"(state + {n * 715827883 % 2147483647}) % 2147483647 AS s{n}" for n in streams)
+    digest = hashlib.sha256(f"{seed}:2026-05-11".encode()).digest()
+    own = [int.from_bytes(digest[i : i + 8], "big") % 2147483647 for i in (0, 8)]
+    inputs = {"la": "low + 1", "ha": "high + 1", "lb": "low + 1234567891", "hb": "high + 1234567891"}
+
+    def each(change, names, suffix: str) -> str:
+        return ", ".join(f"{change(name)} AS {name}{suffix}" for name in names)
+
+    shifted = ", ".join(f"({value}) % 2147483647 AS {name}" for name, value in inputs.items())
+    starts = ", ".join(
+        f"(a12 + (b12 * {n * 715827883 % 2147483647}) % 2147483647) % 2147483647 AS s{n}"
+        for n in streams
+    )
     halves = ", ".join(f"{first(f's{n}')} AS h{n}" for n in streams)
     draws = ", ".join(f"{second(f'h{n}')} AS d{n}" for n in streams)
     chosen = f"'{property_code}'" if property_code else f"{codes}[d1 % 11 + 1]"
     return f"""numbers AS (SELECT {index} AS i FROM {table}),
-{step("mixed", "numbers", f"(i % 2147483647 + ((i // 2147483647) % 2147483647) * 69621 + {seed}) % 2147483647 AS m")},
-{step("half", "mixed", f"{first('m')} AS h")},
-{step("states", "half", f"{second('h')} AS state")},
+{step("two", "numbers", "i % 2147483647 AS low, (i // 2147483647) % 2147483647 AS high")},
+{step("shifted", "two", shifted)},
+{step("once", "shifted", each(first, inputs, "1"))},
+{step("twice", "once", each(second, [f"{name}1" for name in inputs], "2"))},
+{step("mixed", "twice", f"(la12 + 2 * ha12 + {own[0]}) % 2147483647 AS a, (lb12 + 2 * hb12 + {own[1]}) % 2147483647 AS b")},
+{step("half", "mixed", each(first, "ab", "1"))},
+{step("states", "half", each(second, ["a1", "b1"], "2"))},
 {step("starts", "states", starts)},
 {step("halves", "starts", halves)},
 {step("draws", "halves", draws)},

@@ -65,7 +65,9 @@ def reservations_for(
             for rate, codes in PRICE_PLANS.items()
         ]
     )
-    drawn = indexes.select(index.alias("_index"), row_state(index, seed).alias("_state")).select(
+    drawn = indexes.select(
+        index.alias("_index"), row_state(index, seed, business_date).alias("_state")
+    ).select(
         "_index",
         (F.lit(property_code) if property_code else pick(state, 1, PROPERTY_CODES)).alias(
             "property_code"

@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from nightfolio.functions import draws
 from nightfolio.operators import synth
 from nightfolio.operators.ingest import flatten_events, to_events
 from nightfolio.plans.synthesis import synthesise_and_store
@@ -132,3 +133,18 @@ def test_nothing_to_write(spark, tmp_path):
         write_events_json(to_events(records.limit(0)), str(tmp_path / "json"), DAY)
     assert not list(tmp_path.iterdir())
     assert events.count() == 1
+
+
+def test_seeds_dates_and_far_rows_share_no_run(spark):
+    def states(indexes, seed, day):
+        numbers = spark.createDataFrame([(i,) for i in indexes], "index bigint")
+        found = numbers.select(draws.row_state(F.col("index"), seed, day).alias("s")).collect()
+        return [tuple(row.s) for row in found]
+
+    own = states(range(1, 501), 3, DAY)
+    others = [states(range(1, 501), seed, DAY) for seed in (2, 4)]
+    others.append(states(range(1, 501), 3, "2026-05-12"))
+    for other in others:
+        assert not set(own) & set(other)
+    far = [1, 2**31, 69622, 2**31 - 1, 2**31 - 2, 2 * (2**31 - 1), 2**40, 2**62]
+    assert len(set(states(far, 3, DAY))) == len(far)
