@@ -10,7 +10,7 @@ from dataclasses import asdict
 from pyspark.sql import SparkSession
 
 from nightfolio.plans.preview import show_layers
-from nightfolio.plans.reservation_batch import run_reservation_batch
+from nightfolio.plans.reservation_batch import BatchCounts, run_reservation_batch
 from nightfolio.plans.serving_load import run_append_load, run_serving_load, run_upsert_load
 from nightfolio.plans.synthesis import synthesise_and_store
 
@@ -47,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     )
     load.add_argument("--business-date", required=True)
     load.add_argument("--run-id")
+    load.add_argument("--batch-counts", help="what the batch printed, for the audit table")
 
     job("upsert", "merge gold without run bookkeeping", "gold", "staging", "serving")
     job("append", "append gold to a table", "gold", "table")
@@ -74,6 +75,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None):
             run_serving_load(
                 spark, args.gold, args.staging, args.serving, args.audit,
                 args.business_date, run_id=args.run_id,
+                batch=args.batch_counts and BatchCounts(**json.loads(args.batch_counts)),
             )
         )
     if args.job == "upsert":

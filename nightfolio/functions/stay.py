@@ -7,7 +7,7 @@ session runs in ANSI mode.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,13 @@ def as_date(value: Column) -> Column:
     return value.try_cast("date")
 
 
+def require_day(business_date: str) -> str:
+    """The same text, or ``ValueError`` unless it is a day as ``yyyy-MM-dd``."""
+    if date.fromisoformat(business_date).isoformat() != business_date:
+        raise ValueError(f"a business date is yyyy-MM-dd, not {business_date!r}")
+    return business_date
+
+
 def as_timestamp(value: Column) -> Column:
     return value.try_cast("timestamp")
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.functions.stay import as_date, now_or
+from nightfolio.functions.stay import as_date, now_or, require_day
 from nightfolio.operators.serve import upsert
 from nightfolio.schemas import AUDIT, AUDIT_COUNTS
 
@@ -99,7 +99,7 @@ def start_run(
         audit,
         run_id=F.lit(run_id),
         job_name=F.lit(job_name),
-        business_date=as_date(F.lit(business_date)),
+        business_date=as_date(F.lit(require_day(business_date))),
     )
     return start_runs(audit, run, at)
 

@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.functions.stay import as_date, now_or
+from nightfolio.functions.stay import as_date, now_or, require_day
 from nightfolio.schemas import GOLD_KEYS, MONEY, SERVING, STAGING
 
 STAGING_SOURCE = "gold_parquet_layer"
@@ -17,7 +17,8 @@ MEASURES = ("reservation_count", "booked_rooms", "total_revenue", "adr", "gold_i
 
 
 def serving_columns(gold: DataFrame) -> DataFrame:
-    """Gold in the serving table's types; what does not fit becomes null."""
+    """Gold in the serving table's types; what does not fit becomes null. The loads count
+    such values by :func:`gold_counts` and stop."""
     return gold.select(
         "property_code",
         "stay_date",
@@ -29,6 +30,21 @@ def serving_columns(gold: DataFrame) -> DataFrame:
     )
 
 
+def gold_counts(gold: DataFrame) -> tuple[int, int]:
+    """Rows of gold, and those with a measure that the serving table cannot hold."""
+    cast = serving_columns(gold).schema
+    lost = F.lit(False)
+    for name in MEASURES[:-1]:
+        value = F.col(name)
+        lost = lost | (value.isNotNull() & value.try_cast(cast[name].dataType).isNull())
+    return tuple(gold.agg(F.count(F.lit(1)), F.count_if(lost)).first())
+
+
+def require_measures(lost: int) -> None:
+    if lost:
+        raise ValueError(f"{lost} rows of gold have measures that the serving table cannot hold")
+
+
 def to_staging(gold: DataFrame, run_id: str, business_date: str) -> DataFrame:
     """Serving columns stamped with the run, in the staging table's order."""
     return (
@@ -36,7 +52,7 @@ def to_staging(gold: DataFrame, run_id: str, business_date: str) -> DataFrame:
         .withColumns(
             {
                 "run_id": F.lit(run_id),
-                "business_date": as_date(F.lit(business_date)),
+                "business_date": as_date(F.lit(require_day(business_date))),
                 "source_system": F.lit(STAGING_SOURCE),
             }
         )
@@ -125,7 +141,8 @@ def merge_run(
     """The serving table after the staged rows of one run are merged into it.
 
     ``first`` and ``last`` are the earliest and latest night staged by the run, if
-    known: nights outside cannot match and bypass the join's shuffle.
+    known: nights outside cannot match and bypass the join's shuffle. A batch that has a
+    night outside them is an error when the result is computed.
     """
     now = now_or(at)
     batch = (
@@ -142,6 +159,11 @@ def merge_run(
     if first is None or last is None:
         return upsert(serving, batch, GOLD_KEYS, overwrite, {"updated_at": now})
     night = F.col("stay_date")
+    message = F.lit(f"a staged night is not between {first} and {last}")
+    batch = batch.withColumn(
+        "stay_date",
+        F.when(night.between(F.lit(first), F.lit(last)), night).otherwise(F.raise_error(message)),
+    )
     inside = serving.filter(night.between(F.lit(first), F.lit(last)))
     outside = serving.filter((night < F.lit(first)) | (night > F.lit(last)) | night.isNull())
     merged = upsert(inside, batch, GOLD_KEYS, overwrite, {"updated_at": now})

@@ -6,24 +6,27 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from nightfolio.functions.stay import new_run_id
 from nightfolio.operators import audit as runs
 from nightfolio.operators.quality import require_keys
 from nightfolio.operators.serve import (
+    gold_counts,
     merge_run,
     require_equal_counts,
+    require_measures,
     run_count,
     scalar,
     serving_columns,
     to_staging,
     upsert_all,
 )
+from nightfolio.plans.reservation_batch import BatchCounts
 from nightfolio.schemas import AUDIT, SERVING
 from nightfolio.sources.files import read_gold, read_layer, write_parquet
-from nightfolio.sources.jdbc import write_jdbc
+from nightfolio.sources.jdbc import read_jdbc, write_jdbc
 from nightfolio.sources.snapshots import (
     current_version,
     delete_directory,
@@ -35,6 +38,11 @@ from nightfolio.sources.staging import clear_run, read_staged, run_directory, st
 JOB_NAME = "load_gold_stay_revenue"
 
 
+def month() -> Column:
+    """Month of the night: the serving table's parts. A load rewrites the months it has."""
+    return F.date_format("stay_date", "yyyy-MM")
+
+
 @dataclass(frozen=True)
 class LoadCounts:
     run_id: str
@@ -52,11 +60,14 @@ def run_serving_load(
     business_date: str,
     job_name: str = JOB_NAME,
     run_id: str | None = None,
+    batch: BatchCounts | None = None,
 ) -> LoadCounts:
     """Stage gold, check it, merge it into the serving table, and record the run.
 
     The staged partition is written once and read back, so the count gate sees what
-    is on disk. On any error the run is recorded as failed, what it staged is removed,
+    is on disk. Only months with staged nights are read, merged and written. ``batch``,
+    what the run that made gold counted, goes into the record as well. A business date
+    that is none, and a measure that the serving table cannot hold, stop the run. On any error the run is recorded as failed, what it staged is removed,
     the serving table stays at its previous version, and the error goes on to the caller.
     """
     run_id = run_id or new_run_id(job_name, business_date)
@@ -69,27 +80,32 @@ def run_serving_load(
     record(runs.start_run, run_id, job_name, business_date)
     try:
         gold = read_gold(spark, gold_path)
-        gold_count = gold.count()
+        gold_count, lost = gold_counts(gold)
+        require_measures(lost)
         stage_run(to_staging(gold, run_id, business_date), staging_path, run_id)
 
         staged = read_staged(spark, staging_path, run_id)
-        staged_count, first, last = staged.agg(
-            F.count(F.lit(1)), F.min("stay_date"), F.max("stay_date")
+        staged_count, first, last, months = staged.agg(
+            F.count(F.lit(1)), F.min("stay_date"), F.max("stay_date"), F.collect_set(month())
         ).first()
         require_equal_counts(gold_count, staged_count)
         require_keys(staged)
 
         version = current_version(spark, serving_path)
-        serving = read_snapshot(spark, serving_path, SERVING, version)
+        serving = read_snapshot(spark, serving_path, SERVING, version, months)
         changed = merge_run(serving, staged, run_id, first=first, last=last)
-        write_snapshot(changed, serving_path, after=version)
+        write_snapshot(changed, serving_path, after=version, part=month(), replaces=months)
 
-        merged = read_snapshot(spark, serving_path, SERVING)
+        merged = read_snapshot(spark, serving_path, SERVING, version + 1, months)
         merged_count = scalar(run_count(merged, run_id, "last_run_id"))
         clear_run(spark, staging_path, run_id)
         record(
             runs.finish_run,
             run_id,
+            source_count=batch and batch.raw,
+            bronze_count=batch and batch.raw,
+            silver_count=batch and batch.valid,
+            rejected_count=batch and batch.rejected,
             gold_count=gold_count,
             staged_count=staged_count,
             merged_count=merged_count,
@@ -110,14 +126,17 @@ def run_upsert_load(
     """
     own = run_directory(staging_path, new_run_id("upsert", ""))
     try:
-        batch = serving_columns(read_gold(spark, gold_path))
+        gold = read_gold(spark, gold_path)
+        require_measures(gold_counts(gold)[1])
+        batch = serving_columns(gold)
         write_parquet(batch, own)
         staged = read_layer(spark, own, batch.schema)
         require_keys(staged)
-        staged_count = staged.count()
+        staged_count, months = staged.agg(F.count(F.lit(1)), F.collect_set(month())).first()
         version = current_version(spark, serving_path)
-        serving = read_snapshot(spark, serving_path, SERVING, version)
-        write_snapshot(upsert_all(serving, staged), serving_path, after=version)
+        serving = read_snapshot(spark, serving_path, SERVING, version, months)
+        changed = upsert_all(serving, staged)
+        write_snapshot(changed, serving_path, after=version, part=month(), replaces=months)
     finally:
         delete_directory(spark, own)
     return staged_count
@@ -125,17 +144,22 @@ def run_upsert_load(
 
 def run_append_load(spark: SparkSession, gold_path: str, table_path: str) -> int:
     """Append gold's serving columns to a Parquet table, without looking at keys."""
-    batch = serving_columns(read_gold(spark, gold_path))
-    write_parquet(batch, table_path, mode="append")
-    return batch.count()
+    gold = read_gold(spark, gold_path)
+    count, lost = gold_counts(gold)
+    require_measures(lost)
+    write_parquet(serving_columns(gold), table_path, mode="append")
+    return count
 
 
 def publish_to_database(
     spark: SparkSession, serving_path: str, config: Mapping[str, Any], table: str
 ) -> None:
-    """Replace a database table's rows by the current serving snapshot.
+    """Replace a database staging table's rows by the current serving snapshot.
 
-    Reads the committed files, never the table it empties.
+    A lost executor may write a task's rows twice, so the table is counted afterwards and
+    a difference is an error. ``table`` is one that no reader uses: putting it in place of
+    the live one is a statement of the database, for the caller to run after this returns.
     """
     serving = read_snapshot(spark, serving_path, SERVING)
     write_jdbc(serving, config, table, mode="overwrite", truncate=True)
+    require_equal_counts(serving.count(), read_jdbc(spark, config, table).count())

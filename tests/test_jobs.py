@@ -217,9 +217,13 @@ def test_publishing_reads_the_committed_snapshot(spark, paths, monkeypatch):
         seen.update(rows=df.collect(), table=table, **options)
 
     monkeypatch.setattr(serving_load, "write_jdbc", record)
+    monkeypatch.setattr(serving_load, "read_jdbc", lambda *_: spark.range(len(seen["rows"])))
     publish_to_database(spark, paths.serving, {}, "serving.nights")
     assert len(seen["rows"]) == 1 and seen["table"] == "serving.nights"
     assert (seen["mode"], seen["truncate"]) == ("overwrite", True)
+    monkeypatch.setattr(serving_load, "read_jdbc", lambda *_: spark.range(2))
+    with pytest.raises(ValueError, match="staged 2 rows of 1"):
+        publish_to_database(spark, paths.serving, {}, "serving.nights")
 
 
 def test_snapshot_of_itself(spark, paths):
@@ -259,3 +263,79 @@ def test_failed_load_leaves_nothing_staged(spark, paths, monkeypatch):
     with pytest.raises(ValueError, match="repeated keys"):
         load(spark, paths, run_id="bad")
     assert not os.path.exists(f"{paths.staging}/run_id=bad")
+
+
+def files_of(directory):
+    return {
+        (child, name): os.stat(f"{root}/{name}").st_mtime_ns
+        for root, _, names in os.walk(directory)
+        for name in names
+        for child in [os.path.relpath(root, directory)]
+        if name.startswith("part-")
+    }
+
+
+def test_a_load_touches_only_its_months(spark, paths):
+    write_gold(spark, paths, ("a", 1, 10.0))
+    june = read_layer(spark, paths.gold)
+    months = june.unionByName(june.withColumn("stay_date", F.lit(date(2026, 7, 1)))).unionByName(
+        june.withColumn("stay_date", F.lit(date(2026, 8, 1)))
+    )
+    write_parquet(months, f"{paths.gold}-months")
+    write_parquet(
+        june.withColumns({"stay_date": F.lit(date(2026, 7, 1)), "total_revenue": F.lit(7.0)}),
+        f"{paths.gold}-july",
+    )
+    paths.gold += "-months"
+    assert load(spark, paths, run_id="one").merged == 3
+    before = files_of(paths.serving)
+    paths.gold = paths.gold.replace("months", "july")
+    assert load(spark, paths, run_id="two").merged == 1
+    after = files_of(paths.serving)
+    assert before.items() <= after.items()
+    (new,) = after.keys() - before.keys()
+    assert new[0].endswith("part=2026-07")
+    rows = read_snapshot(spark, paths.serving, SERVING).collect()
+    assert sorted((row.stay_date.month, row.total_revenue, row.last_run_id) for row in rows) == [
+        (6, Decimal("10.00"), "one"),
+        (7, Decimal("7.00"), "two"),
+        (8, Decimal("10.00"), "one"),
+    ]
+    read = read_snapshot(spark, paths.serving, SERVING, parts=["2026-07"])
+    assert len(read.inputFiles()) == 1
+    # A third version drops the first; what later ones still name stays.
+    assert load(spark, paths, run_id="three").merged == 1
+    assert read_snapshot(spark, paths.serving, SERVING).count() == 3
+    assert len({key for key in files_of(paths.serving) if "2026-07" in key[0]}) == 2
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), 1e20])
+def test_measures_that_do_not_fit_stop_every_load(spark, paths, tmp_path, value):
+    write_gold(spark, paths, ("a", 1, 10.0), ("a", 2, value))
+    with pytest.raises(ValueError, match="1 rows of gold"):
+        load(spark, paths, run_id="bad")
+    with pytest.raises(ValueError, match="1 rows of gold"):
+        run_upsert_load(spark, paths.gold, paths.staging, paths.serving)
+    with pytest.raises(ValueError, match="1 rows of gold"):
+        run_append_load(spark, paths.gold, str(tmp_path / "table"))
+    assert serving_cells(spark, paths) == {}
+    assert not os.path.exists(tmp_path / "table")
+
+
+def test_counts_of_the_batch_reach_the_audit(spark, paths):
+    write_reservations_csv(raw_frame(spark, {}, {"room_count": "0"}), paths.raw, DAY)
+    counts = run_batch(spark, paths)
+    load(spark, paths, run_id="one", batch=counts)
+    (run,) = read_snapshot(spark, paths.audit, AUDIT).collect()
+    assert (run.source_count, run.bronze_count, run.silver_count, run.rejected_count) == (2, 2, 1, 1)
+    assert run.gold_count == run.staged_count == run.merged_count == counts.gold
+
+
+@pytest.mark.parametrize("day", ["11.05.2026", "20260511", "2026-02-30"])
+def test_business_dates_are_checked(spark, paths, day):
+    with pytest.raises(ValueError):
+        run_serving_load(spark, paths.gold, paths.staging, paths.serving, paths.audit, day)
+    with pytest.raises(ValueError):
+        run_reservation_batch(
+            spark, paths.raw, paths.bronze, paths.silver, paths.rejected, paths.gold, day
+        )

@@ -117,3 +117,9 @@ def test_count_gate():
     serve.require_equal_counts(3, 3)
     with pytest.raises(ValueError, match="2 rows of 3"):
         serve.require_equal_counts(3, 2)
+
+
+def test_a_night_outside_the_stated_range_is_an_error(serving, staged):
+    later = date(2030, 1, 1)
+    with pytest.raises(Exception, match="a staged night is not between"):
+        serve.merge_run(serving, staged, "new", F.lit(NOW), first=later, last=later).collect()
