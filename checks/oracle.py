@@ -58,6 +58,14 @@ _RULES = """WHEN property_code IS NULL THEN 'PROPERTY_CODE_NULL'
          WHEN booking_status NOT IN ('BOOKED', 'CANCELLED', 'MODIFIED')
            THEN 'INVALID_BOOKING_STATUS'"""
 
+_STRICT = """WHEN TRY_CAST(arrival_date AS DATE) IS NULL THEN 'ARRIVAL_DATE_UNREADABLE'
+         WHEN TRY_CAST(departure_date AS DATE) IS NULL THEN 'DEPARTURE_DATE_UNREADABLE'
+         WHEN TRY_CAST(room_count AS DOUBLE) IS NULL THEN 'ROOM_COUNT_MISSING'
+         WHEN TRY_CAST(total_revenue AS DOUBLE) IS NULL THEN 'REVENUE_MISSING'
+         WHEN booking_status IS NULL THEN 'BOOKING_STATUS_NULL'"""
+
+_GUEST = "CAST(guest_id[6:] AS BIGINT)"
+
 CHECKED = (
     BRONZE
     + f""", checked AS (
@@ -339,11 +347,12 @@ def _ordered_all(columns: str) -> str:
     return ", ".join(f"{name.strip()} NULLS FIRST" for name in columns.split(","))
 
 
-_RAW_ORDER = _ordered_all(
+_RAW_NAMES = (
     "reservation_id, property_code, confirmation_number, guest_id, arrival_date, departure_date, "
     "room_type, rate_plan_code, price_plan_code, booking_status, room_count, total_revenue, "
     "currency, created_ts, updated_ts"
 )
+_RAW_ORDER = _ordered_all(_RAW_NAMES)
 
 _UPSERT_SELECT = f"""SELECT property_code, {_DAY}, reservation_count, booked_rooms, total_revenue,
        adr, gold_ingestion_ts FROM serving"""
@@ -352,6 +361,8 @@ _APPENDED = f"""SELECT property_code, {_DAY}, {_MEASURES}, gold_ingestion_ts FRO
 UNION ALL
 SELECT property_code, {_DAY}, {_MEASURES}, gold_ingestion_ts FROM late"""
 
+_LINE = " || ',' || ".join(f"coalesce({name}, '')" for name in _RAW_NAMES.split(", "))
+
 _REJECTED = f"WITH {CHECKED} SELECT * FROM checked WHERE validation_reason IS NOT NULL"
 
 ORACLE_SQL: dict[str, str] = {
@@ -359,13 +370,18 @@ ORACLE_SQL: dict[str, str] = {
     "reject_counts": f"""WITH {CHECKED}
 SELECT validation_reason, count(*) AS row_count FROM checked GROUP BY validation_reason""",
     "strict_reject_counts": f"""WITH {BRONZE}, checked AS (
-  SELECT CASE {_RULES}
-         WHEN TRY_CAST(arrival_date AS DATE) IS NULL THEN 'ARRIVAL_DATE_UNREADABLE'
-         WHEN TRY_CAST(departure_date AS DATE) IS NULL THEN 'DEPARTURE_DATE_UNREADABLE'
-         WHEN TRY_CAST(room_count AS DOUBLE) IS NULL THEN 'ROOM_COUNT_MISSING'
-         WHEN TRY_CAST(total_revenue AS DOUBLE) IS NULL THEN 'REVENUE_MISSING'
-         WHEN booking_status IS NULL THEN 'BOOKING_STATUS_NULL' END AS validation_reason
-  FROM bronze)
+  SELECT CASE {_RULES} {_STRICT} END AS validation_reason FROM bronze)
+SELECT validation_reason, count(*) AS row_count FROM checked GROUP BY validation_reason""",
+    "strict_reject_odd_values": f"""WITH {BRONZE}, odd AS (
+  SELECT * REPLACE (
+           CASE WHEN {_GUEST} % 11 = 0 THEN '0.5' ELSE room_count END AS room_count,
+           CASE WHEN {_GUEST} % 13 = 0 THEN 'NaN' WHEN {_GUEST} % 17 = 0 THEN 'Infinity'
+                ELSE total_revenue END AS total_revenue)
+  FROM bronze), checked AS (
+  SELECT CASE {_RULES} {_STRICT}
+         WHEN trunc(TRY_CAST(room_count AS DOUBLE)) < 1 THEN 'ROOM_COUNT_BELOW_ONE'
+         WHEN NOT isfinite(TRY_CAST(total_revenue AS DOUBLE)) THEN 'REVENUE_NOT_FINITE'
+         END AS validation_reason FROM odd)
 SELECT validation_reason, count(*) AS row_count FROM checked GROUP BY validation_reason""",
     "rejected_rows": _REJECTED,
     "valid_rows": f"""WITH {CHECKED}
@@ -402,7 +418,7 @@ FROM staged GROUP BY run_id""",
 SELECT 'run_two' AS run_id, (SELECT count(*) FROM late) AS gold_count,
        (SELECT count(*) FROM two) AS staged_count,
        (SELECT count(*) FROM serving WHERE last_run_id = 'run_two') AS merged_count,
-       TRUE AS balanced""",
+       (SELECT count(*) FROM late) = (SELECT count(*) FROM two) AS balanced""",
     "key_violations": f"""WITH {BRONZE}
 SELECT property_code, arrival_date, count(*) AS row_count FROM bronze
 GROUP BY property_code, arrival_date
@@ -429,6 +445,13 @@ SELECT * FROM synthetic""",
 SELECT {_EVENT_COLUMNS} CAST(room_count AS BIGINT) AS details_roomCount,
        total_revenue AS details_totalRevenue, currency AS details_currency
 FROM synthetic""",
+    "synth_stored": f"""WITH {_synth("o_orderkey + 1", "orders", 7)}, text AS (
+  SELECT * REPLACE (CAST(room_count AS VARCHAR) AS room_count,
+                    CAST(total_revenue AS VARCHAR) AS total_revenue)
+  FROM synthetic)
+SELECT *, 'csv' AS form FROM text
+UNION ALL
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS created_ts), 'json' FROM text""",
     "preview_bronze": f"WITH {BRONZE} SELECT * FROM bronze ORDER BY {_RAW_ORDER} LIMIT 10",
     "preview_silver": f"""WITH {SILVER}, first_rows AS (
   SELECT * FROM silver ORDER BY {_RAW_ORDER} LIMIT 10)
@@ -436,6 +459,15 @@ FROM synthetic""",
     "preview_gold": f"""WITH {GOLD}
 {_GOLD_OUT} ORDER BY gold.property_code NULLS FIRST, gold.stay_date NULLS FIRST LIMIT 50""",
     "csv_roundtrip": f"WITH {RAW} SELECT * FROM raw",
+    "csv_malformed": f"""WITH {CHECKED}, lines AS (
+  SELECT CASE WHEN {_GUEST} % 13 = 0 OR {_GUEST} % 17 = 0 THEN 'MALFORMED_ROW'
+              ELSE validation_reason END AS validation_reason,
+         CASE WHEN {_GUEST} % 13 = 0 THEN length({_LINE}) + length(',surplus')
+              WHEN {_GUEST} % 17 = 0 THEN length({_LINE}) - length(',' || coalesce(updated_ts, ''))
+         END AS chars
+  FROM checked)
+SELECT validation_reason, count(*) AS row_count, CAST(sum(chars) AS BIGINT) AS malformed_length
+FROM lines GROUP BY validation_reason""",
     "json_roundtrip": _FLATTENED,
     "layer_roundtrip": f"WITH {BRONZE} SELECT * FROM bronze",
     "gold_by_property": f"WITH {GOLD} {_GOLD_OUT}",
@@ -464,6 +496,20 @@ SELECT run_id, 'load_gold_stay_revenue' AS job_name, '2026-05-11' AS business_da
        n AS gold_count, CAST(NULL AS BIGINT) AS rejected_count, n AS staged_count,
        n AS merged_count, TRUE AS ended, CAST(NULL AS VARCHAR) AS error_message
 FROM runs""",
+    "failed_load": f"""WITH {TWO_LOADS}, split AS (
+  SELECT count(*) AS n, count(validation_reason) AS bad FROM checked)
+SELECT 'run_one' AS run_id, 'SUCCESS' AS status, split.n AS source_count, split.n AS bronze_count,
+       split.n - split.bad AS silver_count, g.n AS gold_count, split.bad AS rejected_count,
+       g.n AS staged_count, g.n AS merged_count, CAST(NULL AS BOOLEAN) AS keys_named,
+       CAST(0 AS BIGINT) AS staged_left, g.n AS serving_rows
+FROM split, (SELECT count(*) AS n FROM early) g
+UNION ALL
+SELECT 'run_two', 'FAILED', NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE, 0, 0""",
+    "coded_keys_load": f"""WITH {MERGED}
+SELECT '00' || property_code[2:] AS property_code, {_DAY}, reservation_count, booked_rooms,
+       total_revenue, adr, gold_ingestion_ts, 'serving' AS of FROM serving
+UNION ALL
+SELECT '00' || property_code[2:], {_DAY}, {_MEASURES}, gold_ingestion_ts, 'appended' FROM late""",
     "upsert_load": f"WITH {MERGED} {_UPSERT_SELECT}",
     "append_to_files": f"WITH {TWO_LOADS} {_APPENDED}",
     "staging_cleared_run": f"""WITH {STAGED}

@@ -19,13 +19,15 @@ from nightfolio.operators.ingest import flatten_events, to_bronze, to_events
 from nightfolio.operators.refine import to_silver
 from nightfolio.operators.synth import reservations_for
 from nightfolio.plans.preview import BRONZE_ROWS, GOLD_ROWS, SILVER_ROWS, preview
-from nightfolio.plans.reservation_batch import run_reservation_batch
+from nightfolio.plans.reservation_batch import BatchCounts, run_reservation_batch
 from nightfolio.plans.serving_load import run_append_load, run_serving_load, run_upsert_load
+from nightfolio.plans.synthesis import store
 from nightfolio.schemas import (
     AUDIT,
     AUDIT_COUNTS,
     BRONZE,
     GOLD_KEYS,
+    MALFORMED,
     RAW,
     SERVING,
 )
@@ -112,6 +114,20 @@ def strict_reject_counts(spark, sf):
     )
 
 
+def strict_reject_odd_values(spark, sf):
+    """Amounts that are no finite number and fractions of a room, which only strict rules see."""
+    guest = F.substring("guest_id", 6, 20).cast("bigint")
+    odd = _bronze(spark, sf).withColumns(
+        {
+            "room_count": F.when(guest % 11 == 0, "0.5").otherwise(F.col("room_count")),
+            "total_revenue": F.when(guest % 13 == 0, "NaN")
+            .when(guest % 17 == 0, "Infinity")
+            .otherwise(F.col("total_revenue")),
+        }
+    )
+    return quality.reason_counts(quality.with_reason(odd, quality.strict_rules()))
+
+
 def rejected_rows(spark, sf):
     return portable(quality.rejected_rows(_checked(spark, sf)))
 
@@ -197,7 +213,7 @@ def _serving_after_first(spark: SparkSession, staged: DataFrame) -> DataFrame:
 
 
 def merge_run_scoped(spark, sf):
-    staged = _staged_runs(spark, sf)
+    staged = staging.read_staged(spark, _stage_both(spark, sf))
     serving = _serving_after_first(spark, staged)
     return portable(
         serve.merge_run(serving, staged, SECOND_RUN, _at(SECOND_MERGE_AT), first=SECOND_LOAD_FROM,
@@ -206,10 +222,10 @@ def merge_run_scoped(spark, sf):
 
 
 def upsert_all(spark, sf):
-    early, late = _two_loads(spark, sf)
-    staged = serve.to_staging(early, FIRST_RUN, BUSINESS_DATE)
+    staged = staging.read_staged(spark, _stage_both(spark, sf))
     serving = _serving_after_first(spark, staged)
-    return portable(serve.upsert_all(serving, serve.serving_columns(late), _at(SECOND_MERGE_AT)))
+    late = serve.of_run(staged, SECOND_RUN)
+    return portable(serve.upsert_all(serving, late, _at(SECOND_MERGE_AT)))
 
 
 def append_load(spark, sf):
@@ -240,22 +256,28 @@ def scalar_fetch(spark, sf):
 
 def reconcile_counts(spark, sf):
     """Gold rows, staged rows and rows the merge left under the run's id."""
-    early, late = _two_loads(spark, sf)
-    staged = serve.to_staging(early, FIRST_RUN, BUSINESS_DATE).unionByName(
-        serve.to_staging(late, SECOND_RUN, BUSINESS_DATE)
-    )
+    staged = staging.read_staged(spark, _stage_both(spark, sf))
     serving = serve.merge_run(
         _serving_after_first(spark, staged), staged, SECOND_RUN, _at(SECOND_MERGE_AT)
     )
-    gold_count = late.agg(F.count(F.lit(1)).alias("gold_count"))
-    staged_count = serve.run_count(staged, SECOND_RUN).withColumnRenamed("row_count", "staged_count")
-    merged_count = serve.run_count(serving, SECOND_RUN, "last_run_id").withColumnRenamed(
-        "row_count", "merged_count"
+    _, late = _two_loads(spark, sf)
+    counted = (
+        late.select(F.lit(SECOND_RUN).alias("run_id"), F.lit("gold").alias("of"))
+        .unionByName(serve.of_run(staged, SECOND_RUN).select("run_id", F.lit("staged").alias("of")))
+        .unionByName(
+            serve.of_run(serving, SECOND_RUN, "last_run_id").select(
+                F.col("last_run_id").alias("run_id"), F.lit("merged").alias("of")
+            )
+        )
     )
     return (
-        gold_count.select(F.lit(SECOND_RUN).alias("run_id"), "gold_count")
-        .join(staged_count.select(F.lit(SECOND_RUN).alias("run_id"), "staged_count"), "run_id")
-        .join(merged_count.select(F.lit(SECOND_RUN).alias("run_id"), "merged_count"), "run_id")
+        counted.groupBy("run_id")
+        .agg(
+            *[
+                F.count_if(F.col("of") == name).alias(f"{name}_count")
+                for name in ("gold", "staged", "merged")
+            ]
+        )
         .withColumn("balanced", F.col("gold_count") == F.col("staged_count"))
     )
 
@@ -398,6 +420,20 @@ def synth_events(spark, sf):
     return _events(_synthetic(spark, sf), "bigint")
 
 
+def synth_stored(spark, sf):
+    """Synthetic reservations stored in both forms and read back, as flat text."""
+    base = scratch_path(spark, "synthetic")
+    records = _synthetic(spark, sf)
+    csv, json = store(
+        records, to_events(records, "bigint"), BUSINESS_DATE, f"{base}/csv", f"{base}/json"
+    )
+    flat = files.read_raw_reservations(spark, csv, RAW)
+    events = flatten_events(files.read_events(spark, json))
+    return flat.withColumn("form", F.lit("csv")).unionByName(
+        events.withColumn("form", F.lit("json"))
+    )
+
+
 # Previews
 
 
@@ -424,6 +460,39 @@ def csv_roundtrip(spark, sf):
     return files.read_raw_reservations(spark, directory, RAW)
 
 
+def csv_malformed(spark, sf):
+    """Lines with a field too many or too few, kept whole beside those that fit."""
+    path = scratch_path(spark, "malformed")
+    fields = [F.coalesce(F.col(name), F.lit("")) for name in RAW.fieldNames()]
+    guest = F.substring("guest_id", 6, 20).cast("bigint")
+    line = (
+        F.when(guest % 13 == 0, F.concat_ws(",", *fields, F.lit("surplus")))
+        .when(guest % 17 == 0, F.concat_ws(",", *fields[:-1]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    lines = raw_reservations(spark, sf).select(
+        (guest % 64).alias("file"), F.lit(1).alias("place"), line.alias("line")
+    )
+    # A header on top of each file; one task writes a file.
+    headers = lines.select("file").distinct().select(
+        "file", F.lit(0).alias("place"), F.lit(",".join(RAW.fieldNames())).alias("line")
+    )
+    (
+        headers.unionByName(lines)
+        .repartition(8, "file")
+        .sortWithinPartitions("file", "place")
+        .drop("place")
+        .write.partitionBy("file")
+        .text(path)
+    )
+    raw = files.read_raw_reservations(spark, path, RAW, MALFORMED)
+    checked = quality.with_reason(to_bronze(raw, BUSINESS_DATE, _at(BRONZE_AT)))
+    return checked.groupBy(quality.REASON).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(F.length(MALFORMED)).alias("malformed_length"),
+    )
+
+
 def json_roundtrip(spark, sf):
     directory = scratch_path(spark, "json")
     events = to_events(raw_reservations(spark, sf), "decimal(18,2)")
@@ -572,6 +641,77 @@ def upsert_load(spark, sf):
     return portable(serving.select(*GOLD_KEYS, *serve.MEASURES))
 
 
+def failed_load(spark, sf):
+    """A load that knows its batch, then one that repeated keys stop: the two records, what
+    is left in staging, and the serving rows of each run."""
+    base = scratch_path(spark, "failed")
+    early, late = _two_loads(spark, sf)
+    raw, valid, rejected = _checked(spark, sf).agg(*quality.split_counts()).first()
+    loads = {
+        FIRST_RUN: (early, BatchCounts(raw, valid, rejected, gold=0)),
+        SECOND_RUN: (late.unionByName(late), None),
+    }
+    for name, (gold, batch) in loads.items():
+        files.write_parquet(gold, f"{base}/{name}")
+        try:
+            run_serving_load(
+                spark,
+                f"{base}/{name}",
+                f"{base}/staging",
+                f"{base}/serving",
+                f"{base}/audit",
+                BUSINESS_DATE,
+                run_id=name,
+                batch=batch,
+            )
+        except ValueError:
+            if name != SECOND_RUN:
+                raise
+    staged = staging.read_staged(spark, f"{base}/staging").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("staged_left")
+    )
+    serving = read_snapshot(spark, f"{base}/serving", SERVING).groupBy(
+        F.col("last_run_id").alias("run_id")
+    ).agg(F.count(F.lit(1)).alias("serving_rows"))
+    runs = read_snapshot(spark, f"{base}/audit", AUDIT)
+    return (
+        runs.join(staged, "run_id", "left")
+        .join(serving, "run_id", "left")
+        .select(
+            "run_id",
+            "status",
+            *AUDIT_COUNTS,
+            F.col("error_message").like("incomplete or repeated keys%").alias("keys_named"),
+            F.coalesce("staged_left", F.lit(0)).alias("staged_left"),
+            F.coalesce("serving_rows", F.lit(0)).alias("serving_rows"),
+        )
+    )
+
+
+def coded_keys_load(spark, sf):
+    """Both loads from gold laid out by property, its codes digits with leading zeros."""
+    base = scratch_path(spark, "coded")
+    for name, gold in zip((FIRST_RUN, SECOND_RUN), _two_loads(spark, sf)):
+        code = F.concat(F.lit("00"), F.substring("property_code", 2, 20))
+        files.write_parquet(
+            gold.withColumn("property_code", code), f"{base}/{name}", partition_by=["property_code"]
+        )
+    paths = f"{base}/staging", f"{base}/serving"
+    run_serving_load(
+        spark, f"{base}/{FIRST_RUN}", *paths, f"{base}/audit", BUSINESS_DATE, run_id=FIRST_RUN
+    )
+    run_upsert_load(spark, f"{base}/{SECOND_RUN}", *paths)
+    run_append_load(spark, f"{base}/{SECOND_RUN}", f"{base}/table")
+    columns = [*GOLD_KEYS, *serve.MEASURES]
+    serving = read_snapshot(spark, f"{base}/serving", SERVING).select(*columns)
+    appended = files.read_layer(spark, f"{base}/table").select(*columns)
+    return portable(
+        serving.withColumn("of", F.lit("serving")).unionByName(
+            appended.withColumn("of", F.lit("appended"))
+        )
+    )
+
+
 def append_to_files(spark, sf):
     base = scratch_path(spark, "append")
     for name, gold in zip((FIRST_RUN, SECOND_RUN), _two_loads(spark, sf)):
@@ -612,6 +752,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bronze_enrich,
         reject_counts,
         strict_reject_counts,
+        strict_reject_odd_values,
         rejected_rows,
         valid_rows,
         split_counts,
@@ -641,10 +782,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         synth_reservations,
         synth_one_property,
         synth_events,
+        synth_stored,
         preview_bronze,
         preview_silver,
         preview_gold,
         csv_roundtrip,
+        csv_malformed,
         json_roundtrip,
         layer_roundtrip,
         gold_by_property,
@@ -654,6 +797,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_counts,
         serving_load,
         serving_load_audit,
+        failed_load,
+        coded_keys_load,
         upsert_load,
         append_to_files,
         staging_cleared_run,

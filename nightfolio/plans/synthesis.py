@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from nightfolio.operators.synth import synthesise
 from nightfolio.sources.files import write_events_json, write_reservations_csv
 
 
+def store(
+    records: DataFrame,
+    events: DataFrame,
+    business_date: str,
+    csv_directory: str,
+    json_directory: str,
+) -> tuple[str, str]:
+    """Write reservations and their events; returns the two paths."""
+    return (
+        write_reservations_csv(records, csv_directory, business_date),
+        write_events_json(events, json_directory, business_date),
+    )
+
+
 def synthesise_and_store(
     spark: SparkSession,
     count: int,
@@ -23,8 +36,7 @@ def synthesise_and_store(
 ) -> dict[str, Any]:
     """Write ``count`` reservations in both forms; returns a summary with one sample each."""
     records, events = synthesise(spark, count, business_date, property_code, seed, partitions)
-    csv_path = write_reservations_csv(records, csv_directory, business_date)
-    json_path = write_events_json(events, json_directory, business_date)
+    csv_path, json_path = store(records, events, business_date, csv_directory, json_directory)
     return {
         "status": "success",
         "business_date": business_date,

@@ -29,7 +29,10 @@ def read_raw_reservations(
     if schema is not None:
         if malformed:
             schema = T.StructType([*schema.fields, T.StructField(malformed, T.StringType())])
-            reader = reader.option("columnNameOfCorruptRecord", malformed)
+            # Pruned to some columns, the parser would not see that others are missing.
+            reader = reader.option("columnNameOfCorruptRecord", malformed).option(
+                "columnPruning", False
+            )
         reader = reader.schema(schema).option("enforceSchema", False)
     return reader.csv(path)
 
