@@ -38,7 +38,12 @@ RULES = (
     # Shorter runs fail, and a longer one is matched whole from its first character.
     ("hex", 1, r"(?<![0-9a-f])[0-9a-f]{32,}+", 0, 32),
     ("private_key", 1, r"-----BEGIN (?:[A-Z]{1,20} ){0,3}PRIVATE KEY-----", 0, 1),
-    ("jwt", 1, r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    # From the first character of a run only, so that no run is read from each of its parts.
+    (
+        "jwt", 2,
+        r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+",
+        0, 1,
+    ),
     ("forge_token", 1, r"\bgh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     ("chat_token", 1, r"\bxox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     ("url_login", 1, r"://[^\s:/@]{1,100}:[^\s:/@]{1,100}@[A-Za-z0-9.-]+", 0, 1),

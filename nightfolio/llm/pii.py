@@ -18,7 +18,9 @@ kept as they are; other columns are ignored. An empty table gives an empty resul
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -143,10 +145,14 @@ def further_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[in
         return []
     out = []
     used = sorted((start, end) for _, start, end in taken)
+    # Of the taken spans that start before a place, where the last one ends.
+    starts = [start for start, _ in used]
+    ends = [0, *accumulate((end for _, end in used), max)]
+    reached = 0
     for kind, start, end in sorted(proposals, key=lambda p: (p[1], p[0])):
-        if not any(a < end and start < b for a, b in used):
+        if start >= reached and start >= ends[bisect_left(starts, end)]:
             out.append((kind, start, end))
-            used.append((start, end))
+            reached = end
     return out
 
 

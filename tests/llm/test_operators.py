@@ -169,6 +169,34 @@ def test_base_spans_equal_plain_patterns():
         assert pii.base_spans(text) == brute_pii(text), text
 
 
+def test_further_spans_overlap_none_before():
+    """Against a comparison with every span taken before."""
+    rng = random.Random(3)
+    parts = ["(212) 555-0147", "123-45-6789", "a.b@c.de", "Dr. Ann Lee", "4111 1111 1111 1111",
+             "DE89 3704 0044 0532 0130 00", "me [at] x [dot] org", " ", " 555 ", "+1 212 555 0147"]
+    for _ in range(300):
+        text = " ".join(rng.choices(parts, k=8))
+        base = pii.base_spans(text)
+        found = pii.further_spans(text, base)
+        used = [span[1:] for span in base]
+        for _, start, end in found:
+            assert all(end <= a or b <= start for a, b in used)
+            used.append((start, end))
+        everything = pii.further_spans(text, [])
+        assert {s for s in everything if all(s[2] <= a or b <= s[1] for a, b in used)} <= set(found)
+
+
+def test_many_spans_and_joined_tokens_end():
+    text = "a@b.cd (212) 555-0147 " * 60_000
+    assert len(pii.proposed(text)) == 120_000
+    jwt = next(rule for rule in blob_ledger.RULES if rule[0] == "jwt")
+    assert not blob_ledger.spans_of("eyJ-" * 300_000, re.compile(jwt[2]), *jwt[3:])
+    one = f"{'eyJ' + 'a' * 9}.{'b' * 9}.{'c' * 9}"
+    assert blob_ledger.spans_of(f"x {one} y", re.compile(jwt[2]), *jwt[3:]) == [
+        {"first": 2, "last": 2 + len(one)}
+    ]
+
+
 def test_long_digits_end():
     assert pii.base_spans("1" * 200_000 + "." * 3) == []
     assert pii.base_spans("0" * 5000 + "1.2.3.4") == [(1, 0, 5007)]
