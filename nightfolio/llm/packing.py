@@ -12,8 +12,8 @@ Blocks are cut from the stream of a task, so the work needs no shuffle, a task h
 remainders of one block only, and a lost task packs its own rows again to the same result.
 
 Token ids come from the tokenizer's own merges, which ``tiktoken`` applies; a text that
-spells a special token, and a vocabulary whose ids are not in merge order, go through
-``tokenizers``.
+spells a special token or has a very long run of white space, and a vocabulary whose ids
+are not in merge order, go through ``tokenizers``.
 
 Defined results: a null or empty text is one piece, the end mark; repeated rows are packed
 each; null ids are kept; a document's pieces have ascending ``start``; other columns are
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -66,8 +67,11 @@ class Encoder:
     PATTERN = (
         r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     )
-    #: Beyond so many characters without a change of sort, the slower library is used.
+    #: A text with a longer run of white space, at any place, goes to the slower library:
+    #: the pattern steps back through such a run, and fails above some 900,000 characters.
     RUN = 20_000
+    #: Begins at the first character of a run only, so a search takes linear time.
+    LONG_RUN = re.compile(rf"(?<!\s)\s{{{RUN + 1}}}")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -99,7 +103,7 @@ class Encoder:
     def _needs_slow(self, text: str) -> bool:
         if self.quick is None or any(s in text for s in self.special):
             return True
-        return len(text) > self.RUN and text.isspace()
+        return len(text) > self.RUN and self.LONG_RUN.search(text) is not None
 
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:

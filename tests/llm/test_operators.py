@@ -264,6 +264,15 @@ def test_token_ids_equal_the_library(text):
     assert encoder(text).tolist() == encoder.slow.encode(text, add_special_tokens=False).ids + [1]
 
 
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 1_100_000, " \t\r\n" * 300_000])
+def test_long_white_space_between_letters(spark, run):
+    encoder = packing.Encoder(packing.default_tokenizer())
+    text = f"x{run}y z"
+    assert encoder(text).tolist() == encoder.slow.encode(text, add_special_tokens=False).ids + [1]
+    rows = packing.packed(spark.createDataFrame([(1, text), (2, "a b")], "doc_id long, text string"))
+    assert {r["doc_id"]: r["doc_tokens"] for r in rows.collect()} == {1: len(encoder(text)), 2: len(encoder("a b"))}
+
+
 def test_pack_balances_cost():
     pieces, count = packing.pack([900, 800, 700, 600, 500, 400, 300, 200] * 20)
     load = np.zeros(count)
