@@ -3,9 +3,10 @@
 A seed is a window of words of which a fixed mask ignores some, so a hit survives words
 that were exchanged under the ignored places. Seeds of the benchmark's items and of the
 training texts meet by their hash. Around each hit the item is laid over the text along the
-hit's diagonal; of the stretch where words agree or differ, the part with the best sum of
-+1 for an equal and -4 for another word is the overlap, so at least four fifths of its words
-are equal. It counts from ``MIN_WORDS`` words on, or the whole item if that is shorter.
+hit's diagonal. An overlap is a stretch of at least ``MIN_WORDS`` words, or of the whole
+item if that is shorter, of which at least four fifths are equal: its sum of +1 for an
+equal and -4 for another word is not negative. Of several, the one with the best sum is
+given; it is never trimmed below that length.
 
 Where the benchmark has at most ``BROADCAST_SEEDS`` seeds, its seeds go to every task and
 no training text is shuffled; a larger benchmark is joined by hash instead, and only texts
@@ -54,13 +55,22 @@ def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mixed(value)
 
 
-def best_overlap(same: np.ndarray) -> tuple[int, int, int]:
-    """Start, length and equal words of the stretch with the best sum."""
+def best_overlap(same: np.ndarray, least: int) -> tuple[int, int, int] | None:
+    """Start, length and equal words of the stretch with the best sum.
+
+    Only stretches of ``least`` words or more with at least four fifths equal count.
+    """
+    if len(same) < least:
+        return None
     gains = np.where(same, 1, -MISMATCH)
     total = np.concatenate([[0], np.cumsum(gains)])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    begin = int(np.flatnonzero(total[: end + 1] == lowest[end])[0])
+    lowest = np.minimum.accumulate(total[: len(total) - least])
+    sums = total[least:] - lowest
+    last = int(np.argmax(sums))
+    if sums[last] < 0:
+        return None
+    begin = int(np.flatnonzero(total[: last + 1] == lowest[last])[0])
+    end = last + least
     return begin, end - begin, int(same[begin:end].sum())
 
 
@@ -70,9 +80,10 @@ def overlap_on(words: np.ndarray, item: np.ndarray, diagonal: int) -> tuple | No
     if last <= first:
         return None
     same = item[first:last] == words[first + diagonal : last + diagonal]
-    begin, length, equal = best_overlap(same)
-    if length < min(MIN_WORDS, len(item)):
+    found = best_overlap(same, min(MIN_WORDS, len(item)))
+    if found is None:
         return None
+    begin, length, equal = found
     return first + begin + diagonal, first + begin, length, equal
 
 

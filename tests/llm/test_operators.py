@@ -306,6 +306,40 @@ def test_spaced_seeds(spark, words):
     assert decontaminate.overlaps(docs, bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("size", [12, 13, 15])
+def test_one_exchanged_word_anywhere_hides_no_item(spark, words, size):
+    rng = random.Random(size)
+    item = rng.sample(words, size)
+    bench = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    rows = [
+        (place, " ".join([sentence(rng, words, 20), *item[:place], "other", *item[place + 1 :], "end"]))
+        for place in range(size)
+    ]
+    rows.append((99, " ".join([sentence(rng, words, 20), *item[: size // 2], sentence(rng, words, 20)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (decontaminate.BROADCAST_SEEDS, 1):
+        found = {r["doc_id"]: r for r in decontaminate.overlaps(docs, bench, limit=limit).collect()}
+        assert set(found) == set(range(size))
+        assert all(r["n_words"] >= min(13, size) and 5 * r["n_equal"] >= 4 * r["n_words"] for r in found.values())
+    assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == [99]
+
+
+def test_overlap_equals_brute_force():
+    rng = np.random.default_rng(6)
+    for _ in range(400):
+        same = rng.random(rng.integers(1, 30)) < 0.8
+        stretches = [
+            (int(np.where(same[i:j], 1, -4).sum()), j - i)
+            for i in range(len(same)) for j in range(i + 8, len(same) + 1)
+        ]
+        found, best = decontaminate.best_overlap(same, 8), max(stretches, default=(-1, 0))
+        assert (found is not None) == (best[0] >= 0)
+        if found:
+            begin, length, equal = found
+            assert length >= 8 and equal == same[begin : begin + length].sum()
+            assert equal - 4 * (length - equal) == best[0]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     lengths = np.array([3, 1, 4])
