@@ -5,8 +5,13 @@ predicts the word: embeddings by position, a tanh layer, and a softmax over word
 within a class a word has its share of the corpus. The sum of the logarithms over all
 places of a text is its score.
 
-Word counts come from all texts; the most frequent ``VOCABULARY`` words have embeddings,
-the others share hashed ones and one class, of whose words each is as likely as the next.
+Word counts come from all texts. Words from ``EMBEDDED_COUNT`` occurrences on have
+embeddings, so their number grows with the corpus, between ``EMBEDDED_LEAST`` and
+``EMBEDDED_MOST``: the weights of a task go to the tasks and back whole. The others share
+hashed embeddings and one class, in which each has the share of its own (smoothed) count,
+however rare it is. The counts of at most ``TABLE_WORDS`` words go to the tasks; words
+below that meet their counts by a join.
+
 The network is trained by every task on its own texts, on a share ``MASKED`` of the places
 of every text, in ``ROUNDS`` rounds from common weights that are the mean of the round
 before, weighted by places. The weights have a fixed size; means are taken in a tree, so
@@ -20,7 +25,7 @@ kept; other columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -31,7 +36,11 @@ from pyspark.sql import functions as F
 
 from nightfolio.llm.common import Shared, WordCodes, mixed, sliced, stored, tree_reduced
 
-VOCABULARY = 4096
+EMBEDDED_COUNT = 1024
+EMBEDDED_LEAST, EMBEDDED_MOST = 4096, 32768
+#: Words whose counts go to every task, 16 bytes each.
+TABLE_WORDS = 1 << 19
+SMOOTHING = 0.5
 SHARED = 256
 CLASSES = 48
 HIDDEN = 16
@@ -46,11 +55,19 @@ CHUNK = 1 << 16
 
 @dataclass
 class Vocabulary:
-    """Codes of frequent words in order, their number, class and log share of the class."""
+    """Codes of frequent words in order, their number, class and log share of the class.
+
+    ``table`` has further words' codes in order, ``table_shares`` their log shares of the
+    last class. A word in neither has a count below ``least``, and no share here.
+    """
 
     codes: np.ndarray
     classes: np.ndarray
     shares: np.ndarray
+    table: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    table_shares: np.ndarray = field(default_factory=lambda: np.empty(0))
+    least: int = 1
+    others: float = 1.0
 
     def __post_init__(self):
         self.boundary = len(self.codes) + SHARED
@@ -63,6 +80,14 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
         return np.where(self.codes[at] == codes, at, other)
 
+    def tail_shares(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log shares of words without embeddings, and which of them have none here."""
+        if not len(self.table):
+            return np.zeros(len(codes)), np.ones(len(codes), bool)
+        at = np.minimum(np.searchsorted(self.table, codes), len(self.table) - 1)
+        absent = self.table[at] != codes
+        return np.where(absent, 0.0, self.table_shares[at]), absent
+
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     coder = WordCodes()
@@ -73,26 +98,46 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(codes), pa.array(counts, pa.int64())], ["code", "n"])
 
 
-def vocabulary(docs: DataFrame) -> Vocabulary:
-    """Counts the words of all texts and deals the frequent ones into classes."""
-    counts = stored(
-        docs.select("text").mapInArrow(_counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")),
-        "words",
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``code`` and ``n`` of every word of all texts."""
+    counts = docs.select("text").mapInArrow(_counted, "code long, n long")
+    return stored(counts.groupBy("code").agg(F.sum("n").alias("n")), "words")
+
+
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
+    """Deals the frequent words into classes, and gives further ones their shares."""
+    counts = word_counts(docs) if counts is None else counts
+    # Different counts are few: n of them need n * (n + 1) / 2 tokens.
+    rows = counts.groupBy("n").agg(F.count("*").alias("kinds")).collect()
+    sizes = sorted(((r["n"], r["kinds"]) for r in rows), reverse=True)
+    kinds, tokens = sum(k for _, k in sizes), sum(n * k for n, k in sizes)
+    frequent = sum(k for n, k in sizes if n >= EMBEDDED_COUNT)
+    embedded = min(max(frequent, EMBEDDED_LEAST), EMBEDDED_MOST)
+    # Whole counts only, so that a word's count tells whether it is in the table.
+    least, held = (sizes[0][0] + 1 if sizes else 1), 0
+    for n, several in sizes:
+        held += several
+        if held > embedded + TABLE_WORDS:
+            break
+        least = n
+    top = counts.filter(F.col("n") >= least).toArrow()
+    codes = top.column("code").to_numpy().view(np.uint64)
+    own = top.column("n").to_numpy().astype(float)
+    order = np.lexsort((codes.view(np.int64), -own))
+    (codes, further), (own, rare) = (
+        np.split(values[order], [embedded]) for values in (codes, own)
     )
-    whole = counts.agg(F.count("*").alias("kinds"), F.sum("n").alias("n")).first()
-    top = counts.orderBy(F.desc("n"), "code").limit(VOCABULARY).collect()
-    codes = np.array([r["code"] for r in top], np.int64).view(np.uint64)
-    own = np.array([r["n"] for r in top], float)
     # By frequency into classes of about equal weight; the last is that of all other words.
     passed = np.cumsum(own) - own / 2
     classes = (passed / max(own.sum(), 1) * (CLASSES - 1)).astype(np.int64)
     weight = np.bincount(classes, own, CLASSES)
     shares = np.log(own / weight[classes]) if len(own) else own
-    others = max(1, whole["kinds"] - len(top))
-    order = np.argsort(codes)
+    others = tokens - own.sum() + SMOOTHING * (kinds - len(own) + 1)
+    order, tail = np.argsort(codes), np.argsort(further)
     classes = np.concatenate([classes[order], np.full(SHARED + 1, CLASSES - 1)])
-    shares = np.concatenate([shares[order], np.full(SHARED + 1, -np.log(others))])
-    return Vocabulary(codes[order], classes, shares)
+    shares = np.concatenate([shares[order], np.zeros(SHARED + 1)])
+    table_shares = np.log((rare[tail] + SMOOTHING) / others)
+    return Vocabulary(codes[order], classes, shares, further[tail], table_shares, least, float(others))
 
 
 def _shapes(size: int) -> list[tuple[int, ...]]:
@@ -238,10 +283,10 @@ def train(docs: DataFrame, known: Vocabulary):
     return context.broadcast(weights), words
 
 
-def log_likelihoods(
+def _likelihoods(
     texts: list[np.ndarray], weights: np.ndarray, known: Vocabulary
-) -> np.ndarray:
-    """For each text the sum of its words' log probabilities, each given both sides."""
+) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each text's sum, and those of its words whose share is still to be added."""
     line, places = contexts(texts, known)
     parts = _split(weights, known.size)
     out = np.empty(len(places))
@@ -251,29 +296,69 @@ def log_likelihoods(
         word = line[here]
         out[at : at + CHUNK] = logs[np.arange(len(here)), known.classes[word]] + known.shares[word]
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    return np.bincount(owner, out, len(texts))
+    tail = np.flatnonzero(line[places] >= len(known.codes))
+    codes = np.concatenate(texts)[tail] if len(tail) else np.empty(0, np.uint64)
+    shares, absent = known.tail_shares(codes)
+    out[tail] += shares
+    ends = np.searchsorted(owner[tail[absent]], np.arange(1, len(texts)))
+    return np.bincount(owner, out, len(texts)), np.split(codes[absent], ends)
+
+
+def log_likelihoods(
+    texts: list[np.ndarray], weights: np.ndarray, known: Vocabulary
+) -> np.ndarray:
+    """For each text the sum of its words' log probabilities, each given both sides.
+
+    A word in no table of ``known`` counts with its class only.
+    """
+    return _likelihoods(texts, weights, known)[0]
+
+
+_SCORED = "row long, doc_id long, n_tokens long, log_likelihood double, rest array<long>"
 
 
 def _scored(weights, known):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = WordCodes()
         for batch in sliced(batches, 4000):
-            texts = coder.of(batch.column(1))
-            sums = log_likelihoods(texts, weights.value, known.value)
+            texts = coder.of(batch.column(2))
+            sums, rest = _likelihoods(texts, weights.value, known.value)
             lengths = np.array([len(t) for t in texts], np.int64)
-            means = [s / n if n else None for s, n in zip(sums.tolist(), lengths.tolist())]
+            ends = np.cumsum([0, *map(len, rest)])
+            codes = np.concatenate(rest).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes))
             yield pa.record_batch(
-                [batch.column(0), pa.array(lengths), pa.array(sums), pa.array(means, pa.float64())],
-                ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                [batch.column(0), batch.column(1), pa.array(lengths), pa.array(sums), lists],
+                ["row", "doc_id", "n_tokens", "log_likelihood", "rest"],
             )
 
     return run
 
 
+def _with_rest(scored: DataFrame, counts: DataFrame, known: Vocabulary) -> DataFrame:
+    """Adds the shares of the words that no table holds; each occurs less than ``least`` times."""
+    scored = stored(scored, "scored")
+    rare = counts.filter(F.col("n") < known.least)
+    share = F.log((F.coalesce("n", F.lit(0)) + SMOOTHING) / known.others)
+    added = (
+        scored.select("row", F.explode("rest").alias("code"))
+        .join(rare, "code", "left")
+        .groupBy("row")
+        .agg(F.sum(share).alias("added"))
+    )
+    total = F.col("log_likelihood") + F.coalesce("added", F.lit(0.0))
+    return scored.drop("rest").join(added, "row", "left").withColumn("log_likelihood", total)
+
+
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``log_likelihood`` and its mean for each row."""
-    weights, known = train(docs, vocabulary(docs))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _scored(weights, known),
-        "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double",
+    counts = word_counts(docs)
+    weights, known = train(docs, vocabulary(docs, counts))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text"
     )
+    scored = rows.mapInArrow(_scored(weights, known), _SCORED)
+    if known.value.least > 1:
+        scored = _with_rest(scored, counts, known.value)
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return scored.select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_likelihood"))

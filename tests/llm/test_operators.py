@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from comparing import assert_same
@@ -463,6 +464,29 @@ def test_masked_lm_edges(spark, docs):
     assert masked_lm.score(docs.limit(0)).collect() == []
 
 
+def test_rare_words_have_their_own_shares(spark, monkeypatch):
+    common = " ".join(f"w{i}" for i in range(4096))
+    texts = [common] * 100 + ["often"] * 50 + ["junk", "often junk", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    whole = {r["doc_id"]: r for r in masked_lm.score(docs).collect()}
+    gap = whole[100]["log_likelihood"] - whole[150]["log_likelihood"]
+    assert gap == pytest.approx(np.log(51.5 / 2.5))
+    # The same where counts meet their words by the join.
+    monkeypatch.setattr(masked_lm, "TABLE_WORDS", 0)
+    joined = {r["doc_id"]: r for r in masked_lm.score(docs).collect()}
+    assert len(joined) == len(texts) and joined[152]["mean_log_likelihood"] is None
+    for key, r in joined.items():
+        assert r["log_likelihood"] == pytest.approx(whole[key]["log_likelihood"], rel=1e-4)
+        assert r["n_tokens"] == whole[key]["n_tokens"]
+
+
+def test_embedded_words_grow_with_the_corpus(spark):
+    text = " ".join(f"w{i}" for i in range(6000))
+    docs = spark.createDataFrame([(text,)], "text string")
+    sizes = [len(masked_lm.vocabulary(docs.withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(n))))).codes) for n in (2, 1100)]
+    assert sizes == [4096, 6000]
+
+
 def test_window_gradients():
     rng = np.random.default_rng(4)
     known = masked_lm.Vocabulary(np.arange(5, dtype=np.uint64), np.array([0, 1, 2, 0, 1] + [3] * 257), np.zeros(262))
