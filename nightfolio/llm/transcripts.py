@@ -7,8 +7,10 @@ the first); having no marker says one thing where the transcript uses markers an
 where it has none. Chances are counted over all labelled transcripts; Viterbi's path over a
 transcript's lines gives its turns, which are rendered in one canonical form.
 
-A transcript comes in parts, in order. ``PART_BLOCK`` parts are a block, and a block is one
-row of the work: its lines reduce to the best score from each state before it to each state
+A transcript comes in parts, in order. ``PART_BLOCK`` parts are a block, counted by rank in
+the order and not by the parts' own numbers, which may be null or repeated; ranks come from
+a sort by range, so no task numbers a transcript alone. A block is one row of the work: its
+lines reduce to the best score from each state before it to each state
 at its end, these small matrices are combined in order along a transcript of many blocks,
 and each block then traces its own path between the states it was given. So the path is
 that of the whole transcript, however long it is, and no task holds all its text.
@@ -28,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -202,14 +205,71 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
     return a["conv_id"].eqNullSafe(b["conv_id"]) & (a["block"] == b["block"])
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the task's number and, from 0 for each conversation in it, the rows' places."""
+    task = TaskContext.get().partitionId()
+    last, n = object(), 0
+    for batch in batches:
+        places = []
+        for conv in batch.column(0).to_pylist():
+            last, n = conv, n + 1 if conv == last else 0
+            places.append(n)
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([task] * len(places), pa.int64()), pa.array(places, pa.int64())],
+            names=[*batch.schema.names, "task", "place"],
+        )
+
+
+def _ranked(rows: DataFrame, *extra: str) -> DataFrame:
+    """Parts with their rank in the conversation, by number, text and ``extra``.
+
+    The range of a task ends at a number or at a text's beginning; only parts of one
+    conversation, number and beginning stay together, and their sort can spill.
+    """
+    parts = rows.select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("part").cast("long").alias("part"),
+        "text",
+        *extra,
+    )
+    shape = ", ".join(f"{c} {t}" for c, t in parts.dtypes) + ", task long, place long"
+    places = stored(
+        parts.repartitionByRange("conv_id", "part", F.substring("text", 1, 256))
+        .sortWithinPartitions("conv_id", "part", "text", *extra)
+        .mapInArrow(_numbered, shape),
+        "parts",
+    )
+    before = Window.partitionBy("conv_id").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    # A task goes on with one conversation at most, so there are no more rows than tasks.
+    offsets = (
+        places.groupBy("conv_id", "task")
+        .agg((F.max("place") + 1).alias("n"))
+        .select(
+            F.col("conv_id").alias("conv"),
+            F.col("task").alias("in_task"),
+            F.sum("n").over(before).alias("before"),
+        )
+        .filter("before IS NOT NULL")
+    )
+    same = F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("task") == F.col("in_task"))
+    return places.join(F.broadcast(offsets), same, "left").select(
+        "conv_id",
+        "part",
+        "text",
+        *extra,
+        (F.col("place") + F.coalesce("before", F.lit(0))).alias("rank"),
+    )
+
+
 def _blocks(rows: DataFrame, *extra: str) -> DataFrame:
-    """Parts in blocks of neighbouring numbers, in order, with what a block needs to know
+    """Parts in blocks of neighbouring ranks, in order, with what a block needs to know
     of its transcript: whether it is the first, whether there are markers, what is before."""
     blocks = stored(
-        rows.select(
-            F.col("conv_id").cast("long").alias("conv_id"),
-            F.floor(F.coalesce("part", F.lit(0)) / PART_BLOCK).cast("long").alias("block"),
-            F.struct(F.col("part").cast("long").alias("part"), "text", *extra).alias("p"),
+        _ranked(rows, *extra)
+        .select(
+            "conv_id",
+            F.floor(F.col("rank") / PART_BLOCK).cast("long").alias("block"),
+            F.struct("part", "text", *extra).alias("p"),
         )
         .groupBy("conv_id", "block")
         .agg(F.array_sort(F.collect_list("p")).alias("parts")),

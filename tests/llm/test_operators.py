@@ -445,6 +445,34 @@ def test_blocks_give_the_path_of_the_whole(spark, monkeypatch):
     assert turns() == whole
 
 
+def test_blocks_are_bounded_whatever_the_numbers(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(None, rng.choice([0, 1, 2, 7, None]), f"User: q{rng.randrange(500)}?\nAssistant: a", "user") for _ in range(1500)]
+    rows += [(1, None, f"line {i}", "user") for i in range(150)] + [(2, 0, "User: same", None)] * 150
+    rows += [(3, i, f"Human: {i}", "user") for i in range(150)]
+    raw = spark.createDataFrame(rows, "conv_id long, part long, text string, role string").repartition(5)
+    blocks = transcripts._blocks(raw, "role").collect()
+    assert max(len(r["parts"]) for r in blocks) == transcripts.PART_BLOCK
+    key = lambda p: (p[0] is not None, p[0] or 0, p[1])
+    for conv in (None, 1, 2, 3):
+        own = sorted((r for r in blocks if r["conv_id"] == conv), key=lambda r: r["block"])
+        assert [r["block"] for r in own] == list(range(len(own)))
+        assert all(len(r["parts"]) == transcripts.PART_BLOCK for r in own[:-1])
+        parts = [(p["part"], p["text"]) for r in own for p in r["parts"]]
+        assert parts == sorted([(r[1], r[2]) for r in rows if r[0] == conv], key=key)
+    model = transcripts.learned(raw)
+
+    def lines():
+        found = defaultdict(list)
+        for r in sorted(transcripts.parse(raw, model).collect(), key=lambda r: (r["block"], r["piece"])):
+            found[r["conv_id"]] += [(r["role"], i == 0 and not r["continues"]) for i in range(r["n_lines"])]
+        return found
+
+    bounded = lines()
+    monkeypatch.setattr(transcripts, "PART_BLOCK", 10_000)
+    assert lines() == bounded
+
+
 def test_masked_lm_learns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known = masked_lm.vocabulary(docs)
