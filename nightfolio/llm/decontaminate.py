@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, mixed, sliced
+from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, mixed, sliced, stored
 
 #: 1 is a place whose word is read, 0 one that is ignored. Fixed values.
 MASKS = ("1110100111", "1101011011", "1011100101")
@@ -279,12 +279,24 @@ def overlaps(
     )
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that overlap with no benchmark item."""
-    index = index_of(benchmark)
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_SEEDS
+) -> DataFrame:
+    """The rows of ``docs`` that overlap with no benchmark item, each judged by its text."""
+    index = index_of(benchmark, limit=limit)
     if index is None:
-        found = overlaps(docs, benchmark).select("doc_id").distinct()
-        return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+        # Stored, as the numbers must be the same in every read.
+        texts = stored(
+            docs.filter("text IS NOT NULL")
+            .select("text")
+            .distinct()
+            .select(F.monotonically_increasing_id().alias("doc_id"), "text"),
+            "texts",
+        )
+        items = _named(benchmark, "item_id").distinct()
+        found = _by_join(texts, items, MASKS).select("doc_id").distinct()
+        dirty = texts.join(found, "doc_id").select(F.sha2("text", 256).alias("digest"))
+        return docs.join(dirty, F.sha2(docs["text"], 256) == dirty["digest"], "left_anti")
 
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder, found = plain_words(), index.value

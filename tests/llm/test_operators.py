@@ -325,6 +325,18 @@ def test_one_exchanged_word_anywhere_hides_no_item(spark, words, size):
     assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == [99]
 
 
+def test_both_ways_keep_the_same_rows(spark, words):
+    rng = random.Random(4)
+    item = sentence(rng, words, 20)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, item), (1, item), (1, "clean one"), (2, item), (3, None), (None, "clean"), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for limit in (decontaminate.BROADCAST_SEEDS, 1):
+        kept = decontaminate.keep_clean(docs, bench, limit=limit)
+        assert kept.columns == docs.columns
+        assert Counter(map(tuple, kept.collect())) == Counter(r for r in rows if r[1] != item)
+
+
 def test_overlap_equals_brute_force():
     rng = np.random.default_rng(6)
     for _ in range(400):
