@@ -10,6 +10,7 @@ from nightfolio.llm import (
     blob_ledger,
     decontaminate,
     embedding_lsh,
+    filter_audit,
     jaccard_join,
     languages,
     masked_lm,
@@ -66,6 +67,10 @@ def op10_dictionary_warc(spark, sf):
     return warc.round_trip(_table(spark, sf, "pages"))
 
 
+def op11_filter_audit(spark, sf):
+    return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
@@ -83,4 +88,54 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN m.top > p.page_id THEN m.top END AS refers_to
         FROM p LEFT JOIN m ON p.html = m.html
     """,
+    "op11_filter_audit": """
+        WITH d AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+        ), w AS (
+            SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+                min(doc_id) OVER (PARTITION BY t) AS first
+            FROM d
+        ), l AS (
+            SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+            FROM labels GROUP BY doc_id
+        ), f AS (
+            SELECT w.part, coalesce(l.good, false) AS good, coalesce(l.toxic, false) AS toxic,
+                CASE WHEN len(ws) < 200 THEN 'A' ELSE '' END
+                || CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' ELSE '' END
+                || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END
+                || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+                || CASE WHEN w.doc_id > w.first THEN 'E' ELSE '' END AS failed
+            FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+        ), c AS (
+            SELECT part, good, toxic, failed, count(*) AS n FROM f GROUP BY ALL
+        ), k AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+        ), o AS (
+            SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+            FROM k a, k b, k c, k d, k e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), s AS (
+            SELECT filter_order, step, filter_order[step] AS own, filter_order[:step - 1] AS before
+            FROM o, (SELECT unnest(range(1, 6)) AS step)
+        ), r AS (
+            SELECT c.*, s.filter_order, s.step, s.own, contains(failed, own) AS fails,
+                failed <> '' AND regexp_matches(before, '[' || failed || '0]') AS gone
+            FROM c, s
+        ), t AS (
+            SELECT part, filter_order, step, own,
+                sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept,
+                sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+                sum(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+                sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+                sum(CASE WHEN fails AND NOT gone AND good THEN n ELSE 0 END) AS good_lost,
+                sum(CASE WHEN fails AND NOT gone AND toxic THEN n ELSE 0 END) AS toxic_lost
+            FROM r GROUP BY ALL
+        )
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+            CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+            CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+            CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+        FROM t
+    """,
 }
