@@ -16,6 +16,7 @@ from nightfolio.llm import (
     masked_lm,
     packing,
     pii,
+    pivot_search,
     transcripts,
     warc,
 )
@@ -71,6 +72,10 @@ def op11_filter_audit(spark, sf):
     return filter_audit.audit(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+def op12_pivot_search(spark, sf):
+    return pivot_search.search(_table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
@@ -138,4 +143,22 @@ ORACLE_SQL: dict[str, str] = {
             CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
         FROM t
     """,
+    "op12_pivot_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+            FROM embeddings
+            WHERE len(embedding) > 0 AND NOT list_contains(
+                list_transform(embedding, lambda x: coalesce(isfinite(x), false)), false)
+        ), p AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+        ), r AS (
+            SELECT query_id, CAST(row_number() OVER (
+                PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+            FROM p
+        )
+        SELECT * FROM r WHERE rank <= 20
+    """,
 }
