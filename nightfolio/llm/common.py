@@ -223,6 +223,32 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+class Leaders:
+    """The best ``top`` candidates so far of each query, equal scores by ascending id.
+
+    ``least`` is the score that a candidate of a query must have.
+    """
+
+    def __init__(self, least: np.ndarray, top: int):
+        self.least, self.top = least.copy(), top
+        self.query, self.found, self.score = (np.empty(0, np.int64) for _ in range(3))
+
+    def merge(self, query: np.ndarray, found: np.ndarray, score: np.ndarray) -> None:
+        if not len(query):
+            return
+        query = np.concatenate([self.query, query])
+        found = np.concatenate([self.found, found])
+        score = np.concatenate([self.score, score])
+        # The complement turns the order round without leaving 64 bits.
+        order = np.lexsort((found, ~score, query))
+        query = query[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        keep = rank < self.top
+        self.query, self.found, self.score = query[keep], found[order[keep]], score[order[keep]]
+        last = rank[keep] == self.top - 1
+        self.least[self.query[last]] = self.score[last]
+
+
 def roots(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For nodes 0 to ``count`` - 1 the smallest node that the links reach."""
     parent = np.arange(count)

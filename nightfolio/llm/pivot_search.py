@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import Shared, stored
+from nightfolio.llm.common import Leaders, Shared, stored
 
 SCALE = 64
 TOP = 20
@@ -281,49 +281,35 @@ class Best:
 
     def __init__(self, space: Space, ids: np.ndarray, rows: np.ndarray, floors: np.ndarray, top: int):
         self.space, self.ids, self.rows, self.top = space, ids, rows, top
-        self.least = floors.copy()
-        self.query = np.empty(0, np.int64)
-        self.found = np.empty(0, np.int64)
-        self.score = np.empty(0, np.int64)
+        self.leaders = Leaders(floors, top)
 
     def look(self, row: dict) -> None:
         """Compares the queries that the row's bounds leave open with the vectors of its chunk."""
         limit = bounds(self.space, self.rows, row["pivot"], row["inner"], row["outer"], row["norm"])
-        open_ = np.flatnonzero(limit[:, 0] >= self.least)
+        least = self.leaders.least
+        open_ = np.flatnonzero(limit[:, 0] >= least)
         if not len(open_):
             return
         ids = np.frombuffer(row["ids"], np.int64)
         scores = self.space.products(self.rows[open_], self.space.matrix(row["vecs"]))
         other = ids != self.ids[open_][:, None]
-        good = other & (scores >= self.least[open_][:, None])
+        good = other & (scores >= least[open_][:, None])
         if len(ids) > self.top:
             # Of a chunk only its own best can count; equal ones stay, ids decide later.
             within = np.where(other, scores, LEAST)
             good &= scores >= np.partition(within, -self.top, axis=1)[:, -self.top][:, None]
         query, place = np.nonzero(good)
-        self._merge(open_[query], ids[place], scores[query, place])
-
-    def _merge(self, query: np.ndarray, found: np.ndarray, score: np.ndarray) -> None:
-        query = np.concatenate([self.query, query])
-        found = np.concatenate([self.found, found])
-        score = np.concatenate([self.score, score])
-        # The complement turns the order round without leaving 64 bits.
-        order = np.lexsort((found, ~score, query))
-        query = query[order]
-        rank = np.arange(len(query)) - np.searchsorted(query, query)
-        keep = order[rank < self.top]
-        self.query, self.found, self.score = query[rank < self.top], found[keep], score[keep]
-        last = np.flatnonzero(rank[rank < self.top] == self.top - 1)
-        self.least[self.query[last]] = self.score[last]
+        self.leaders.merge(open_[query], ids[place], scores[query, place])
 
     def result(self) -> pa.RecordBatch:
-        rank = np.arange(len(self.query)) - np.searchsorted(self.query, self.query) + 1
+        query = self.leaders.query
+        rank = np.arange(len(query)) - np.searchsorted(query, query) + 1
         return pa.record_batch(
             [
-                pa.array(self.ids[self.query]),
+                pa.array(self.ids[query]),
                 pa.array(rank.astype(np.int32)),
-                pa.array(self.found),
-                pa.array(self.score),
+                pa.array(self.leaders.found),
+                pa.array(self.leaders.score),
             ],
             ["query_id", "rank", "vec_id", "score"],
         )
@@ -344,7 +330,7 @@ def _search(space: Shared, top: int):
                     stopped = False
                 elif not stopped:
                     # Later annuli of the group have no larger bound.
-                    stopped = bool((best.least > row["bound"]).all())
+                    stopped = bool((best.leaders.least > row["bound"]).all())
                     if not stopped:
                         best.look(row)
         if best is not None:

@@ -18,6 +18,7 @@ from nightfolio.llm import (
     pii,
     pivot_search,
     transcripts,
+    treap_search,
     warc,
 )
 from nightfolio.llm.common import scratch_path, tuned
@@ -76,6 +77,10 @@ def op12_pivot_search(spark, sf):
     return pivot_search.search(_table(spark, sf, "embeddings"))
 
 
+def op13_treap_search(spark, sf):
+    return treap_search.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
@@ -161,4 +166,36 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT * FROM r WHERE rank <= 20
     """,
+    "op13_treap_search": """
+        WITH d AS (
+            SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+            FROM documents
+        ), i AS (
+            SELECT item_id, unnest(list_distinct(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))) AS t
+            FROM benchmark
+        ), s AS (
+            SELECT count(*) AS docs, sum(len(ts)) AS total FROM d WHERE len(ts) > 0
+        ), p AS (
+            SELECT k, t, count(*) AS tf FROM (SELECT k, unnest(ts) AS t FROM d) GROUP BY k, t
+        ), w AS (
+            SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM p, s GROUP BY t, docs
+        ), m AS (
+            SELECT k, doc_id, CAST(50 + (50 * len(ts) * docs) // total AS BIGINT) AS m FROM d, s
+        ), scored AS (
+            SELECT item_id, k, doc_id,
+                CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM i JOIN p USING (t) JOIN w USING (t) JOIN m USING (k)
+            GROUP BY item_id, k, doc_id
+        ), r AS (
+            SELECT item_id, CAST(row_number() OVER (
+                PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT * FROM r WHERE rank <= 50
+    """,
 }
