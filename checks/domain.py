@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightfolio.schemas import RAW, RAW_COLUMNS
-from nightfolio.sources.snapshots import is_complete
+from nightfolio.sources.paths import is_complete
 
 BUSINESS_DATE = "2026-05-11"
 

@@ -237,6 +237,37 @@ SELECT a.run_id, a.job_name, a.business_date, {_hit("'FAILED'", "status")},
        {_hit("c.problem", "error_message")}
 FROM audit a LEFT JOIN changes c ON a.run_id = c.run_id"""
 
+_AUDIT_LOG = """WITH events AS (
+  SELECT 'run_' || CAST(o_custkey AS VARCHAR) AS run_id, o_orderstatus AS kind,
+         o_orderkey, o_orderpriority, o_orderdate,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS place
+  FROM orders),
+places AS (
+  SELECT run_id, min(place) FILTER (kind = 'O') AS entered,
+         max(place) FILTER (kind = 'O') AS started, max(place) AS last
+  FROM events GROUP BY run_id),
+ends AS (
+  SELECT events.run_id, max(place) AS finished
+  FROM events JOIN places USING (run_id)
+  WHERE kind = 'F' AND place > entered GROUP BY events.run_id)
+SELECT p.run_id, e.o_orderpriority AS job_name,
+       CAST(CAST(e.o_orderdate AS DATE) AS VARCHAR) AS business_date,
+       CASE l.kind WHEN 'O' THEN 'RUNNING' WHEN 'F' THEN 'SUCCESS' ELSE 'FAILED' END AS status,
+       CAST(NULL AS BIGINT) AS source_count, CAST(NULL AS BIGINT) AS bronze_count,
+       CAST(NULL AS BIGINT) AS silver_count, f.o_orderkey AS gold_count,
+       CAST(NULL AS BIGINT) AS rejected_count,
+       CASE WHEN f.o_orderkey % 3 > 0 THEN f.o_orderkey + 1 END AS staged_count,
+       CAST(NULL AS BIGINT) AS merged_count,
+       strftime(s.o_orderdate, '%Y-%m-%d %H:%M:%S') AS started_at,
+       CASE WHEN l.kind <> 'O' THEN strftime(l.o_orderdate, '%Y-%m-%d %H:%M:%S') END AS ended_at,
+       CASE WHEN l.kind = 'P' THEN 'it''s ' || l.o_orderpriority END AS error_message
+FROM places p
+JOIN events e ON e.run_id = p.run_id AND e.place = p.entered
+JOIN events s ON s.run_id = p.run_id AND s.place = p.started
+JOIN events l ON l.run_id = p.run_id AND l.place = p.last
+LEFT JOIN ends ON ends.run_id = p.run_id
+LEFT JOIN events f ON f.run_id = p.run_id AND f.place = ends.finished"""
+
 _AUDIT_SINGLE = f"""WITH {AUDIT}
 SELECT * REPLACE (
          CASE WHEN run_id = 'run_1' THEN 'FAILED' ELSE status END AS status,
@@ -427,6 +458,8 @@ HAVING count(*) > 1 OR property_code IS NULL OR arrival_date IS NULL""",
     "audit_success": _AUDIT_SUCCESS,
     "audit_failure": _AUDIT_FAILURE,
     "audit_single_run": _AUDIT_SINGLE,
+    "audit_log": _AUDIT_LOG,
+    "audit_log_compacted": _AUDIT_LOG,
     "run_id_format": """SELECT o_orderkey,
        replace(replace(lower('Load ' || o_orderpriority), ' ', '_'), '-', '_') || '_'
        || strftime(o_orderdate, '%Y%m%d') || '_'

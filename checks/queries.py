@@ -29,10 +29,12 @@ from nightfolio.schemas import (
     GOLD_KEYS,
     MALFORMED,
     RAW,
+    RUN_EVENT,
     SERVING,
 )
 from nightfolio.sources import files, staging
-from nightfolio.sources.snapshots import read_snapshot
+from nightfolio.sources.run_log import read_runs
+from nightfolio.sources.snapshots import read_snapshot, write_snapshot
 
 # Two overlapping loads, told apart by arrival date.
 FIRST_LOAD_BEFORE = date(1999, 1, 1)
@@ -360,6 +362,52 @@ def audit_single_run(spark, sf):
     return portable(audit.fail_run(runs, "run_1", "can't say 'why'", _at(_AUDIT_AT)))
 
 
+def _run_events(spark: SparkSession, sf: str) -> DataFrame:
+    """A log with the orders of a customer as the changes of a run, a day's in order of the
+    keys. Many runs end before they start, start again or never do."""
+    kind = (
+        F.when(F.col("o_orderstatus") == "O", "start")
+        .when(F.col("o_orderstatus") == "F", "finish")
+        .otherwise("fail")
+    )
+    key, day = F.col("o_orderkey"), F.col("o_orderdate")
+    start, finish = kind == "start", kind == "finish"
+    values = {
+        "run_id": F.concat(F.lit("run_"), F.col("o_custkey").cast("string")),
+        "kind": kind,
+        "at": day,
+        "tick": key,
+        "id": F.lit("log"),
+        "job_name": F.when(start, F.col("o_orderpriority")),
+        "business_date": F.when(start, day),
+        "gold_count": F.when(finish, key),
+        "staged_count": F.when(finish & (key % 3 > 0), key + 1),
+        "error_message": F.when(kind == "fail", F.concat(F.lit("it's "), F.col("o_orderpriority"))),
+    }
+    return table(spark, sf, "orders").select(
+        *[
+            values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in RUN_EVENT
+        ]
+    )
+
+
+def audit_log(spark, sf):
+    """The table of runs from a log of starts, ends and failures."""
+    return portable(audit.fold_runs(_run_events(spark, sf)))
+
+
+def audit_log_compacted(spark, sf):
+    """The same when the older part of the log, by key, has been compacted on disk before, and is again."""
+    path = scratch_path(spark, "log")
+    events, schema = _run_events(spark, sf), RUN_EVENT
+    for part in (F.col("tick") % 3 == 0, F.col("tick") % 3 == 1):
+        before = read_snapshot(spark, path, schema)
+        write_snapshot(audit.deciding_events(before.unionByName(events.filter(part))), path)
+    late = events.filter(F.col("tick") % 3 == 2)
+    return portable(audit.fold_runs(read_snapshot(spark, path, schema).unionByName(late)))
+
+
 def run_id_format(spark, sf):
     started = F.col("o_orderdate") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), F.col("o_custkey")
@@ -617,7 +665,7 @@ def serving_load(spark, sf):
 def serving_load_audit(spark, sf):
     """What the two loads recorded about themselves."""
     base = _load_twice(spark, sf)
-    runs = read_snapshot(spark, f"{base}/audit", AUDIT)
+    runs = read_runs(spark, f"{base}/audit")
     return portable(
         runs.select(
             "run_id",
@@ -673,7 +721,7 @@ def failed_load(spark, sf):
     serving = read_snapshot(spark, f"{base}/serving", SERVING).groupBy(
         F.col("last_run_id").alias("run_id")
     ).agg(F.count(F.lit(1)).alias("serving_rows"))
-    runs = read_snapshot(spark, f"{base}/audit", AUDIT)
+    runs = read_runs(spark, f"{base}/audit")
     return (
         runs.join(staged, "run_id", "left")
         .join(serving, "run_id", "left")
@@ -776,6 +824,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         audit_success,
         audit_failure,
         audit_single_run,
+        audit_log,
+        audit_log_compacted,
         run_id_format,
         event_nest,
         event_flatten,

@@ -11,8 +11,15 @@ from pyspark.sql import SparkSession
 
 from nightfolio.plans.preview import show_layers
 from nightfolio.plans.reservation_batch import BatchCounts, run_reservation_batch
-from nightfolio.plans.serving_load import run_append_load, run_serving_load, run_upsert_load
+from nightfolio.plans.serving_load import (
+    recover_run,
+    run_append_load,
+    run_serving_load,
+    run_upsert_load,
+)
 from nightfolio.plans.synthesis import synthesise_and_store
+from nightfolio.sources.run_log import compact
+from nightfolio.sources.snapshots import repair_snapshot
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,6 +58,10 @@ def _parser() -> argparse.ArgumentParser:
 
     job("upsert", "merge gold without run bookkeeping", "gold", "staging", "serving")
     job("append", "append gold to a table", "gold", "table")
+    job("compact", "fold the audit log's records into its table", "audit")
+    recover = job("recover", "record the end of a load that a commit notes", "serving", "audit")
+    recover.add_argument("--run-id", required=True)
+    job("repair", "remove what interrupted writers left in a table", "table")
     job("preview", "show the first rows of each layer", "bronze", "silver", "gold")
     return parser
 
@@ -82,6 +93,12 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None):
         return {"rows": run_upsert_load(spark, args.gold, args.staging, args.serving)}
     if args.job == "append":
         return {"rows": run_append_load(spark, args.gold, args.table)}
+    if args.job == "compact":
+        return {"records": compact(spark, args.audit)}
+    if args.job == "recover":
+        return {"recovered": recover_run(spark, args.serving, args.audit, args.run_id)}
+    if args.job == "repair":
+        return {"removed": repair_snapshot(spark, args.table)}
     show_layers(spark, args.bronze, args.silver, args.gold)
     return None
 

@@ -1,4 +1,8 @@
-"""The table of runs: started, finished, failed. Each call returns the new table."""
+"""The table of runs: started, finished, failed.
+
+Changes come as frames, which give the new table, or as a log of single changes, which
+``fold_runs`` turns into the table.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,10 @@ from pyspark.sql import functions as F
 
 from nightfolio.functions.stay import as_date, now_or, require_day
 from nightfolio.operators.serve import upsert
-from nightfolio.schemas import AUDIT, AUDIT_COUNTS
+from nightfolio.schemas import AUDIT, AUDIT_COUNTS, RUN_EVENT
+
+# Kinds of changes in a log, and the state each leaves a run in.
+STATUS = {"start": "RUNNING", "finish": "SUCCESS", "fail": "FAILED"}
 
 
 def start_runs(
@@ -123,3 +130,72 @@ def fail_run(
 
 def empty_audit(spark) -> DataFrame:
     return spark.createDataFrame([], AUDIT)
+
+
+_ORDER = ("at", "tick", "id")
+
+
+def _order(*kinds: str) -> Column:
+    """Where a change of one of the kinds stands in the log; null for others."""
+    place = F.struct(*_ORDER)
+    return F.when(F.col("kind").isin(*kinds), place) if kinds else place
+
+
+def fold_runs(events: DataFrame) -> DataFrame:
+    """The table of runs after all changes of a log, in whatever order they are read.
+
+    One aggregation by run with a rule for each column: job and date are those of the first
+    start, the start time that of the last start, the counts those of the last finish, and
+    state, end and error follow the last change. A run that was never started is not
+    entered, and what came before its first start does not count, as in ``finish_runs``
+    and ``fail_runs``.
+    """
+    start, finish = _order("start"), _order("finish")
+    folded = events.groupBy("run_id").agg(
+        F.min(start).alias("entered"),
+        F.min_by(F.struct("job_name", "business_date"), start).alias("first"),
+        F.max_by("at", start).alias("started_at"),
+        F.max(finish).alias("finished"),
+        F.max_by(F.struct(*AUDIT_COUNTS), finish).alias("counts"),
+        F.max_by(F.struct("kind", "at", "error_message"), _order()).alias("last"),
+    )
+    kind = F.col("last.kind")
+    status = F.lit(None).cast("string")
+    for name, state in STATUS.items():
+        status = F.when(kind == name, state).otherwise(status)
+    columns = {
+        "run_id": F.col("run_id"),
+        "job_name": F.col("first.job_name"),
+        "business_date": F.col("first.business_date"),
+        "status": status,
+        "started_at": F.col("started_at"),
+        "ended_at": F.when(kind != "start", F.col("last.at")),
+        "error_message": F.when(kind == "fail", F.col("last.error_message")),
+    }
+    known = F.col("finished") > F.col("entered")
+    columns |= {name: F.when(known, F.col(f"counts.{name}")) for name in AUDIT_COUNTS}
+    return folded.filter(F.col("entered").isNotNull()).select(
+        *[columns[field.name].cast(field.dataType).alias(field.name) for field in AUDIT]
+    )
+
+
+def deciding_events(events: DataFrame) -> DataFrame:
+    """The changes that decide what ``fold_runs`` gives, four for each run at most.
+
+    First and last start, last finish and last change are maxima, so these stand for the
+    whole log with whatever is added to it, even what is older.
+    """
+    events = events.select(*RUN_EVENT.fieldNames())
+    row = F.struct(*RUN_EVENT.fieldNames())
+    start = _order("start")
+    chosen = F.array(
+        F.min_by(row, start),
+        F.max_by(row, start),
+        F.max_by(row, _order("finish")),
+        F.max_by(row, _order()),
+    )
+    return (
+        events.groupBy("run_id")
+        .agg(F.array_distinct(F.array_compact(chosen)).alias("kept"))
+        .select(F.inline("kept"))
+    )

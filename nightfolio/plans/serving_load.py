@@ -2,35 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import warnings
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nightfolio.functions.stay import new_run_id
-from nightfolio.operators import audit as runs
 from nightfolio.operators.quality import require_keys
 from nightfolio.operators.serve import (
     gold_counts,
     merge_run,
     require_equal_counts,
     require_measures,
-    run_count,
-    scalar,
     serving_columns,
     to_staging,
     upsert_all,
 )
 from nightfolio.plans.reservation_batch import BatchCounts
-from nightfolio.schemas import AUDIT, SERVING
+from nightfolio.schemas import SERVING
 from nightfolio.sources.files import read_gold, read_layer, write_parquet
 from nightfolio.sources.jdbc import read_jdbc, write_jdbc
+from nightfolio.sources.paths import delete_directory
+from nightfolio.sources.run_log import record_failure, record_finish, record_start
 from nightfolio.sources.snapshots import (
+    ConflictError,
+    commit_info,
     current_version,
-    delete_directory,
     read_snapshot,
+    retried,
+    versions,
     write_snapshot,
 )
 from nightfolio.sources.staging import clear_run, read_staged, run_directory, stage_run
@@ -51,6 +54,43 @@ class LoadCounts:
     merged: int
 
 
+class UnrecordedCommit(RuntimeError):
+    """A load is committed, but its end could not be recorded."""
+
+
+def _merged(
+    spark: SparkSession,
+    serving_path: str,
+    months: Sequence[str],
+    change: Callable[[DataFrame], DataFrame],
+    info: Callable[[], Mapping[str, Any]] | None = None,
+) -> int:
+    """Commit what ``change`` makes of the months, again from the new version as long as
+    others change them meanwhile. Returns the version."""
+
+    def attempt() -> int:
+        version = current_version(spark, serving_path)
+        try:
+            serving = read_snapshot(spark, serving_path, SERVING, version, months)
+            return write_snapshot(
+                change(serving),
+                serving_path,
+                after=version,
+                part=month(),
+                replaces=months,
+                info=info,
+            )
+        except ConflictError:
+            raise
+        except Exception as error:
+            if current_version(spark, serving_path) > version + 1:
+                # Its files may have been dropped while they were read.
+                raise ConflictError(f"version {version} of {serving_path} is gone") from error
+            raise
+
+    return retried(attempt)
+
+
 def run_serving_load(
     spark: SparkSession,
     gold_path: str,
@@ -65,19 +105,19 @@ def run_serving_load(
     """Stage gold, check it, merge it into the serving table, and record the run.
 
     The staged partition is written once and read back, so the count gate sees what
-    is on disk. Only months with staged nights are read, merged and written. ``batch``,
+    is on disk. Only months with staged nights are read, merged and written. Loads can run
+    side by side: those of different months do not disturb each other, and of two that
+    change a month the later one merges again into what the other committed. ``batch``,
     what the run that made gold counted, goes into the record as well. A business date
-    that is none, and a measure that the serving table cannot hold, stop the run. On any error the run is recorded as failed, what it staged is removed,
-    the serving table stays at its previous version, and the error goes on to the caller.
+    that is none, and a measure that the serving table cannot hold, stop the run.
+
+    On any error before the commit the run is recorded as failed, what it staged is removed,
+    the serving table stays as it is, and the error goes on to the caller. The commit
+    notes the run and its counts and decides: after it the run is a success. Should recording
+    that fail, ``UnrecordedCommit`` says so, and ``recover_run`` or the same run again mends it.
     """
     run_id = run_id or new_run_id(job_name, business_date)
-
-    def record(change, *args, **kwargs) -> None:
-        version = current_version(spark, audit_path)
-        before = read_snapshot(spark, audit_path, AUDIT, version)
-        write_snapshot(change(before, *args, **kwargs), audit_path, after=version)
-
-    record(runs.start_run, run_id, job_name, business_date)
+    record_start(spark, audit_path, run_id, job_name, business_date)
     try:
         gold = read_gold(spark, gold_path)
         gold_count, lost = gold_counts(gold)
@@ -91,30 +131,63 @@ def run_serving_load(
         require_equal_counts(gold_count, staged_count)
         require_keys(staged)
 
-        version = current_version(spark, serving_path)
-        serving = read_snapshot(spark, serving_path, SERVING, version, months)
-        changed = merge_run(serving, staged, run_id, first=first, last=last)
-        write_snapshot(changed, serving_path, after=version, part=month(), replaces=months)
-
-        merged = read_snapshot(spark, serving_path, SERVING, version + 1, months)
-        merged_count = scalar(run_count(merged, run_id, "last_run_id"))
-        clear_run(spark, staging_path, run_id)
-        record(
-            runs.finish_run,
-            run_id,
-            source_count=batch and batch.raw,
-            bronze_count=batch and batch.raw,
-            silver_count=batch and batch.valid,
-            rejected_count=batch and batch.rejected,
-            gold_count=gold_count,
-            staged_count=staged_count,
-            merged_count=merged_count,
-        )
+        counts = {
+            "source_count": batch and batch.raw,
+            "bronze_count": batch and batch.raw,
+            "silver_count": batch and batch.valid,
+            "rejected_count": batch and batch.rejected,
+            "gold_count": gold_count,
+            "staged_count": staged_count,
+            "merged_count": 0,
+        }
+
+        def change(serving: DataFrame) -> DataFrame:
+            # Counted while it is written: nothing is left to do that could fail afterwards.
+            seen.append(Observation())
+            merged = merge_run(serving, staged, run_id, first=first, last=last)
+            of_this = F.count_if(F.col("last_run_id") == run_id).alias("merged_count")
+            return merged.observe(seen[-1], of_this)
+
+        def info() -> dict[str, Any]:
+            counts["merged_count"] = seen[-1].get["merged_count"]
+            return {"run_id": run_id, "counts": counts}
+
+        seen: list[Observation] = []
+        if months:
+            _merged(spark, serving_path, months, change, info)
     except Exception as error:
-        clear_run(spark, staging_path, run_id)
-        record(runs.fail_run, run_id, str(error))
+        _quietly(clear_run, spark, staging_path, run_id)
+        record_failure(spark, audit_path, run_id, str(error))
         raise
-    return LoadCounts(run_id, gold_count, staged_count, merged_count)
+    try:
+        record_finish(spark, audit_path, run_id, **counts)
+    except Exception as error:
+        raise UnrecordedCommit(f"{run_id} is committed, its end is not recorded") from error
+    finally:
+        _quietly(clear_run, spark, staging_path, run_id)
+    return LoadCounts(run_id, gold_count, staged_count, counts["merged_count"])
+
+
+def _quietly(cleaning: Callable, *args) -> None:
+    """Trouble in cleaning up is a warning: it must not hide or change a run's outcome."""
+    try:
+        cleaning(*args)
+    except Exception as error:
+        warnings.warn(f"{cleaning.__name__}: {error}", stacklevel=3)
+
+
+def recover_run(spark: SparkSession, serving_path: str, audit_path: str, run_id: str) -> bool:
+    """Record the end of a run that a commit of the serving table notes.
+
+    For a load whose driver was lost between the two, as long as the version it made is kept.
+    Returns whether there is such a commit.
+    """
+    for version in reversed(versions(spark, serving_path)):
+        info = commit_info(spark, serving_path, version)
+        if info.get("run_id") == run_id:
+            record_finish(spark, audit_path, run_id, **info["counts"])
+            return True
+    return False
 
 
 def run_upsert_load(
@@ -122,7 +195,8 @@ def run_upsert_load(
 ) -> int:
     """Merge the whole gold layer into the serving table without run bookkeeping.
 
-    It stages in a directory of its own, which alone is removed, come what may.
+    It stages in a directory of its own, which alone is removed, come what may. Side by side
+    with other loads it behaves as ``run_serving_load``.
     """
     own = run_directory(staging_path, new_run_id("upsert", ""))
     try:
@@ -133,12 +207,10 @@ def run_upsert_load(
         staged = read_layer(spark, own, batch.schema)
         require_keys(staged)
         staged_count, months = staged.agg(F.count(F.lit(1)), F.collect_set(month())).first()
-        version = current_version(spark, serving_path)
-        serving = read_snapshot(spark, serving_path, SERVING, version, months)
-        changed = upsert_all(serving, staged)
-        write_snapshot(changed, serving_path, after=version, part=month(), replaces=months)
+        if months:
+            _merged(spark, serving_path, months, lambda serving: upsert_all(serving, staged))
     finally:
-        delete_directory(spark, own)
+        _quietly(delete_directory, spark, own)
     return staged_count
 
 

@@ -136,3 +136,18 @@ AUDIT = T.StructType(
         T.StructField("error_message", T.StringType()),
     ]
 )
+
+# One change of a run: a line of the run log. ``tick`` and ``id`` order changes of one instant.
+RUN_EVENT = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+        T.StructField("tick", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("job_name", T.StringType()),
+        T.StructField("business_date", T.DateType()),
+    ]
+    + [T.StructField(name, T.LongType()) for name in AUDIT_COUNTS]
+    + [T.StructField("error_message", T.StringType())]
+)

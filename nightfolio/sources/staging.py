@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nightfolio.operators.serve import with_staged_at
 from nightfolio.schemas import STAGED
-from nightfolio.sources.snapshots import delete_directory, make_directory
+from nightfolio.sources.paths import delete_directory, make_directory
 
 
 def run_directory(path: str, run_id: str) -> str:

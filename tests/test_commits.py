@@ -1,0 +1,548 @@
+"""Commits of versions and the run log: crashes, conflicts, loads side by side."""
+
+import json
+import os
+import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from nightfolio.operators import audit
+from nightfolio.plans import serving_load
+from nightfolio.plans.serving_load import (
+    UnrecordedCommit,
+    recover_run,
+    run_serving_load,
+    run_upsert_load,
+)
+from nightfolio.schemas import AUDIT, AUDIT_COUNTS, RUN_EVENT, SERVING
+from nightfolio.sources import paths as store
+from nightfolio.sources import run_log, snapshots
+from nightfolio.sources.files import write_parquet
+
+DAY = "2026-05-11"
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "table")
+
+
+def count(spark, path, **options):
+    return snapshots.read_snapshot(spark, path, spark.range(1).schema, **options).count()
+
+
+# Files that must not exist
+
+
+def test_a_file_is_created_whole_and_once(spark, tmp_path):
+    path = str(tmp_path / "new" / "commit.json")
+    store.create_new(spark, path, "först")
+    assert store.read_text(spark, path) == "först"
+    with pytest.raises(FileExistsError):
+        store.create_new(spark, path, "second")
+    # The outcome of a call that was repeated unseen is judged by the file.
+    store.create_new(spark, path, "först")
+    assert store.read_text(spark, path) == "först"
+    assert [name for name in os.listdir(tmp_path / "new") if not name.endswith(".crc")] == ["commit.json"]
+    with pytest.raises(FileNotFoundError):
+        store.read_text(spark, f"{path}-none")
+
+
+def test_of_many_writers_one_creates(spark, tmp_path):
+    path = str(tmp_path / "file")
+
+    def attempt(number):
+        try:
+            store.create_new(spark, path, f"writer {number}")
+            return number
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [number for number in pool.map(attempt, range(24)) if number is not None]
+    assert len(won) == 1 and store.read_text(spark, path) == f"writer {won[0]}"
+
+
+def test_names_of_files_need_no_other_store(spark, tmp_path, monkeypatch):
+    """Where there is no link, a rename that replaces nothing does it."""
+    path = str(tmp_path / "file")
+    hidden = str(tmp_path / ".file")
+    real = store.file_system
+
+    class Other:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def getScheme(self):
+            return "other"
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    monkeypatch.setattr(store, "file_system", lambda spark, path: Other(real(spark, path)))
+    store._write(spark, hidden, "text")
+    store._publish(spark, hidden, path, "text")
+    assert store.read_text(spark, path) == "text" and not os.path.exists(hidden)
+    with pytest.raises(FileExistsError):
+        store.create_new(spark, path, "more")
+
+
+# Versions
+
+
+def test_a_crash_before_the_commit_leaves_the_old_version(spark, path, monkeypatch):
+    snapshots.write_snapshot(spark.range(3), path)
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*_):
+        raise Killed
+
+    monkeypatch.setattr(store, "_publish", killed)
+    with pytest.raises(Killed):
+        snapshots.write_snapshot(spark.range(5), path)
+    monkeypatch.undo()
+    assert count(spark, path) == 3
+    left = [name for name in os.listdir(path) if name.startswith("version")]
+    assert len(left) == 2  # nobody cleaned up after the kill
+    assert snapshots.write_snapshot(spark.range(7), path) == 2
+    assert count(spark, path) == 7
+    assert snapshots.repair_snapshot(spark, path) == []  # it may still be written
+    (removed,) = snapshots.repair_snapshot(spark, path, older_than=0)
+    assert removed.startswith("version-00000002") and count(spark, path) == 7
+
+
+def test_a_store_that_loses_its_answer(spark, path, monkeypatch):
+    """The name was given, yet the call failed: the commit counts and its data stay."""
+    real = store._publish
+
+    def unsure(*args):
+        real(*args)
+        raise OSError("connection lost")
+
+    monkeypatch.setattr(store, "_publish", unsure)
+    assert snapshots.write_snapshot(spark.range(4), path) == 1
+    assert count(spark, path) == 4
+
+
+@pytest.mark.parametrize("text", ["", "{", "[]", '{"parts": 1}'])
+def test_an_empty_commit_is_named_and_repaired(spark, path, text):
+    snapshots.write_snapshot(spark.range(3), path)
+    with open(f"{path}/commit-00000002.json", "w") as file:
+        file.write(text)
+    with pytest.raises(snapshots.UnreadableCommit, match="commit-00000002.json"):
+        count(spark, path)
+    with pytest.raises(snapshots.UnreadableCommit, match="commit-00000002.json"):
+        snapshots.write_snapshot(spark.range(5), path)
+    assert len(os.listdir(path)) and len([n for n in os.listdir(path) if n.startswith("version")]) == 1
+    assert snapshots.repair_snapshot(spark, path) == ["commit-00000002.json"]
+    assert count(spark, path) == 3
+    snapshots.write_snapshot(spark.range(5), path)
+    assert count(spark, path) == 5
+
+
+def test_repair_keeps_a_commit_that_may_have_data(spark, path):
+    for rows in (3, 4):
+        snapshots.write_snapshot(spark.range(rows), path)
+    open(f"{path}/commit-00000002.json", "w").close()
+    with pytest.raises(snapshots.UnreadableCommit, match="version-00000002"):
+        snapshots.repair_snapshot(spark, path, older_than=0)
+    assert len([n for n in os.listdir(path) if n.startswith("version")]) == 2
+
+
+def parts_of(spark, **rows):
+    frame = spark.createDataFrame(
+        [(name, value) for name, values in rows.items() for value in values], "p string, n int"
+    )
+    return frame
+
+
+def read_parts(spark, path, parts=None):
+    frame = snapshots.read_snapshot(spark, path, parts_of(spark).schema, parts=parts)
+    return sorted((row.p, row.n) for row in frame.collect())
+
+
+def write_parts(spark, path, after=None, replaces=(), **rows):
+    return snapshots.write_snapshot(
+        parts_of(spark, **rows), path, after=after, part=F.col("p"), replaces=replaces
+    )
+
+
+def test_writers_of_different_parts_both_commit(spark, path):
+    base = write_parts(spark, path, replaces=["a", "b", "c"], a=[1], b=[2], c=[3])
+    assert write_parts(spark, path, after=base, replaces=["a"], a=[10]) == 2
+    assert write_parts(spark, path, after=base, replaces=["b", "d"], b=[20], d=[40]) == 3
+    assert read_parts(spark, path) == [("a", 10), ("b", 20), ("c", 3), ("d", 40)]
+    assert read_parts(spark, path, ["a", "d"]) == [("a", 10), ("d", 40)]
+    with pytest.raises(snapshots.ConflictError, match="another writer"):
+        write_parts(spark, path, after=2, replaces=["b"], b=[99])
+    # A part that neither replaced but both made is a conflict too.
+    with pytest.raises(snapshots.ConflictError):
+        write_parts(spark, path, after=2, replaces=["d"], d=[99])
+    assert read_parts(spark, path) == [("a", 10), ("b", 20), ("c", 3), ("d", 40)]
+    assert write_parts(spark, path, after=3, replaces=["a"]) == 4
+    assert read_parts(spark, path) == [("b", 20), ("c", 3), ("d", 40)]
+    with pytest.raises(snapshots.ConflictError, match="replaced version 1"):
+        write_parts(spark, path, after=1, replaces=["c"], c=[5])
+
+
+def test_a_late_writer_does_not_take_a_number_again(spark, path, monkeypatch):
+    """Its number was made and dropped meanwhile; the version must not come before others."""
+    write_parts(spark, path, replaces=["a", "b"], a=[1], b=[2])
+    real = snapshots.create_new
+    once = []
+
+    def late(spark_, name, text):
+        if not once:
+            once.append(name)
+            for n in (2, 3, 4):
+                write_parts(spark, path, replaces=["a"], a=[n])
+        real(spark_, name, text)
+
+    monkeypatch.setattr(snapshots, "create_new", late)
+    write_parts(spark, path, replaces=["b"], b=[20])
+    assert once[0].endswith("commit-00000002.json")
+    assert read_parts(spark, path) == [("a", 4), ("b", 20)]
+
+
+def test_dropping_old_versions_does_not_fail_a_write(spark, path, monkeypatch):
+    def broken(*_):
+        raise OSError("no permission")
+
+    monkeypatch.setattr(snapshots, "_drop", broken)
+    with pytest.warns(UserWarning, match="no permission"):
+        assert snapshots.write_snapshot(spark.range(2), path) == 1
+    assert count(spark, path) == 2
+
+
+def test_many_writers_of_their_own_parts(spark, path):
+    def attempt(number):
+        def write():
+            before = snapshots.current_version(spark, path)
+            return write_parts(spark, path, after=before, replaces=[f"p{number}"], **{f"p{number}": [number]})
+
+        return snapshots.retried(write)
+
+    with ThreadPoolExecutor(6) as pool:
+        numbers = list(pool.map(attempt, range(6)))
+    assert sorted(numbers) == list(range(1, 7))
+    assert read_parts(spark, path) == [(f"p{n}", n) for n in range(6)]
+
+
+def test_what_a_commit_notes(spark, path):
+    assert snapshots.commit_info(spark, path) == {}
+    snapshots.write_snapshot(spark.range(2), path, info=lambda: {"run_id": "one"})
+    snapshots.write_snapshot(spark.range(2), path)
+    assert snapshots.commit_info(spark, path) == {}
+    assert snapshots.commit_info(spark, path, 1) == {"run_id": "one"}
+
+
+def test_a_first_write_that_has_not_ended(spark, path, monkeypatch):
+    real, seen = snapshots._commit, []
+
+    def commit(spark_, path_, *rest):
+        if not seen:
+            seen.append(snapshots.current_version(spark, path))
+            seen.append(count(spark, path))
+            snapshots.write_snapshot(spark.range(9), path)
+        return real(spark_, path_, *rest)
+
+    monkeypatch.setattr(snapshots, "_commit", commit)
+    with pytest.raises(snapshots.ConflictError):
+        snapshots.write_snapshot(spark.range(3), path)
+    assert seen == [0, 0] and count(spark, path) == 9
+
+
+# The run log
+
+START = datetime(2026, 5, 1, tzinfo=timezone.utc)
+
+
+def log_events(seed, runs=25, size=200):
+    rng = random.Random(seed)
+    rows = []
+    for tick in range(size):
+        kind = rng.choice(["start", "finish", "fail"])
+        at = (START + timedelta(minutes=rng.randint(0, 30))).replace(tzinfo=None)
+        counts = [rng.choice([None, rng.randint(0, 9)]) if kind == "finish" else None for _ in AUDIT_COUNTS]
+        start = kind == "start"
+        rows.append((
+            f"run{rng.randrange(runs)}", kind, at, tick, f"{tick:032x}",
+            f"job{tick}" if start else None, date(2026, 5, 1 + tick % 28) if start else None,
+            *counts, f"error {tick}" if kind == "fail" else None,
+        ))
+    rng.shuffle(rows)
+    return rows
+
+
+def folded_by_hand(rows):
+    """One change after another, as a table with one row per run would take them."""
+    names = RUN_EVENT.fieldNames()
+    table = {}
+    for row in sorted(rows, key=lambda r: r[2:5]):
+        event = dict(zip(names, row))
+        run = table.get(event["run_id"])
+        if event["kind"] == "start":
+            if run is None:
+                run = dict.fromkeys(AUDIT.fieldNames()) | {
+                    name: event[name] for name in ("run_id", "job_name", "business_date")
+                }
+                table[event["run_id"]] = run
+            run |= {"status": "RUNNING", "started_at": event["at"], "ended_at": None, "error_message": None}
+        elif run is not None and event["kind"] == "finish":
+            run |= {"status": "SUCCESS", "ended_at": event["at"], "error_message": None}
+            run |= {name: event[name] for name in AUDIT_COUNTS}
+        elif run is not None:
+            run |= {"status": "FAILED", "ended_at": event["at"], "error_message": event["error_message"]}
+    return sorted((tuple(run.values()) for run in table.values()), key=lambda r: r[0])
+
+
+def rows_of(frame):
+    return sorted((tuple(row) for row in frame.collect()), key=lambda r: r[0])
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_folding_takes_changes_one_after_another(spark, seed):
+    rows = log_events(seed)
+    events = spark.createDataFrame(rows, RUN_EVENT).repartition(5)
+    found = audit.fold_runs(events)
+    assert found.schema == AUDIT or found.schema.simpleString() == AUDIT.simpleString()
+    assert rows_of(found) == folded_by_hand(rows)
+
+
+@pytest.mark.parametrize("cut", [0, 1, 60, 200])
+def test_deciding_changes_stand_for_the_log(spark, cut):
+    rows = log_events(3)
+    early = audit.deciding_events(spark.createDataFrame(rows[:cut], RUN_EVENT))
+    assert early.count() <= 4 * 25
+    both = early.unionByName(spark.createDataFrame(rows[cut:], RUN_EVENT))
+    assert rows_of(audit.fold_runs(both)) == folded_by_hand(rows)
+    assert rows_of(audit.fold_runs(audit.deciding_events(both))) == folded_by_hand(rows)
+
+
+def test_folding_equals_the_changes_of_a_table(spark):
+    at = [datetime(2026, 5, 1, 8), datetime(2026, 5, 1, 9), datetime(2026, 5, 2)]
+    table = audit.start_run(audit.empty_audit(spark), "r", "job", DAY, at[0])
+    table = audit.finish_run(table, "r", at[1], gold_count=5)
+    table = audit.start_run(table, "r", "other", "2026-05-12", at[2])
+    nothing = [None] * len(AUDIT_COUNTS)
+    counts = [5 if name == "gold_count" else None for name in AUDIT_COUNTS]
+    events = [
+        ("r", "start", at[0], 0, "a", "job", date(2026, 5, 11), *nothing, None),
+        ("r", "finish", at[1], 1, "b", None, None, *counts, None),
+        ("r", "start", at[2], 2, "c", "other", date(2026, 5, 12), *nothing, None),
+    ]
+    folded = audit.fold_runs(spark.createDataFrame(events, RUN_EVENT))
+    assert rows_of(folded) == rows_of(table.select(*AUDIT.fieldNames()))
+
+
+def test_recording_and_compaction(spark, path):
+    assert run_log.read_runs(spark, path).count() == 0
+    assert run_log.compact(spark, path) == 0
+    run_log.record_start(spark, path, "one", "job", DAY)
+    run_log.record_failure(spark, path, "one", 'it\'s "broken"\nhere')
+    run_log.record_start(spark, path, "two", "job", DAY)
+    run_log.record_finish(spark, path, "two", gold_count=2**40, staged_count=0)
+    run_log.record_failure(spark, path, "unknown", "never started")
+    before = rows_of(run_log.read_runs(spark, path))
+    assert [row[0] for row in before] == ["one", "two"]
+    one, two = before
+    assert (one[3], one[-1]) == ("FAILED", 'it\'s "broken"\nhere')
+    assert two[3] == "SUCCESS" and two[AUDIT.fieldNames().index("gold_count")] == 2**40
+
+    assert run_log.compact(spark, path, least=6) == 0
+    assert run_log.compact(spark, path) == 5
+    assert rows_of(run_log.read_runs(spark, path)) == before
+    assert len(store.names(spark, f"{path}/records")) == 5  # an older reader may need them
+    run_log.record_start(spark, path, "one", "again", "2026-05-12")
+    assert run_log.compact(spark, path) == 1
+    assert len(store.names(spark, f"{path}/records")) == 1
+    after = {row[0]: row for row in rows_of(run_log.read_runs(spark, path))}
+    assert after["two"] == two and after["one"][1:4] == ("job", date(2026, 5, 11), "RUNNING")
+    with pytest.raises(TypeError, match="unknown counts"):
+        run_log.record_finish(spark, path, "two", rows=1)
+    with pytest.raises(ValueError):
+        run_log.record_start(spark, path, "three", "job", "2026-5-1")
+
+
+def test_records_do_not_grow_and_none_is_lost(spark, path):
+    def record(number):
+        run_log.record_start(spark, path, f"run{number}", "job", DAY)
+        run_log.record_finish(spark, path, f"run{number}", merged_count=number)
+
+    stop = threading.Event()
+
+    def compacting():
+        while not stop.is_set():
+            run_log.compact(spark, path)
+
+    compactor = threading.Thread(target=compacting)
+    compactor.start()
+    try:
+        with ThreadPoolExecutor(8) as pool:
+            list(pool.map(record, range(40)))
+    finally:
+        stop.set()
+        compactor.join()
+    runs = run_log.read_runs(spark, path)
+    assert {(r.run_id, r.status, r.merged_count) for r in runs.collect()} == {
+        (f"run{n}", "SUCCESS", n) for n in range(40)
+    }
+    size = [len(json.dumps(n)) for n in range(40)]
+    files = [f"{path}/records/{name}" for name in os.listdir(f"{path}/records") if name.endswith(".json")]
+    assert all(os.path.getsize(name) < 400 for name in files) and max(size) < 3
+
+
+# Loads
+
+
+class Paths:
+    def __init__(self, base):
+        for name in ("gold", "staging", "serving", "audit"):
+            setattr(self, name, f"{base}/{name}")
+
+
+@pytest.fixture
+def paths(tmp_path):
+    return Paths(tmp_path)
+
+
+def write_gold(spark, path, *cells):
+    rows = [(code, date(2026, month, day), 1, 2, revenue, 1.0) for code, month, day, revenue in cells]
+    gold = spark.createDataFrame(
+        rows,
+        "property_code string, stay_date date, reservation_count bigint, booked_rooms bigint, "
+        "total_revenue double, adr double",
+    )
+    write_parquet(gold.withColumn("gold_ingestion_ts", F.current_timestamp()), path)
+    return path
+
+
+def load(spark, paths, gold, run):
+    return run_serving_load(spark, gold, paths.staging, paths.serving, paths.audit, DAY, run_id=run)
+
+
+def cells(spark, paths):
+    rows = snapshots.read_snapshot(spark, paths.serving, SERVING).collect()
+    return {(r.property_code, r.stay_date.month, r.stay_date.day): (r.total_revenue, r.last_run_id) for r in rows}
+
+
+def states(spark, paths):
+    return {r.run_id: r.status for r in run_log.read_runs(spark, paths.audit).collect()}
+
+
+@pytest.mark.parametrize("other_month", [6, 7])
+def test_two_loads_side_by_side(spark, paths, monkeypatch, other_month):
+    """Both have merged before either commits."""
+    one = write_gold(spark, f"{paths.gold}-1", ("a", 6, 1, 1.0), ("a", 6, 2, 1.0))
+    two = write_gold(spark, f"{paths.gold}-2", ("a", other_month, 2, 2.0), ("b", other_month, 1, 2.0))
+    load(spark, paths, write_gold(spark, f"{paths.gold}-0", ("z", 5, 1, 0.5)), "zero")
+    barrier, real = threading.Barrier(2), snapshots._commit
+    merges = []
+
+    def commit(spark_, path, *rest):
+        if path == paths.serving and len(merges) < 2:
+            merges.append(path)
+            barrier.wait(120)
+        return real(spark_, path, *rest)
+
+    monkeypatch.setattr(snapshots, "_commit", commit)
+    with ThreadPoolExecutor(2) as pool:
+        first = pool.submit(load, spark, paths, one, "one")
+        second = pool.submit(load, spark, paths, two, "two")
+        assert (first.result().merged, second.result().merged) == (2, 2)
+    found = cells(spark, paths)
+    assert found["a", 6, 1] == (Decimal("1.00"), "one")
+    assert found["b", other_month, 1] == (Decimal("2.00"), "two")
+    assert found["z", 5, 1] == (Decimal("0.50"), "zero")
+    if other_month == 6:
+        assert found["a", 6, 2][1] in ("one", "two") and len(found) == 4
+    else:
+        assert found["a", 6, 2] == (Decimal("1.00"), "one") and len(found) == 5
+    assert states(spark, paths) == {"zero": "SUCCESS", "one": "SUCCESS", "two": "SUCCESS"}
+    assert store.data_files(spark, paths.staging) == []
+    # What a rejected attempt had written is gone.
+    assert snapshots.repair_snapshot(spark, paths.serving, older_than=0) == []
+
+
+def test_a_load_beside_an_upsert_of_the_same_month(spark, paths, monkeypatch):
+    gold = write_gold(spark, f"{paths.gold}-1", ("a", 6, 1, 1.0))
+    other = write_gold(spark, f"{paths.gold}-2", ("b", 6, 1, 2.0))
+    real, once = snapshots._commit, []
+
+    def commit(spark_, path, *rest):
+        if path == paths.serving and not once:
+            once.append(path)
+            run_upsert_load(spark, other, paths.staging, paths.serving)
+        return real(spark_, path, *rest)
+
+    monkeypatch.setattr(snapshots, "_commit", commit)
+    assert load(spark, paths, gold, "one").merged == 1
+    assert cells(spark, paths) == {
+        ("a", 6, 1): (Decimal("1.00"), "one"),
+        ("b", 6, 1): (Decimal("2.00"), None),
+    }
+
+
+def test_a_load_that_is_always_too_late_fails(spark, paths, monkeypatch):
+    gold = write_gold(spark, f"{paths.gold}-1", ("a", 6, 1, 1.0))
+
+    def conflict(*_):
+        raise snapshots.ConflictError("another writer")
+
+    monkeypatch.setattr(snapshots, "_commit", conflict)
+    with pytest.raises(snapshots.ConflictError):
+        load(spark, paths, gold, "one")
+    monkeypatch.undo()
+    assert states(spark, paths) == {"one": "FAILED"} and cells(spark, paths) == {}
+
+
+def test_trouble_after_the_commit_does_not_fail_a_load(spark, paths, monkeypatch):
+    gold = write_gold(spark, f"{paths.gold}-1", ("a", 6, 1, 1.0))
+
+    def broken(*_):
+        raise OSError("no answer")
+
+    monkeypatch.setattr(snapshots, "_drop", broken)
+    monkeypatch.setattr(serving_load, "clear_run", broken)
+    with pytest.warns(UserWarning, match="no answer"):
+        assert load(spark, paths, gold, "one").merged == 1
+    assert states(spark, paths) == {"one": "SUCCESS"}
+
+
+def test_a_commit_whose_end_is_not_recorded(spark, paths, monkeypatch):
+    gold = write_gold(spark, f"{paths.gold}-1", ("a", 6, 1, 1.0), ("a", 6, 2, 1.0))
+
+    def broken(*_, **__):
+        raise OSError("no answer")
+
+    monkeypatch.setattr(serving_load, "record_finish", broken)
+    with pytest.raises(UnrecordedCommit, match="one is committed"):
+        load(spark, paths, gold, "one")
+    monkeypatch.undo()
+    assert states(spark, paths) == {"one": "RUNNING"} and len(cells(spark, paths)) == 2
+    assert store.data_files(spark, paths.staging) == []
+    assert not recover_run(spark, paths.serving, paths.audit, "other")
+    assert recover_run(spark, paths.serving, paths.audit, "one")
+    (run,) = run_log.read_runs(spark, paths.audit).collect()
+    assert (run.status, run.gold_count, run.staged_count, run.merged_count) == ("SUCCESS", 2, 2, 2)
+
+
+def test_a_failed_merge_leaves_the_version(spark, paths, monkeypatch):
+    load(spark, paths, write_gold(spark, f"{paths.gold}-1", ("a", 6, 1, 1.0)), "one")
+
+    def broken(*_):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(snapshots, "create_new", broken)
+    with pytest.raises(OSError):
+        load(spark, paths, write_gold(spark, f"{paths.gold}-2", ("a", 6, 1, 2.0)), "two")
+    monkeypatch.undo()
+    assert cells(spark, paths) == {("a", 6, 1): (Decimal("1.00"), "one")}
+    assert states(spark, paths) == {"one": "SUCCESS", "two": "FAILED"}

@@ -18,8 +18,9 @@ from nightfolio.plans.serving_load import (
     run_serving_load,
     run_upsert_load,
 )
-from nightfolio.schemas import AUDIT, RAW_COLUMNS, SERVING
+from nightfolio.schemas import RAW_COLUMNS, SERVING
 from nightfolio.sources.files import read_layer, write_parquet, write_reservations_csv
+from nightfolio.sources.run_log import read_runs
 from nightfolio.sources.snapshots import read_snapshot, write_snapshot
 from nightfolio.sources.staging import read_staged
 
@@ -141,7 +142,7 @@ def test_two_loads(spark, paths):
     assert cells["a", 2].last_run_id == "two" and cells["a", 2].updated_at is not None
     assert cells["a", 1].last_run_id == "one" and cells["a", 1].updated_at is None
     assert cells["a", 3].updated_at is None and cells["a", 3].created_at is not None
-    runs = {row.run_id: row for row in read_snapshot(spark, paths.audit, AUDIT).collect()}
+    runs = {row.run_id: row for row in read_runs(spark, paths.audit).collect()}
     assert {run: row.status for run, row in runs.items()} == {"one": "SUCCESS", "two": "SUCCESS"}
     assert (runs["two"].gold_count, runs["two"].staged_count, runs["two"].merged_count) == (2, 2, 2)
     assert read_staged(spark, paths.staging).count() == 0
@@ -155,7 +156,7 @@ def test_repeating_a_run_changes_nothing_but_clocks(spark, paths):
     after = serving_cells(spark, paths)
     assert before.keys() == after.keys()
     assert all(before[key].created_at == after[key].created_at for key in before)
-    assert read_snapshot(spark, paths.audit, AUDIT).count() == 1
+    assert read_runs(spark, paths.audit).count() == 1
 
 
 @pytest.mark.parametrize("second", [("a", 2, 20.0), (None, 2, 20.0)])
@@ -166,7 +167,7 @@ def test_bad_keys_fail_the_run_and_leave_serving_alone(spark, paths, second):
     with pytest.raises(ValueError, match="keys"):
         load(spark, paths, run_id="bad")
     assert serving_cells(spark, paths)["a", 1].total_revenue == Decimal("10.00")
-    runs = {row.run_id: row for row in read_snapshot(spark, paths.audit, AUDIT).collect()}
+    runs = {row.run_id: row for row in read_runs(spark, paths.audit).collect()}
     assert runs["bad"].status == "FAILED" and "keys" in runs["bad"].error_message
     assert runs["good"].status == "SUCCESS"
 
@@ -180,7 +181,7 @@ def test_count_mismatch_fails_the_run(spark, paths, monkeypatch):
     with pytest.raises(ValueError, match="staged 1 rows of 2"):
         load(spark, paths, run_id="short")
     assert serving_cells(spark, paths) == {}
-    (run,) = read_snapshot(spark, paths.audit, AUDIT).collect()
+    (run,) = read_runs(spark, paths.audit).collect()
     assert (run.status, run.ended_at is not None) == ("FAILED", True)
 
 
@@ -326,7 +327,7 @@ def test_counts_of_the_batch_reach_the_audit(spark, paths):
     write_reservations_csv(raw_frame(spark, {}, {"room_count": "0"}), paths.raw, DAY)
     counts = run_batch(spark, paths)
     load(spark, paths, run_id="one", batch=counts)
-    (run,) = read_snapshot(spark, paths.audit, AUDIT).collect()
+    (run,) = read_runs(spark, paths.audit).collect()
     assert (run.source_count, run.bronze_count, run.silver_count, run.rejected_count) == (2, 2, 1, 1)
     assert run.gold_count == run.staged_count == run.merged_count == counts.gold
 

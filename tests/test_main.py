@@ -16,6 +16,10 @@ def test_jobs_in_a_row(spark, tmp_path, capsys):
     assert (batch["raw"], batch["rejected"]) == (60, 0)
     loaded = run(spark, ["load", *at("gold", "staging", "serving", "audit"), *day])
     assert loaded["merged"] == loaded["gold"] == batch["gold"]
+    run_id = loaded["run_id"]
+    assert run(spark, ["recover", *at("serving", "audit"), "--run-id", run_id]) == {"recovered": True}
+    assert run(spark, ["compact", *at("audit")]) == {"records": 3}
+    assert run(spark, ["repair", "--table", str(tmp_path / "serving")]) == {"removed": []}
     upserted = run(spark, ["upsert", *at("gold", "staging", "serving")])
     assert upserted["rows"] == batch["gold"]
     assert run(spark, ["append", *at("gold", "table")])["rows"] == batch["gold"]
