@@ -396,6 +396,33 @@ _LINE = " || ',' || ".join(f"coalesce({name}, '')" for name in _RAW_NAMES.split(
 
 _REJECTED = f"WITH {CHECKED} SELECT * FROM checked WHERE validation_reason IS NOT NULL"
 
+_TYPED = "arrival_date, departure_date, created_ts, updated_ts, room_count, total_revenue"
+_UNTYPED = ", ".join(name for name in _RAW_NAMES.split(", ") if name not in _TYPED.split(", "))
+
+_BATCH_SPLIT = f"""WITH {SILVER}
+SELECT {_UNTYPED}, business_date, source_system,
+       CAST(arrival_date AS VARCHAR) AS arrival_date,
+       CAST(departure_date AS VARCHAR) AS departure_date, created_ts, updated_ts, room_count,
+       total_revenue, {", ".join(f"CAST(NULL AS VARCHAR) AS raw_{n}" for n in _TYPED.split(", "))},
+       CAST(NULL AS VARCHAR) AS validation_reason
+FROM silver
+UNION ALL
+SELECT {_UNTYPED}, business_date, source_system, NULL, NULL, NULL, NULL, NULL, NULL,
+       {_TYPED}, validation_reason
+FROM checked WHERE validation_reason IS NOT NULL"""
+
+_PREVIEW_STORED = f"""WITH {SILVER}, bronze_rows AS (
+  SELECT * FROM bronze ORDER BY {_RAW_ORDER} LIMIT 10),
+silver_rows AS (
+  SELECT * FROM silver ORDER BY {_RAW_ORDER} LIMIT 10)
+SELECT 'bronze' AS layer, {_RAW_NAMES} FROM bronze_rows
+UNION ALL
+SELECT 'silver', {_RAW_NAMES.replace("arrival_date, departure_date",
+                                     "CAST(arrival_date AS VARCHAR), CAST(departure_date AS VARCHAR)")
+                 .replace("room_count", "CAST(room_count AS VARCHAR)")
+                 .replace("total_revenue", "CAST(total_revenue AS VARCHAR)")}
+FROM silver_rows"""
+
 ORACLE_SQL: dict[str, str] = {
     "bronze_enrich": f"WITH {BRONZE} SELECT * FROM bronze",
     "reject_counts": f"""WITH {CHECKED}
@@ -510,6 +537,10 @@ SELECT count(validation_reason) AS after_rejects, CAST(0 AS BIGINT) AS after_cle
 FROM checked""",
     "batch_gold": f"""WITH {GOLD}
 SELECT property_code, {_DAY}, reservation_count, booked_rooms, total_revenue, adr FROM gold""",
+    "batch_split": _BATCH_SPLIT,
+    "clustered_month": f"""WITH {GOLD} {_GOLD_OUT}
+WHERE gold.stay_date BETWEEN DATE '1998-01-15' AND DATE '1998-03-10'""",
+    "preview_stored": _PREVIEW_STORED,
     "batch_counts": f"""WITH {GOLD}, counted AS (
   SELECT 'bronze' AS layer, count(*) AS row_count FROM bronze
   UNION ALL SELECT 'silver', count(*) FROM silver

@@ -16,9 +16,9 @@ from checks.domain import BUSINESS_DATE, raw_reservations, scratch_path, table
 from nightfolio.functions.stay import run_id
 from nightfolio.operators import audit, quality, revenue, serve
 from nightfolio.operators.ingest import flatten_events, to_bronze, to_events
-from nightfolio.operators.refine import to_silver
+from nightfolio.operators.refine import TYPES, to_silver
 from nightfolio.operators.synth import reservations_for
-from nightfolio.plans.preview import BRONZE_ROWS, GOLD_ROWS, SILVER_ROWS, preview
+from nightfolio.plans.preview import BRONZE_ROWS, GOLD_ROWS, SILVER_ROWS, preview, preview_layer
 from nightfolio.plans.reservation_batch import BatchCounts, run_reservation_batch
 from nightfolio.plans.serving_load import run_append_load, run_serving_load, run_upsert_load
 from nightfolio.plans.synthesis import store
@@ -33,6 +33,7 @@ from nightfolio.schemas import (
     SERVING,
 )
 from nightfolio.sources import files, staging
+from nightfolio.sources.layers import read_layer_of
 from nightfolio.sources.run_log import read_runs
 from nightfolio.sources.snapshots import read_snapshot, write_snapshot
 
@@ -587,31 +588,63 @@ def rejects_cleared(spark, sf):
     )
 
 
-def _run_batch(spark: SparkSession, sf: str) -> tuple[str, object]:
+_CLOCKS = ("bronze_ingestion_ts", "silver_ingestion_ts")
+
+
+def _run_batch(spark: SparkSession, sf: str, **options) -> tuple[str, BatchCounts]:
     base = scratch_path(spark, "batch")
     files.write_reservations_csv(raw_reservations(spark, sf), f"{base}/raw", BUSINESS_DATE)
     counts = run_reservation_batch(
         spark,
         f"{base}/raw",
-        f"{base}/bronze",
-        f"{base}/silver",
-        f"{base}/rejected",
-        f"{base}/gold",
+        f"{base}/layers",
         BUSINESS_DATE,
         money="decimal",
+        **options,
     )
-    return base, counts
+    return f"{base}/layers", counts
 
 
 def batch_gold(spark, sf):
     """The whole batch from CSV files to the gold layer on disk."""
-    base, _ = _run_batch(spark, sf)
-    return portable(files.read_layer(spark, f"{base}/gold").drop("gold_ingestion_ts"))
+    layers, _ = _run_batch(spark, sf)
+    return portable(read_layer_of(spark, layers, "gold").drop("gold_ingestion_ts"))
+
+
+def batch_split(spark, sf):
+    """Silver and rejected rows as one pass over bronze has written them, rejected ones with
+    the raw text of the columns that silver types, and their reason."""
+    path, _ = _run_batch(spark, sf, cluster_silver=True)
+    silver = read_layer_of(spark, path, "silver").drop(*_CLOCKS)
+    rejected = read_layer_of(spark, path, "rejected").drop("bronze_ingestion_ts", MALFORMED)
+    raw = {name: f"raw_{name}" for name in TYPES}
+    both = silver.unionByName(rejected.withColumnsRenamed(raw), allowMissingColumns=True)
+    return portable(both)
+
+
+def clustered_month(spark, sf):
+    """Gold of some weeks, from silver on disk that is sorted by arrival."""
+    path, _ = _run_batch(spark, sf, cluster_silver=True)
+    silver = read_layer_of(spark, path, "silver")
+    return portable(_gold(silver, first=RANGE_FIRST, last=RANGE_LAST))
+
+
+def preview_stored(spark, sf):
+    """The previews of bronze and silver as the job shows them, without what clocks decide."""
+    path, _ = _run_batch(spark, sf)
+    names = RAW.fieldNames()
+    bronze, silver = (
+        portable(preview_layer(spark, path, layer)).select(
+            F.lit(layer).alias("layer"), *[F.col(name).cast("string") for name in names]
+        )
+        for layer in ("bronze", "silver")
+    )
+    return bronze.unionByName(silver)
 
 
 def batch_counts(spark, sf):
     """Rows of each layer on disk, beside the counts the batch reported."""
-    base, counts = _run_batch(spark, sf)
+    path, counts = _run_batch(spark, sf)
     reported = {
         "bronze": counts.raw,
         "silver": counts.valid,
@@ -619,7 +652,7 @@ def batch_counts(spark, sf):
         "gold": counts.gold,
     }
     layers = [
-        files.read_layer(spark, f"{base}/{layer}").agg(
+        read_layer_of(spark, path, layer).agg(
             F.lit(layer).alias("layer"),
             F.count(F.lit(1)).alias("row_count"),
             F.lit(count).cast("bigint").alias("reported"),
@@ -844,6 +877,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rejects_conditional,
         rejects_cleared,
         batch_gold,
+        batch_split,
+        clustered_month,
+        preview_stored,
         batch_counts,
         serving_load,
         serving_load_audit,

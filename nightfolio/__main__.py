@@ -18,6 +18,7 @@ from nightfolio.plans.serving_load import (
     run_upsert_load,
 )
 from nightfolio.plans.synthesis import synthesise_and_store
+from nightfolio.sources.layers import layer_path
 from nightfolio.sources.run_log import compact
 from nightfolio.sources.snapshots import repair_snapshot
 
@@ -42,27 +43,33 @@ def _parser() -> argparse.ArgumentParser:
     batch = job(
         "batch",
         "rebuild all layers from the raw CSV files",
-        "raw", "bronze", "silver", "rejected", "gold",
+        "raw", "layers",
     )
     batch.add_argument("--business-date", required=True)
     batch.add_argument("--money", choices=("double", "decimal"), default="double")
     batch.add_argument("--keep-stale-rejects", action="store_true")
     batch.add_argument("--gold-partition-by", nargs="*", default=[])
+    batch.add_argument("--cluster-silver", action="store_true")
 
-    load = job(
-        "load", "merge gold into the serving table", "gold", "staging", "serving", "audit"
-    )
+    def of_gold(name: str, summary: str, *paths: str) -> argparse.ArgumentParser:
+        one = job(name, summary, *paths)
+        source = one.add_mutually_exclusive_group(required=True)
+        source.add_argument("--layers", metavar="PATH", help="take gold of the last batch there")
+        source.add_argument("--gold", metavar="PATH", help="take a gold layer that lies there")
+        return one
+
+    load = of_gold("load", "merge gold into the serving table", "staging", "serving", "audit")
     load.add_argument("--business-date", required=True)
     load.add_argument("--run-id")
     load.add_argument("--batch-counts", help="what the batch printed, for the audit table")
 
-    job("upsert", "merge gold without run bookkeeping", "gold", "staging", "serving")
-    job("append", "append gold to a table", "gold", "table")
+    of_gold("upsert", "merge gold without run bookkeeping", "staging", "serving")
+    of_gold("append", "append gold to a table", "table")
     job("compact", "fold the audit log's records into its table", "audit")
     recover = job("recover", "record the end of a load that a commit notes", "serving", "audit")
     recover.add_argument("--run-id", required=True)
     job("repair", "remove what interrupted writers left in a table", "table")
-    job("preview", "show the first rows of each layer", "bronze", "silver", "gold")
+    job("preview", "show the first rows of each layer", "layers")
     return parser
 
 
@@ -76,30 +83,32 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None):
     if args.job == "batch":
         return asdict(
             run_reservation_batch(
-                spark, args.raw, args.bronze, args.silver, args.rejected, args.gold,
+                spark, args.raw, args.layers,
                 args.business_date, money=args.money, keep_stale_rejects=args.keep_stale_rejects,
-                gold_partition_by=args.gold_partition_by,
+                gold_partition_by=args.gold_partition_by, cluster_silver=args.cluster_silver,
             )
         )
+    if args.job in ("load", "upsert", "append"):
+        gold = args.gold or layer_path(spark, args.layers, "gold")
     if args.job == "load":
         return asdict(
             run_serving_load(
-                spark, args.gold, args.staging, args.serving, args.audit,
+                spark, gold, args.staging, args.serving, args.audit,
                 args.business_date, run_id=args.run_id,
                 batch=args.batch_counts and BatchCounts(**json.loads(args.batch_counts)),
             )
         )
     if args.job == "upsert":
-        return {"rows": run_upsert_load(spark, args.gold, args.staging, args.serving)}
+        return {"rows": run_upsert_load(spark, gold, args.staging, args.serving)}
     if args.job == "append":
-        return {"rows": run_append_load(spark, args.gold, args.table)}
+        return {"rows": run_append_load(spark, gold, args.table)}
     if args.job == "compact":
         return {"records": compact(spark, args.audit)}
     if args.job == "recover":
         return {"recovered": recover_run(spark, args.serving, args.audit, args.run_id)}
     if args.job == "repair":
         return {"removed": repair_snapshot(spark, args.table)}
-    show_layers(spark, args.bronze, args.silver, args.gold)
+    show_layers(spark, args.layers)
     return None
 
 

@@ -6,25 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightfolio.schemas import GOLD_KEYS
-from nightfolio.sources.files import read_layer
+from nightfolio.schemas import BRONZE, GOLD_KEYS, SILVER
+from nightfolio.sources.layers import read_layer_of
 
 # Rows shown per layer.
 BRONZE_ROWS = 10
 SILVER_ROWS = 10
 GOLD_ROWS = 50
 
+#: Rows and order of each layer's preview. Only gold has a key; of other layers all columns
+#: decide, so the same data show the same rows whatever the files and tasks.
+PREVIEWS = {
+    "bronze": (BRONZE_ROWS, BRONZE.fieldNames()),
+    "silver": (SILVER_ROWS, SILVER.fieldNames()),
+    "gold": (GOLD_ROWS, GOLD_KEYS),
+}
+
 
 def preview(df: DataFrame, rows: int, order_by: Sequence[str] = ()) -> DataFrame:
-    """Up to ``rows`` rows: the first in order when one is given, else any."""
+    """Up to ``rows`` rows: the first in order when one is given, else any.
+
+    Each task keeps its first rows only; nothing is sorted as a whole.
+    """
     return (df.orderBy(*order_by) if order_by else df).limit(rows)
 
 
-def show_layers(spark: SparkSession, bronze_path: str, silver_path: str, gold_path: str) -> None:
-    for title, path, rows, order_by in (
-        ("bronze reservations", bronze_path, BRONZE_ROWS, ()),
-        ("silver reservations", silver_path, SILVER_ROWS, ()),
-        ("gold daily revenue", gold_path, GOLD_ROWS, GOLD_KEYS),
+def preview_layer(spark: SparkSession, layers_path: str, layer: str) -> DataFrame:
+    return preview(read_layer_of(spark, layers_path, layer), *PREVIEWS[layer])
+
+
+def show_layers(spark: SparkSession, layers_path: str) -> None:
+    for layer, title in (
+        ("bronze", "bronze reservations"),
+        ("silver", "silver reservations"),
+        ("gold", "gold daily revenue"),
     ):
         print(f"\n{title}")
-        preview(read_layer(spark, path), rows, order_by).show(rows, truncate=False)
+        preview_layer(spark, layers_path, layer).show(PREVIEWS[layer][0], truncate=False)

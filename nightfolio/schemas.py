@@ -37,6 +37,32 @@ BRONZE = T.StructType(
     ]
 )
 
+# Silver types six of the raw columns.
+_SILVER_TYPES = {
+    "arrival_date": T.DateType(),
+    "departure_date": T.DateType(),
+    "room_count": T.IntegerType(),
+    "total_revenue": T.DoubleType(),
+    "created_ts": T.TimestampType(),
+    "updated_ts": T.TimestampType(),
+}
+SILVER = T.StructType(
+    [T.StructField(f.name, _SILVER_TYPES.get(f.name, f.dataType)) for f in BRONZE.fields]
+    + [T.StructField("silver_ingestion_ts", T.TimestampType())]
+)
+
+GOLD = T.StructType(
+    [
+        T.StructField("property_code", T.StringType()),
+        T.StructField("stay_date", T.DateType()),
+        T.StructField("reservation_count", T.LongType()),
+        T.StructField("booked_rooms", T.LongType()),
+        T.StructField("total_revenue", T.DoubleType()),
+        T.StructField("adr", T.DoubleType()),
+        T.StructField("gold_ingestion_ts", T.TimestampType()),
+    ]
+)
+
 # JSON numbers are kept as their source text, so nothing is lost to a guessed type.
 EVENT = T.StructType(
     [

@@ -50,6 +50,10 @@ def read_layer(
     return reader.parquet(path)
 
 
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
     """A gold layer with its keys as stored, even where they are directory names.
 

@@ -20,6 +20,7 @@ from nightfolio.plans.serving_load import (
 )
 from nightfolio.schemas import RAW_COLUMNS, SERVING
 from nightfolio.sources.files import read_layer, write_parquet, write_reservations_csv
+from nightfolio.sources.layers import layer_path, read_layer_of
 from nightfolio.sources.run_log import read_runs
 from nightfolio.sources.snapshots import read_snapshot, write_snapshot
 from nightfolio.sources.staging import read_staged
@@ -29,7 +30,7 @@ DAY = "2026-05-11"
 
 class Paths:
     def __init__(self, base):
-        for name in ("raw", "bronze", "silver", "rejected", "gold", "staging", "serving", "audit"):
+        for name in ("raw", "layers", "gold", "staging", "serving", "audit"):
             setattr(self, name, f"{base}/{name}")
 
 
@@ -39,9 +40,9 @@ def paths(tmp_path):
 
 
 def run_batch(spark, paths, **options):
-    return run_reservation_batch(
-        spark, paths.raw, paths.bronze, paths.silver, paths.rejected, paths.gold, DAY, **options
-    )
+    counts = run_reservation_batch(spark, paths.raw, paths.layers, DAY, **options)
+    paths.gold = layer_path(spark, paths.layers, "gold")
+    return counts
 
 
 def load(spark, paths, **options):
@@ -61,12 +62,12 @@ def test_batch_layers(spark, paths, capsys):
     )
     counts = run_batch(spark, paths)
     assert (counts.raw, counts.valid, counts.rejected, counts.gold) == (6, 4, 2, 2)
-    bronze = read_layer(spark, paths.bronze)
+    bronze = read_layer_of(spark, paths.layers, "bronze")
     assert bronze.count() == 6 and "validation_reason" not in bronze.columns
     # The one business date of the run is on all rows, whatever file they are from.
     assert {row.business_date for row in bronze.collect()} == {DAY}
-    assert read_layer(spark, paths.silver).count() == 4
-    rejected = read_layer(spark, paths.rejected)
+    assert read_layer_of(spark, paths.layers, "silver").count() == 4
+    rejected = read_layer_of(spark, paths.layers, "rejected")
     assert {row.validation_reason for row in rejected.collect()} == {
         "PROPERTY_CODE_NULL",
         "INVALID_ROOM_COUNT",
@@ -79,10 +80,10 @@ def test_batch_layers(spark, paths, capsys):
     assert {row.total_revenue for row in gold} == {1000.0}
     # Silver is made from bronze on disk, so lineage stamps agree between the layers.
     assert (
-        read_layer(spark, paths.silver).select("bronze_ingestion_ts").distinct().collect()
+        read_layer_of(spark, paths.layers, "silver").select("bronze_ingestion_ts").distinct().collect()
         == bronze.select("bronze_ingestion_ts").distinct().collect()
     )
-    show_layers(spark, paths.bronze, paths.silver, paths.gold)
+    show_layers(spark, paths.layers)
     assert "2026-06-02" in capsys.readouterr().out
 
 
@@ -91,9 +92,9 @@ def test_batch_replaces_rejects_by_default(spark, paths):
     assert run_batch(spark, paths).rejected == 1
     write_reservations_csv(raw_frame(spark, {}), paths.raw, DAY)
     assert run_batch(spark, paths, keep_stale_rejects=True).rejected == 0
-    assert read_layer(spark, paths.rejected).count() == 1
+    assert read_layer_of(spark, paths.layers, "rejected").count() == 1
     run_batch(spark, paths)
-    assert read_layer(spark, paths.rejected).count() == 0
+    assert read_layer_of(spark, paths.layers, "rejected").count() == 0
 
 
 def test_batch_on_synthetic_reservations(spark, paths):
@@ -243,10 +244,10 @@ def test_batch_keeps_malformed_lines_and_refuses_other_headers(spark, paths):
         file.write(f"{header}\n{line}\n{line},surplus\nshort,row\n")
     counts = run_batch(spark, paths)
     assert (counts.raw, counts.valid, counts.rejected) == (5, 3, 2)
-    rejected = read_layer(spark, paths.rejected).collect()
+    rejected = read_layer_of(spark, paths.layers, "rejected").collect()
     assert {row.validation_reason for row in rejected} == {"MALFORMED_ROW"}
     assert {row["_corrupt_record"] for row in rejected} == {f"{line},surplus", "short,row"}
-    assert "_corrupt_record" not in read_layer(spark, paths.silver).columns
+    assert "_corrupt_record" not in read_layer_of(spark, paths.layers, "silver").columns
     swapped = [RAW_COLUMNS[1], RAW_COLUMNS[0], *RAW_COLUMNS[2:]]
     with open(f"{paths.raw}/more/swapped.csv", "w") as file:
         file.write(",".join(swapped) + f"\n{line}\n")
@@ -337,6 +338,4 @@ def test_business_dates_are_checked(spark, paths, day):
     with pytest.raises(ValueError):
         run_serving_load(spark, paths.gold, paths.staging, paths.serving, paths.audit, day)
     with pytest.raises(ValueError):
-        run_reservation_batch(
-            spark, paths.raw, paths.bronze, paths.silver, paths.rejected, paths.gold, day
-        )
+        run_reservation_batch(spark, paths.raw, paths.layers, day)

@@ -2,6 +2,7 @@ import pytest
 
 from nightfolio.__main__ import run
 from nightfolio.sources.files import read_layer
+from nightfolio.sources.layers import layer_path
 
 
 def test_jobs_in_a_row(spark, tmp_path, capsys):
@@ -11,20 +12,19 @@ def test_jobs_in_a_row(spark, tmp_path, capsys):
     day = ["--business-date", "2026-05-11"]
     made = run(spark, ["synthesise", *at("csv", "json"), *day, "--count", "60", "--seed", "3"])
     assert made["reservation_count"] == 60
-    layers = at("bronze", "silver", "rejected", "gold")
-    batch = run(spark, ["batch", "--raw", made["csv_file_path"], *layers, *day])
+    batch = run(spark, ["batch", "--raw", made["csv_file_path"], *at("layers"), *day])
     assert (batch["raw"], batch["rejected"]) == (60, 0)
-    loaded = run(spark, ["load", *at("gold", "staging", "serving", "audit"), *day])
+    loaded = run(spark, ["load", *at("layers", "staging", "serving", "audit"), *day])
     assert loaded["merged"] == loaded["gold"] == batch["gold"]
     run_id = loaded["run_id"]
     assert run(spark, ["recover", *at("serving", "audit"), "--run-id", run_id]) == {"recovered": True}
     assert run(spark, ["compact", *at("audit")]) == {"records": 3}
     assert run(spark, ["repair", "--table", str(tmp_path / "serving")]) == {"removed": []}
-    upserted = run(spark, ["upsert", *at("gold", "staging", "serving")])
+    upserted = run(spark, ["upsert", *at("layers", "staging", "serving")])
     assert upserted["rows"] == batch["gold"]
-    assert run(spark, ["append", *at("gold", "table")])["rows"] == batch["gold"]
+    assert run(spark, ["append", "--gold", layer_path(spark, str(tmp_path / "layers"), "gold"), *at("table")])["rows"] == batch["gold"]
     assert read_layer(spark, str(tmp_path / "table")).count() == batch["gold"]
-    assert run(spark, ["preview", *at("bronze", "silver", "gold")]) is None
+    assert run(spark, ["preview", *at("layers")]) is None
     assert "RES1000" in capsys.readouterr().out
 
 
