@@ -576,6 +576,7 @@ UNION ALL
 SELECT '00' || property_code[2:], {_DAY}, {_MEASURES}, gold_ingestion_ts, 'appended' FROM late""",
     "upsert_load": f"WITH {MERGED} {_UPSERT_SELECT}",
     "append_to_files": f"WITH {TWO_LOADS} {_APPENDED}",
+    "append_once": f"WITH {TWO_LOADS} {_APPENDED}",
     "staging_cleared_run": f"""WITH {STAGED}
 {_STAGED_OUT.replace("FROM", f", {_FIRST_AT} AS staged_at FROM")} WHERE run_id = 'run_two'""",
     "truncate_stage": f"""WITH {TWO_LOADS}, staged AS ({_staging("run_other", "early")})

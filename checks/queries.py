@@ -20,7 +20,12 @@ from nightfolio.operators.refine import TYPES, to_silver
 from nightfolio.operators.synth import reservations_for
 from nightfolio.plans.preview import BRONZE_ROWS, GOLD_ROWS, SILVER_ROWS, preview, preview_layer
 from nightfolio.plans.reservation_batch import BatchCounts, run_reservation_batch
-from nightfolio.plans.serving_load import run_append_load, run_serving_load, run_upsert_load
+from nightfolio.plans.serving_load import (
+    read_appended,
+    run_append_load,
+    run_serving_load,
+    run_upsert_load,
+)
 from nightfolio.plans.synthesis import store
 from nightfolio.schemas import (
     AUDIT,
@@ -801,6 +806,17 @@ def append_to_files(spark, sf):
     return portable(files.read_layer(spark, f"{base}/table"))
 
 
+def append_once(spark, sf):
+    """Both loads appended under their ids, each attempted twice, the second time the other's rows."""
+    base = scratch_path(spark, "append-once")
+    for name, gold in zip((FIRST_RUN, SECOND_RUN), _two_loads(spark, sf)):
+        files.write_parquet(gold, f"{base}/{name}")
+    for name, other in ((FIRST_RUN, SECOND_RUN), (SECOND_RUN, FIRST_RUN)):
+        run_append_load(spark, f"{base}/{name}", f"{base}/table", name)
+        run_append_load(spark, f"{base}/{other}", f"{base}/table", name)
+    return portable(read_appended(spark, f"{base}/table"))
+
+
 def _stage_both(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "staging")
     for name, gold in zip((FIRST_RUN, SECOND_RUN), _two_loads(spark, sf)):
@@ -887,6 +903,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         coded_keys_load,
         upsert_load,
         append_to_files,
+        append_once,
         staging_cleared_run,
         truncate_stage,
     )

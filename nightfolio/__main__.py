@@ -64,7 +64,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--batch-counts", help="what the batch printed, for the audit table")
 
     of_gold("upsert", "merge gold without run bookkeeping", "staging", "serving")
-    of_gold("append", "append gold to a table", "table")
+    append = of_gold("append", "append gold to a table", "table")
+    append.add_argument("--run-id", help="append once for this id, to a table of versions")
     job("compact", "fold the audit log's records into its table", "audit")
     recover = job("recover", "record the end of a load that a commit notes", "serving", "audit")
     recover.add_argument("--run-id", required=True)
@@ -101,7 +102,7 @@ def run(spark: SparkSession, arguments: Sequence[str] | None = None):
     if args.job == "upsert":
         return {"rows": run_upsert_load(spark, gold, args.staging, args.serving)}
     if args.job == "append":
-        return {"rows": run_append_load(spark, gold, args.table)}
+        return {"rows": run_append_load(spark, gold, args.table, args.run_id)}
     if args.job == "compact":
         return {"records": compact(spark, args.audit)}
     if args.job == "recover":

@@ -22,7 +22,7 @@ from nightfolio.operators.serve import (
     upsert_all,
 )
 from nightfolio.plans.reservation_batch import BatchCounts
-from nightfolio.schemas import SERVING
+from nightfolio.schemas import APPENDED, SERVING
 from nightfolio.sources.files import read_gold, read_layer, write_parquet
 from nightfolio.sources.jdbc import read_jdbc, write_jdbc
 from nightfolio.sources.paths import delete_directory
@@ -31,12 +31,19 @@ from nightfolio.sources.snapshots import (
     ConflictError,
     commit_info,
     current_version,
+    part_names,
     read_snapshot,
     retried,
     versions,
     write_snapshot,
 )
-from nightfolio.sources.staging import clear_run, read_staged, run_directory, stage_run
+from nightfolio.sources.staging import (
+    clear_run,
+    read_staged,
+    require_run_id,
+    run_directory,
+    stage_run,
+)
 
 JOB_NAME = "load_gold_stay_revenue"
 
@@ -61,24 +68,36 @@ class UnrecordedCommit(RuntimeError):
 def _merged(
     spark: SparkSession,
     serving_path: str,
+    staged: DataFrame,
     months: Sequence[str],
-    change: Callable[[DataFrame], DataFrame],
-    info: Callable[[], Mapping[str, Any]] | None = None,
+    change: Callable[[DataFrame, Observation], DataFrame],
+    info: Callable[[Observation], Mapping[str, Any]] = lambda seen: {},
 ) -> int:
     """Commit what ``change`` makes of the months, again from the new version as long as
-    others change them meanwhile. Returns the version."""
+    others change them meanwhile. Returns the version.
+
+    What the merge observes is looked at when its rows are written and before they count, so
+    bad keys cost no pass of their own and nothing is left to do that could fail after the commit.
+    """
 
     def attempt() -> int:
-        version = current_version(spark, serving_path)
+        version, seen = current_version(spark, serving_path), Observation()
+
+        def judged() -> Mapping[str, Any]:
+            if seen.get["bad_keys"]:
+                require_keys(staged)
+                raise RuntimeError(f"{serving_path} has keys that are incomplete or repeated")
+            return info(seen)
+
         try:
             serving = read_snapshot(spark, serving_path, SERVING, version, months)
             return write_snapshot(
-                change(serving),
+                change(serving, seen),
                 serving_path,
                 after=version,
                 part=month(),
                 replaces=months,
-                info=info,
+                info=judged,
             )
         except ConflictError:
             raise
@@ -129,7 +148,6 @@ def run_serving_load(
             F.count(F.lit(1)), F.min("stay_date"), F.max("stay_date"), F.collect_set(month())
         ).first()
         require_equal_counts(gold_count, staged_count)
-        require_keys(staged)
 
         counts = {
             "source_count": batch and batch.raw,
@@ -141,20 +159,15 @@ def run_serving_load(
             "merged_count": 0,
         }
 
-        def change(serving: DataFrame) -> DataFrame:
-            # Counted while it is written: nothing is left to do that could fail afterwards.
-            seen.append(Observation())
-            merged = merge_run(serving, staged, run_id, first=first, last=last)
-            of_this = F.count_if(F.col("last_run_id") == run_id).alias("merged_count")
-            return merged.observe(seen[-1], of_this)
+        def change(serving: DataFrame, seen: Observation) -> DataFrame:
+            return merge_run(serving, staged, run_id, first=first, last=last, seen=seen)
 
-        def info() -> dict[str, Any]:
-            counts["merged_count"] = seen[-1].get["merged_count"]
+        def info(seen: Observation) -> dict[str, Any]:
+            counts["merged_count"] = seen.get["merged_count"]
             return {"run_id": run_id, "counts": counts}
 
-        seen: list[Observation] = []
-        if months:
-            _merged(spark, serving_path, months, change, info)
+        if staged_count:
+            _merged(spark, serving_path, staged, months, change, info)
     except Exception as error:
         _quietly(clear_run, spark, staging_path, run_id)
         record_failure(spark, audit_path, run_id, str(error))
@@ -205,22 +218,59 @@ def run_upsert_load(
         batch = serving_columns(gold)
         write_parquet(batch, own)
         staged = read_layer(spark, own, batch.schema)
-        require_keys(staged)
         staged_count, months = staged.agg(F.count(F.lit(1)), F.collect_set(month())).first()
-        if months:
-            _merged(spark, serving_path, months, lambda serving: upsert_all(serving, staged))
+        if staged_count:
+            _merged(
+                spark,
+                serving_path,
+                staged,
+                months,
+                lambda serving, seen: upsert_all(serving, staged, seen=seen),
+            )
     finally:
         _quietly(delete_directory, spark, own)
     return staged_count
 
 
-def run_append_load(spark: SparkSession, gold_path: str, table_path: str) -> int:
-    """Append gold's serving columns to a Parquet table, without looking at keys."""
+def run_append_load(
+    spark: SparkSession, gold_path: str, table_path: str, run_id: str | None = None
+) -> int:
+    """Append gold's serving columns to a table, without looking at keys.
+
+    With a run id the table is one of versions and the run's rows are a part of it: repeating
+    the id appends nothing, whatever became of the first attempt, and returns 0;
+    ``read_appended`` reads it. Without one, Parquet files are added to a directory, which a
+    repeated call does again and a job that dies half-way may have done in part.
+    """
     gold = read_gold(spark, gold_path)
     count, lost = gold_counts(gold)
     require_measures(lost)
-    write_parquet(serving_columns(gold), table_path, mode="append")
-    return count
+    rows = serving_columns(gold)
+    if run_id is None:
+        write_parquet(rows, table_path, mode="append")
+        return count
+    require_run_id(run_id)
+
+    def attempt() -> int:
+        version = current_version(spark, table_path)
+        if run_id in part_names(spark, table_path, version):
+            return 0
+        write_snapshot(
+            rows,
+            table_path,
+            after=version,
+            part=F.lit(run_id),
+            replaces=[run_id],
+            info=lambda: {"run_id": run_id, "rows": count},
+        )
+        return count
+
+    return retried(attempt) if count else 0
+
+
+def read_appended(spark: SparkSession, table_path: str) -> DataFrame:
+    """All rows of a table that ``run_append_load`` has filled with run ids."""
+    return read_snapshot(spark, table_path, APPENDED)
 
 
 def publish_to_database(

@@ -137,6 +137,16 @@ SERVING = T.StructType(
     ]
 )
 
+# What an append takes over: the measures and their keys, no bookkeeping.
+APPENDED = T.StructType(
+    [
+        field
+        for field in SERVING.fields
+        if field.name
+        not in ("business_date", "source_system", "last_run_id", "created_at", "updated_at")
+    ]
+)
+
 AUDIT_COUNTS = (
     "source_count",
     "bronze_count",

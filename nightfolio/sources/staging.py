@@ -13,10 +13,15 @@ from nightfolio.schemas import STAGED
 from nightfolio.sources.paths import delete_directory, make_directory
 
 
-def run_directory(path: str, run_id: str) -> str:
+def require_run_id(run_id: str) -> str:
+    """The same id, or ``ValueError`` unless it can name a directory."""
     if not re.fullmatch(r"[\w.-]+", run_id, re.ASCII):
         raise ValueError(f"a run id is made of letters, digits, '_', '.' and '-', not {run_id!r}")
-    return f"{path.rstrip('/')}/run_id={run_id}"
+    return run_id
+
+
+def run_directory(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/run_id={require_run_id(run_id)}"
 
 
 def stage_run(

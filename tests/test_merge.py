@@ -1,0 +1,162 @@
+"""The merge as one aggregation against the join, its judgement of keys, appends by run."""
+
+import random
+from datetime import date, datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from builders import serving_frame, staged_frame
+from nightfolio.operators import serve
+from nightfolio.plans.serving_load import read_appended, run_append_load
+from nightfolio.schemas import APPENDED, GOLD_KEYS, SERVING
+from nightfolio.sources import snapshots
+from nightfolio.sources.files import write_parquet
+
+OLD, NOW = datetime(2026, 5, 1, 8), datetime(2026, 5, 2, 8)
+
+
+def random_rows(rng, count, **values):
+    keys = rng.sample([(f"p{p}", date(2026, 6, d)) for p in range(12) for d in range(1, 20)], count)
+    return [
+        {
+            "property_code": code,
+            "stay_date": night,
+            "reservation_count": rng.choice([None, rng.randint(1, 9)]),
+            "total_revenue": rng.choice([None, Decimal(rng.randint(0, 999)) / 100]),
+            "source_system": rng.choice([None, "x", "y"]),
+            **values,
+        }
+        for code, night in keys
+    ]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_aggregation_gives_what_the_join_gives(spark, seed):
+    rng = random.Random(seed)
+    serving = serving_frame(spark, *random_rows(rng, 90, last_run_id="old", created_at=OLD))
+    staged = staged_frame(spark, *random_rows(rng, 70, run_id="new", business_date=date(2026, 5, 2)))
+    batch = staged.withColumnRenamed("run_id", "last_run_id").withColumn("created_at", F.lit(NOW))
+    overwrite = ["reservation_count", "total_revenue", "source_system", "last_run_id"]
+    arguments = serving, batch, GOLD_KEYS, overwrite, {"updated_at": F.lit(NOW)}
+    joined = serve.upsert(*arguments)
+    merged = serve.merge_by_key(*arguments)
+    assert merged.schema.fieldNames() == [*SERVING.fieldNames(), "_bad"]
+    assert merged.filter("_bad").count() == 0
+    assert sorted(map(str, merged.drop("_bad").collect())) == sorted(map(str, joined.collect()))
+
+
+def test_the_merge_moves_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    rows = staged_frame(spark, *random_rows(random.Random(3), 50, run_id="new"))
+    rows.write.parquet(path)
+    staged = spark.read.schema(rows.schema).parquet(path)
+    serving = staged.withColumnRenamed("run_id", "last_run_id").withColumns(
+        {"created_at": F.lit(OLD), "updated_at": F.lit(None).cast("timestamp")}
+    )
+    plan = serve.merge_run(serving, staged, "new", F.lit(NOW))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("bounds", [{}, {"first": date(2026, 6, 1), "last": date(2026, 6, 1)}])
+@pytest.mark.parametrize(
+    "second", [("a", date(2026, 6, 1)), (None, date(2026, 6, 1)), ("b", None)]
+)
+def test_bad_keys_are_an_error_or_counted(spark, bounds, second):
+    night = date(2026, 6, 1)
+    rows = [
+        {"run_id": "new", "property_code": code, "stay_date": day, "adr": Decimal(1)}
+        for code, day in (("a", night), second)
+    ]
+    serving, staged = serving_frame(spark), staged_frame(spark, *rows)
+    with pytest.raises(Exception, match="incomplete or repeated keys"):
+        serve.merge_run(serving, staged, "new", **bounds).collect()
+    with pytest.raises(Exception, match="incomplete or repeated keys"):
+        serve.upsert_all(serving, staged).collect()
+    seen = Observation()
+    serve.merge_run(serving, staged, "new", seen=seen, **bounds).collect()
+    assert seen.get["bad_keys"] == 1
+    seen = Observation()
+    serve.upsert_all(serving, staged, seen=seen).collect()
+    assert seen.get["bad_keys"] == 1
+
+
+def test_counts_of_a_merge(spark):
+    night = date(2026, 6, 1)
+    old = {"last_run_id": "new", "created_at": OLD}
+    serving = serving_frame(
+        spark,
+        {"property_code": "a", "stay_date": night, **old},
+        {"property_code": "a", "stay_date": date(2026, 6, 20), **old},
+        {"property_code": "b", "stay_date": night, "last_run_id": "other"},
+    )
+    staged = staged_frame(spark, {"property_code": "c", "stay_date": night, "run_id": "new"})
+    for bounds in ({}, {"first": night, "last": night}):
+        seen = Observation()
+        assert serve.merge_run(serving, staged, "new", seen=seen, **bounds).count() == 4
+    # Rows that the run's id has from before count, wherever they are.
+    serve.merge_run(serving, staged, "new", seen=(seen := Observation()), **bounds).collect()
+    assert seen.get == {"bad_keys": 0, "merged_count": 3}
+
+
+def write_gold(spark, path, *cells):
+    rows = [(code, date(2026, 6, day), 1, 2, revenue, 1.0) for code, day, revenue in cells]
+    gold = spark.createDataFrame(
+        rows,
+        "property_code string, stay_date date, reservation_count bigint, booked_rooms bigint, "
+        "total_revenue double, adr double",
+    )
+    write_parquet(gold.withColumn("gold_ingestion_ts", F.current_timestamp()), path)
+    return path
+
+
+def appended(spark, table):
+    return sorted((r.property_code, r.total_revenue) for r in read_appended(spark, table).collect())
+
+
+def test_a_run_is_appended_once(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "table")
+    one = write_gold(spark, str(tmp_path / "one"), ("a", 1, 1.0), ("a", 1, 1.0))
+    two = write_gold(spark, str(tmp_path / "two"), ("a", 1, 2.0))
+    assert run_append_load(spark, one, table, "run_one.1") == 2
+    assert run_append_load(spark, one, table, "run_one.1") == 0
+    assert run_append_load(spark, two, table, "run_one.1") == 0
+    expected = [("a", Decimal("1.00"))] * 2
+    assert appended(spark, table) == expected
+    assert read_appended(spark, table).schema.fieldNames() == APPENDED.fieldNames()
+
+    # A job that dies after its data are written has appended nothing.
+    def broken(*_):
+        raise OSError("gone")
+
+    monkeypatch.setattr(snapshots, "create_new", broken)
+    with pytest.raises(OSError):
+        run_append_load(spark, two, table, "two")
+    monkeypatch.undo()
+    assert appended(spark, table) == expected
+    assert run_append_load(spark, two, table, "two") == 1
+    assert appended(spark, table) == [*expected, ("a", Decimal("2.00"))]
+    empty = str(tmp_path / "empty")
+    spark.read.parquet(one).limit(0).write.parquet(empty)
+    assert run_append_load(spark, empty, table, "three") == 0
+    with pytest.raises(ValueError, match="run id"):
+        run_append_load(spark, two, table, "../three")
+
+
+def test_two_attempts_of_a_run_at_once(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "table")
+    gold = write_gold(spark, str(tmp_path / "one"), ("a", 1, 1.0))
+    real, once = snapshots._commit, []
+
+    def commit(*args):
+        if not once:
+            once.append(True)
+            assert run_append_load(spark, gold, table, "one") == 1
+            assert run_append_load(spark, gold, table, "other") == 1
+        return real(*args)
+
+    monkeypatch.setattr(snapshots, "_commit", commit)
+    assert run_append_load(spark, gold, table, "one") == 0
+    assert appended(spark, table) == [("a", Decimal("1.00"))] * 2
