@@ -504,6 +504,10 @@ SELECT * FROM synthetic""",
     "synth_events": f"""WITH {_synth("o_orderkey + 1", "orders", 7)}
 SELECT {_EVENT_COLUMNS} CAST(room_count AS BIGINT) AS details_roomCount,
        total_revenue AS details_totalRevenue, currency AS details_currency
+FROM synthetic""",
+    "synth_batch": f"""WITH {_synth("o_orderkey + 1", "orders", 7, "GOA001")}
+SELECT *, {_EVENT_COLUMNS} CAST(room_count AS BIGINT) AS details_roomCount,
+       total_revenue AS details_totalRevenue, currency AS details_currency
 FROM synthetic""",
     "synth_stored": f"""WITH {_synth("o_orderkey + 1", "orders", 7)}, text AS (
   SELECT * REPLACE (CAST(room_count AS VARCHAR) AS room_count,
@@ -540,6 +544,8 @@ SELECT property_code, {_DAY}, reservation_count, booked_rooms, total_revenue, ad
     "batch_split": _BATCH_SPLIT,
     "clustered_month": f"""WITH {GOLD} {_GOLD_OUT}
 WHERE gold.stay_date BETWEEN DATE '1998-01-15' AND DATE '1998-03-10'""",
+    "incremental_gold": f"""WITH {GOLD}
+SELECT property_code, {_DAY}, reservation_count, booked_rooms, total_revenue, adr FROM gold""",
     "preview_stored": _PREVIEW_STORED,
     "batch_counts": f"""WITH {GOLD}, counted AS (
   SELECT 'bronze' AS layer, count(*) AS row_count FROM bronze

@@ -17,7 +17,8 @@ from nightfolio.functions.stay import run_id
 from nightfolio.operators import audit, quality, revenue, serve
 from nightfolio.operators.ingest import flatten_events, to_bronze, to_events
 from nightfolio.operators.refine import TYPES, to_silver
-from nightfolio.operators.synth import reservations_for
+from nightfolio.operators.synth import reservations_for, synthesise
+from nightfolio.plans.incremental_batch import read_refreshed, run_incremental_batch
 from nightfolio.plans.preview import BRONZE_ROWS, GOLD_ROWS, SILVER_ROWS, preview, preview_layer
 from nightfolio.plans.reservation_batch import BatchCounts, run_reservation_batch
 from nightfolio.plans.serving_load import (
@@ -39,6 +40,7 @@ from nightfolio.schemas import (
 )
 from nightfolio.sources import files, staging
 from nightfolio.sources.layers import read_layer_of
+from nightfolio.sources.paths import delete_directory
 from nightfolio.sources.run_log import read_runs
 from nightfolio.sources.snapshots import read_snapshot, write_snapshot
 
@@ -432,8 +434,11 @@ def run_id_format(spark, sf):
 
 
 def _events(records: DataFrame, revenue_type: str) -> DataFrame:
+    return _spread_events(to_events(records, revenue_type))
+
+
+def _spread_events(events: DataFrame) -> DataFrame:
     """Events with their structs spread out, one column per field."""
-    events = to_events(records, revenue_type)
     return events.select(
         "eventId",
         "eventType",
@@ -474,6 +479,14 @@ def synth_events(spark, sf):
     return _events(_synthetic(spark, sf), "bigint")
 
 
+def synth_batch(spark, sf):
+    """A batch for one property through its argument checks: records beside their events."""
+    count = table(spark, sf, "orders").count()
+    records, events = synthesise(spark, count, BUSINESS_DATE, "GOA001", seed=7)
+    spread = _spread_events(events).withColumn("reservation_id", F.substring("eventId", 5, 40))
+    return records.join(spread, "reservation_id")
+
+
 def synth_stored(spark, sf):
     """Synthetic reservations stored in both forms and read back, as flat text."""
     base = scratch_path(spark, "synthetic")
@@ -634,6 +647,29 @@ def clustered_month(spark, sf):
     return portable(_gold(silver, first=RANGE_FIRST, last=RANGE_LAST))
 
 
+def incremental_gold(spark, sf):
+    """Gold after files came, were copied and went; only what changed was made anew."""
+    base = scratch_path(spark, "refresh")
+    third = F.substring("guest_id", 6, 20).cast("bigint") % 3
+    raw = raw_reservations(spark, sf)
+
+    def write(name: str, part: int) -> None:
+        raw.filter(third == part).coalesce(1).write.option("header", True).csv(f"{base}/raw/{name}")
+
+    def refresh() -> None:
+        run_incremental_batch(spark, f"{base}/raw", f"{base}/layers", BUSINESS_DATE, money="decimal")
+
+    write("one", 0)
+    write("two", 1)
+    write("wrong", 1)
+    refresh()
+    delete_directory(spark, f"{base}/raw/wrong")
+    write("three", 2)
+    refresh()
+    gold = read_refreshed(spark, f"{base}/layers", "gold")
+    return portable(gold.drop("gold_ingestion_ts"))
+
+
 def preview_stored(spark, sf):
     """The previews of bronze and silver as the job shows them, without what clocks decide."""
     path, _ = _run_batch(spark, sf)
@@ -881,6 +917,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         synth_reservations,
         synth_one_property,
         synth_events,
+        synth_batch,
         synth_stored,
         preview_bronze,
         preview_silver,
@@ -895,6 +932,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_gold,
         batch_split,
         clustered_month,
+        incremental_gold,
         preview_stored,
         batch_counts,
         serving_load,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -35,12 +36,16 @@ def to_silver(valid: DataFrame, ingested_at: Column | datetime | None = None) ->
     return valid.withColumns({**typed, "silver_ingestion_ts": now_or(ingested_at)}).drop(REASON)
 
 
-def split(checked: DataFrame, ingested_at: Column | datetime | None = None) -> DataFrame:
+def split(
+    checked: DataFrame,
+    ingested_at: Column | datetime | None = None,
+    extra: Sequence[str] = (),
+) -> DataFrame:
     """Valid and rejected rows in one frame, so that one pass can write both.
 
     A valid row has silver's columns and a null ``rejected``; a rejected one keeps the text
     of the columns that silver types, its whole line if it was malformed and the reason
-    there.
+    there. ``extra`` columns of ``checked`` stay as they are.
     """
     valid = F.col(REASON).isNull()
     line = F.col(MALFORMED) if MALFORMED in checked.columns else F.lit(None).cast("string")
@@ -52,12 +57,13 @@ def split(checked: DataFrame, ingested_at: Column | datetime | None = None) -> D
             F.when(valid, typed[name]).alias(name) if name in typed else F.col(name)
             for name in SILVER.fieldNames()
         ],
+        *extra,
         F.when(~valid, text).alias(REJECTED),
         valid.alias(VALID),
     )
 
 
-def rejected_of(rows: DataFrame) -> DataFrame:
+def rejected_of(rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Rejected rows of a split frame with bronze's columns, line and reason."""
     return rows.select(
         *[
@@ -66,4 +72,5 @@ def rejected_of(rows: DataFrame) -> DataFrame:
         ],
         F.col(f"{REJECTED}.{MALFORMED}").alias(MALFORMED),
         F.col(f"{REJECTED}.{REASON}").alias(REASON),
+        *extra,
     )
