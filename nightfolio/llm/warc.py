@@ -283,8 +283,13 @@ def _reader(folder: str, with_payload: bool):
 
 
 def read_archives(manifest: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of the archives that ``manifest`` names; payloads are checked."""
-    paths = manifest.select("path").repartition("path")
+    """The records of the archives that ``manifest`` names; payloads are checked.
+
+    As many tasks as archives: their number is given, or the few bytes of the names would be
+    brought together in one.
+    """
+    paths = manifest.select("path")
+    paths = paths.repartition(max(1, paths.count()), "path")
     return paths.mapInArrow(_reader(folder, with_payload), _PAGE)
 
 
