@@ -126,9 +126,11 @@ def plan(count: int, width: int, threshold: float, probes: int = PROBES) -> tupl
     second = threshold * first + math.sqrt(max(0.0, 1 - threshold**2)) * other
     mine, theirs = (codes(padded(v), 0, hashes, probes) for v in (first, second))
     met = (mine[:, :1] == theirs).any(axis=1) | (theirs[:, :1] == mine).any(axis=1)
-    chance = min(0.999, max(0.02, met.mean()))
+    chance = min(0.999, max(1e-9, met.mean()))
     tables = math.ceil(math.log(1 - RECALL) / math.log(1 - chance))
-    return hashes, max(2, min(MAX_TABLES, tables))
+    if tables > MAX_TABLES:
+        raise ValueError(f"{tables} tables would be needed; the threshold is too low for this index")
+    return hashes, max(2, tables)
 
 
 def sketch_limit(threshold: float) -> int:
@@ -264,14 +266,15 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         "vectors",
     )
     usable = rows.filter("digest is not null and vec_id is not null")
-    classes = stored(
+    # The node of a class is a number of its own: one id may stand for several vectors. It is
+    # stored with the class, so no two classes share one and every read has the same.
+    nodes = stored(
         usable.select("vec_id", "digest", "width").distinct()
         .groupBy("digest", "width")
-        .agg(F.min("vec_id").alias("leader"), F.count("*").alias("members")),
+        .agg(F.min("vec_id").alias("leader"), F.count("*").alias("members"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    # The node of a class is a number of its own: one id may stand for several vectors.
-    nodes = classes.select("digest", "leader", "members", "width", F.xxhash64("digest").alias("node"))
     leaders = (
         usable.join(nodes.select("digest", "leader", "node"), "digest")
         .filter("vec_id = leader")
