@@ -111,6 +111,43 @@ def tree_reduced(parts: DataFrame, key: str, merge, schema: str, fan: int = 64)
     return parts
 
 
+BITMAP_BITS = 26
+
+
+class Bitmap:
+    """Whether a 64-bit code may be among given ones, by its first bits; 8 MB whatever their number."""
+
+    def __init__(self, words: np.ndarray):
+        self.bytes = words.view(np.uint8)
+
+    def may_have(self, codes: np.ndarray) -> np.ndarray:
+        at = (codes.view(np.uint64) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+        return (self.bytes[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    flags = np.zeros(1 << BITMAP_BITS, bool)
+    for batch in batches:
+        codes = batch.column(0).to_numpy().view(np.uint64)
+        flags[(codes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] = True
+    words = np.packbits(flags).view(np.int64)
+    there = np.flatnonzero(words)
+    yield pa.record_batch([pa.array(there), pa.array(words[there])], ["word", "bits"])
+
+
+def bitmap(codes: DataFrame) -> Shared:
+    """A ``Bitmap`` of the codes of a frame with one column of 64-bit numbers."""
+    found = (
+        codes.mapInArrow(_bits, "word long, bits long")
+        .groupBy("word")
+        .agg(F.bit_or("bits").alias("bits"))
+        .toPandas()
+    )
+    words = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return Shared(codes.sparkSession, Bitmap(words))
+
+
 def uniform(*columns) -> F.Column:
     """A number of [0, 1) that only the columns' values decide."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / F.lit(float(1 << 30))

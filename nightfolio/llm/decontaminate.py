@@ -6,15 +6,17 @@ training texts meet by their hash. Around each hit the item is laid over the tex
 hit's diagonal. An overlap is a stretch of at least ``MIN_WORDS`` words, or of the whole
 item if that is shorter, of which at least four fifths are equal: its sum of +1 for an
 equal and -4 for another word is not negative. Of several, the one with the best sum is
-given; it is never trimmed below that length.
+given; it is never trimmed below that length. An item with fewer words than a mask has
+places is one seed as a whole, and is found where all its words stand.
 
 Where the benchmark has at most ``BROADCAST_SEEDS`` seeds, its seeds go to every task and
-no training text is shuffled; a larger benchmark is joined by hash instead, and only texts
+no training text is shuffled; a larger benchmark is joined by hash instead: seeds that a
+bitmap of the items' seeds excludes do not move, and only texts
 with hits are read again. Both ways give the same rows.
 
 Words are runs of letters, digits and other signs beyond ASCII; ASCII and general
 punctuation separates them, and the case of ASCII and Latin-1 letters is ignored. Defined results: null or empty
-texts and items, and items shorter than ``MASKS`` reach, give no row; repeated rows of a
+texts and items give no row; repeated rows of a
 table give the row once; null ids are left out; other columns are ignored.
 """
 
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, mixed, sliced, stored
+from nightfolio.llm.common import NOT_ALNUM, Shared, WordCodes, bitmap, mixed, sliced, stored
 
 #: 1 is a place whose word is read, 0 one that is ignored. Fixed values.
 MASKS = ("1110100111", "1101011011", "1011100101")
@@ -35,6 +37,8 @@ MIN_WORDS = 13
 MISMATCH = 4
 BROADCAST_SEEDS = 1_000_000
 _FILTER_BITS = 22
+#: Added to the length of a short item, the number of its seed.
+WHOLE = 1000
 _FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -55,6 +59,30 @@ def seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mixed(value)
 
 
+def item_seeds(words: np.ndarray, masks: tuple[str, ...]) -> list[tuple[int, np.ndarray]]:
+    """The seeds of an item under the numbers of their masks.
+
+    An item that is shorter than the masks is one seed as a whole, numbered by its length.
+    """
+    if 0 < len(words) < min(map(len, masks)):
+        return [whole_seeds(words, len(words))]
+    return [(n, seeds(words, mask, n)) for n, mask in enumerate(masks)]
+
+
+def whole_seeds(words: np.ndarray, length: int) -> tuple[int, np.ndarray]:
+    return WHOLE + length, seeds(words, "1" * length, WHOLE + length)
+
+
+def text_seeds(
+    words: np.ndarray, masks: tuple[str, ...], lengths: list[int]
+) -> Iterator[tuple[bool, np.ndarray]]:
+    """The seeds of a text, and whether they are of whole items of the given ``lengths``."""
+    for n, mask in enumerate(masks):
+        yield False, seeds(words, mask, n)
+    for length in lengths:
+        yield True, whole_seeds(words, length)[1]
+
+
 def best_overlap(same: np.ndarray, least: int) -> tuple[int, int, int] | None:
     """Start, length and equal words of the stretch with the best sum.
 
@@ -99,11 +127,11 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], masks: tuple[str, ...]):
         self.items, self.masks = items, masks
+        self.lengths = sorted({len(w) for _, w in items if 0 < len(w) < min(map(len, masks))})
         parts = [
             (found, np.full(len(found), i), np.arange(len(found)))
             for i, (_, words) in enumerate(items)
-            for n, mask in enumerate(masks)
-            for found in [seeds(words, mask, n)]
+            for _, found in item_seeds(words, masks)
         ]
         codes = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.uint64)
         order = np.argsort(codes)
@@ -118,8 +146,7 @@ class SeedIndex:
         if not len(self.codes):
             return []
         diagonals = []
-        for n, mask in enumerate(self.masks):
-            codes = seeds(words, mask, n)
+        for whole, codes in text_seeds(words, self.masks, self.lengths):
             at = np.flatnonzero(
                 self.present[(codes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)]
             )
@@ -129,7 +156,12 @@ class SeedIndex:
             many = np.searchsorted(self.codes, codes[at], "right") - begin
             at, begin = np.repeat(at, many), np.repeat(begin, many)
             hit = begin + np.arange(len(begin)) - np.repeat(np.cumsum(many) - many, many)
-            diagonals.append(np.stack([self.item[hit], at - self.place[hit]], axis=1))
+            item, diagonal = self.item[hit], at - self.place[hit]
+            if whole:
+                # All hits are equal word for word: the first is the best.
+                item, first = np.unique(item, return_index=True)
+                diagonal = diagonal[first]
+            diagonals.append(np.stack([item, diagonal], axis=1))
         best: dict[int, tuple] = {}
         if diagonals:
             for item, diagonal in np.unique(np.concatenate(diagonals), axis=0).tolist():
@@ -158,21 +190,45 @@ def _by_index(index):
     return run
 
 
-def _seed_rows(masks: tuple[str, ...]):
-    """Every seed of a text: its hash, the text's id, where it starts."""
+def _item_rows(masks: tuple[str, ...]):
+    """Every seed of an item: its hash, the item's id, where it starts, and the length of a
+    short item that is one seed as a whole, else 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = plain_words()
         for batch in sliced(batches):
             for key, words in zip(batch.column(0).to_pylist(), coder.of(batch.column(1))):
-                parts = [seeds(words, mask, n) for n, mask in enumerate(masks)]
-                codes = np.concatenate(parts).view(np.int64)
-                places = np.concatenate([np.arange(len(p)) for p in parts])
-                if len(codes):
-                    yield pa.record_batch(
-                        [pa.array(codes), pa.array([key] * len(codes), pa.int64()), pa.array(places)],
-                        ["code", "key", "place"],
-                    )
+                for number, codes in item_seeds(words, masks):
+                    many = len(codes)
+                    columns = [
+                        pa.array(codes.view(np.int64)),
+                        pa.array([key] * many, pa.int64()),
+                        pa.array(np.arange(many)),
+                        pa.array(np.full(many, max(0, number - WHOLE))),
+                    ]
+                    yield pa.record_batch(columns, ["code", "item_id", "item_place", "length"])
+
+    return run
+
+
+def _text_rows(masks: tuple[str, ...], lengths: list[int], present: Shared):
+    """The seeds of a text that the items may have: hash, the text's id, where it starts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, known = plain_words(), present.value
+        for batch in sliced(batches):
+            for key, words in zip(batch.column(0).to_pylist(), coder.of(batch.column(1))):
+                for _, codes in text_seeds(words, masks, lengths):
+                    at = np.flatnonzero(known.may_have(codes))
+                    if len(at):
+                        yield pa.record_batch(
+                            [
+                                pa.array(codes[at].view(np.int64)),
+                                pa.array([key] * len(at), pa.int64()),
+                                pa.array(at),
+                            ],
+                            ["code", "key", "place"],
+                        )
 
     return run
 
@@ -193,19 +249,23 @@ def _on_diagonals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _by_join(texts: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    shape = "code long, key long, place long"
-    other = items.mapInArrow(_seed_rows(masks), shape).select(
-        "code", F.col("key").alias("item_id"), F.col("place").alias("item_place")
+    own = stored(
+        items.mapInArrow(
+            _item_rows(masks), "code long, item_id long, item_place long, length long"
+        ),
+        "seeds",
     )
+    lengths = sorted(r["length"] for r in own.select("length").distinct().collect() if r["length"])
+    # Most seeds of the corpus stop here: only those that items may have move.
+    present = bitmap(own.select("code"))
+    diagonal = F.col("place") - F.col("item_place")
     hits = (
-        texts.mapInArrow(_seed_rows(masks), shape)
-        .join(other, "code")
-        .select(
-            F.col("key").alias("doc_id"),
-            "item_id",
-            (F.col("place") - F.col("item_place")).alias("diagonal"),
-        )
-        .distinct()
+        texts.mapInArrow(_text_rows(masks, lengths, present), "code long, key long, place long")
+        .join(own, "code")
+        # Of a short item, equal word for word, the first place is the best; else every diagonal.
+        .groupBy("key", "item_id", F.when(F.col("length") == 0, diagonal).alias("on"))
+        .agg(F.min(diagonal).alias("diagonal"))
+        .select(F.col("key").alias("doc_id"), "item_id", "diagonal")
     )
     found = (
         hits.join(texts, "doc_id")

@@ -325,6 +325,73 @@ def test_one_exchanged_word_anywhere_hides_no_item(spark, words, size):
     assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench).collect()] == [99]
 
 
+def brute_overlaps(rows, items):
+    """Every diagonal on which a mask, or a whole short item, is equal word for word."""
+    def words_of(text):
+        return [w.lower() for w in re.findall("[A-Za-z0-9]+", text or "")]
+
+    found = {}
+    for doc, text in rows:
+        words = words_of(text)
+        for item_id, item in items:
+            item = words_of(item)
+            if doc is None or item_id is None or not item or not words:
+                continue
+            masks = decontaminate.MASKS if len(item) >= 10 else ("1" * len(item),)
+            best = None
+            for diagonal in range(-len(item) + 1, len(words)):
+                low, high = max(0, -diagonal), min(len(item), len(words) - diagonal)
+                same = [words[k + diagonal] == item[k] for k in range(low, high)]
+                if not any(
+                    all(same[k + j] for j, read in enumerate(mask) if read == "1")
+                    for mask in masks
+                    for k in range(len(same) - len(mask) + 1)
+                ):
+                    continue
+                overlap = decontaminate.best_overlap(np.array(same), min(13, len(item)))
+                if overlap:
+                    begin, length, equal = overlap
+                    new = (equal, -(low + begin + diagonal), -(low + begin), length)
+                    best = max(best or new, new)
+            if best:
+                found[doc, item_id] = max(found.get((doc, item_id), best), best)
+    return {(*key, -b[1], -b[2], b[3], b[0]) for key, b in found.items()}
+
+
+def test_whole_rows_against_brute_force(spark, words):
+    rng = random.Random(21)
+    few = words[:12]  # so that short items and parts of long ones occur by themselves
+    items = [(n, sentence(rng, few, n)) for n in (1, 2, 3, 5, 7, 9)]
+    items += [(20 + n, sentence(rng, words, n)) for n in (4, 8, 9, 10, 11, 13, 18, 30)]
+    items += [(60, sentence(rng, few, 14)), (61, None), (62, " ,"), (None, "x"), (63, items[0][1])]
+    rows = [(i, sentence(rng, few, rng.randint(1, 40))) for i in range(12)]
+    for i, (_, item) in enumerate(items[:15]):
+        changed = item.split()
+        if len(changed) > 12:
+            changed[rng.randrange(len(changed))] = "other"
+        rows.append((100 + i, f"{sentence(rng, words, 15)} {' '.join(changed).upper()}, {sentence(rng, words, 4)}"))
+    rows += [(200, None), (201, ""), (None, items[0][1]), (100, rows[12][1])]
+    docs = spark.createDataFrame([(*r, 3, 4) for r in rows], "doc_id long, text string, item_id int, code int")
+    bench = spark.createDataFrame([(*r, "c") for r in items], "item_id long, text string, place string")
+    expected = brute_overlaps(rows, items)
+    assert {i for _, i, *_ in expected} >= {n for n, _ in items[:14]}
+    for limit in (decontaminate.BROADCAST_SEEDS, 1):
+        found = decontaminate.overlaps(docs, bench, limit=limit)
+        rows_found = [tuple(r) for r in found.collect()]
+        assert len(rows_found) == len(set(rows_found)) and set(rows_found) == expected
+        kept = {r["doc_id"] for r in decontaminate.keep_clean(docs, bench, limit=limit).collect()}
+        dirty = {d for d, *_ in expected}
+        assert kept - {None} == {i for i, _ in rows if i is not None} - dirty
+
+
+def test_a_very_long_text_with_a_common_short_item(spark):
+    docs = spark.createDataFrame([(1, "the cat " * 100_000)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "the"), (2, "cat the"), (3, "cat cat")], "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_SEEDS, 1):
+        found = {tuple(r) for r in decontaminate.overlaps(docs, bench, limit=limit).collect()}
+        assert found == {(1, 1, 0, 0, 1, 1), (1, 2, 1, 0, 2, 2)}
+
+
 def test_both_ways_keep_the_same_rows(spark, words):
     rng = random.Random(4)
     item = sentence(rng, words, 20)
