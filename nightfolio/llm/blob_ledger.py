@@ -7,10 +7,14 @@ blob, appends the outcome, and joins the findings back to all paths that hold th
 
 A ledger row is the outcome of one pair, spans or none, so findings and progress cannot
 part: a run that dies before its files are committed has scanned nothing. Each run adds
-files of its own and rewrites none. Copies of a text are dropped in each task before texts
+files of its own and rewrites none.
+
+Ids decide first: digests meet the ledger without their texts. Only texts whose digest a bitmap of the
+pending ones admits are moved, to be scanned once each, and where nothing is pending no
+text is read for it. Copies of a text are dropped in each task before texts
 move, so a blob held by a third of all paths is one row per task.
 
-Defined results: a null text is the empty blob, which has no findings; several versions of
+Defined results: an empty table gives no rows and scans nothing; a null text is the empty blob, which has no findings; several versions of
 a path are rows of one id, each with its blob's findings; offsets count code points, ends
 are exclusive; ties at one start go by the order of ``RULES``; null ids are kept; other
 columns are ignored.
@@ -21,11 +25,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from nightfolio.llm.common import Shared, bitmap, stored
+
 BASE = ("assign", "access", "hex")
 #: Rule, version, pattern, group whose length counts, least length of it.
 RULES = (
@@ -67,15 +74,25 @@ def blob_of(text: F.Column) -> F.Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def _one_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drops the blobs that the task has had."""
-    seen: set[bytes] = set()
-    for batch in batches:
-        keep = []
-        for blob in batch.column(0).to_pylist():
-            keep.append(blob not in seen)
-            seen.add(blob)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+def _code(blob: F.Column) -> F.Column:
+    """64 bits of a digest."""
+    return F.conv(F.hex(F.substring(blob, 1, 8)), 16, -10).cast("long")
+
+
+def _pending_once(pending: Shared):
+    """Drops the blobs that cannot be pending, and those that the task has had."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            keep = pending.value.may_have(batch.column(2).to_numpy())
+            blobs = batch.column(0).to_pylist()
+            for k in np.flatnonzero(keep):
+                keep[k] = blobs[k] not in seen
+                seen.add(blobs[k])
+            yield batch.select(["blob", "text"]).filter(pa.array(keep))
+
+    return run
 
 
 def _scan(rules: tuple):
@@ -116,8 +133,6 @@ def scan_unseen(docs: DataFrame, ledger_path: str, rules: tuple = RULES) -> Data
     """Scans the pairs of blob and rule version that the ledger lacks; returns the ledger."""
     spark = docs.sparkSession
     ledger = read_ledger(spark, ledger_path)
-    blobs = docs.select(blob_of(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = blobs.mapInArrow(_one_each, "blob binary, text string")
     wanted = F.array(
         *[F.struct(F.lit(r[0]).alias("rule"), F.lit(r[1]).alias("version"), F.lit(i).alias("place"))
           for i, r in enumerate(rules)]
@@ -126,7 +141,7 @@ def scan_unseen(docs: DataFrame, ledger_path: str, rules: tuple = RULES) -> Data
         F.collect_set("pair").alias("had")
     )
     # One row a blob holds its rules, of which there are few; only ids meet the ledger.
-    pending = (
+    pending = stored(
         docs.select(blob_of(F.col("text")).alias("blob"))
         .distinct()
         .join(had, "blob", "left")
@@ -144,10 +159,19 @@ def scan_unseen(docs: DataFrame, ledger_path: str, rules: tuple = RULES) -> Data
                 lambda r: r["place"],
             ).alias("wanted"),
         )
-        .filter(F.size("wanted") > 0)
+        .filter(F.size("wanted") > 0),
+        "pending",
     )
+    if pending.isEmpty():
+        return ledger
+    blob, text = blob_of(F.col("text")), F.coalesce("text", F.lit(""))
+    named = docs.select(blob.alias("blob"), text.alias("text")).withColumn("code", _code(F.col("blob")))
+    admitted = bitmap(pending.select(_code(F.col("blob")).alias("code")))
     found = (
-        texts.join(pending.hint("shuffle_hash"), "blob")
+        named.mapInArrow(_pending_once(admitted), "blob binary, text string")
+        # However the join is done, all copies of a blob are in one task, which scans one.
+        .repartition("blob")
+        .join(pending, "blob")
         .select("blob", "text", "wanted")
         .mapInArrow(_scan(rules), LEDGER)
     )

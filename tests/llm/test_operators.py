@@ -467,6 +467,49 @@ def brute_secrets(text):
     return ",".join(f"{n}:{a}:{b}" for a, _, b, n in sorted(out))
 
 
+def test_ledger_moves_only_texts_that_may_be_pending(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    texts = [f"text {i} token=abcdefgh{i}" for i in range(300)] + ["text 0 token=abcdefgh0"] * 200
+    rows = [(i, t, b"x", "r", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, blob binary, rule string, version int")
+    first = blob_ledger.report(docs, path).collect()
+    moved = []
+    real = blob_ledger._pending_once
+
+    def counting(pending):
+        def run(batches):
+            for batch in real(pending)(batches):
+                yield batch
+
+        moved.append(pending.value)
+        return run
+
+    monkeypatch.setattr(blob_ledger, "_pending_once", counting)
+    again = blob_ledger.report(docs, path).collect()
+    assert not moved  # nothing is pending, so no text is read to be moved
+    assert sorted(map(str, again)) == sorted(map(str, first))
+    more = docs.union(spark.createDataFrame([(900, "password: 12345678", b"", "", 0)], docs.schema))
+    found = {r["doc_id"]: r["spans"] for r in blob_ledger.report(more, path).collect()}
+    assert found[900] == "assign:0:18"
+    named = more.select(blob_ledger.blob_of(F.col("text")).alias("blob"), "text")
+    named = named.withColumn("code", blob_ledger._code(F.col("blob")))
+    (pending,) = moved
+    admitted = [pending.may_have(np.array([r["code"]]))[0] for r in named.collect()]
+    assert admitted[-1] and sum(admitted) < 5
+
+
+def test_ledger_edge_rows(spark, tmp_path):
+    schema = "doc_id long, text string, spans string, s long, pair int"
+    empty = spark.createDataFrame([], schema)
+    assert blob_ledger.report(empty, str(tmp_path / "none")).collect() == []
+    assert blob_ledger.read_ledger(spark, str(tmp_path / "none")).count() == 0
+    long = "x " * 2_000_000 + "token=abcdefghij" + " é" * 1_000_000 + "f" * 500_000
+    docs = spark.createDataFrame([(1, long, "c", 2, 3), (2, None, "c", 2, 3), (None, "", "c", 2, 3)], schema)
+    found = {r["doc_id"]: r for r in blob_ledger.report(docs, str(tmp_path / "ledger")).collect()}
+    assert found[1]["spans"] == "assign:4000000:4000016,hex:6000016:6500016"
+    assert found[2]["spans"] == found[None]["spans"] == "" and found[2]["blob"] == found[None]["blob"]
+
+
 def test_ledger_scans_only_what_is_new(spark, tmp_path):
     secret = 'é token = "0123456789abcdef0123456789abcdef01" Api-key PASSWORD: short, ' + "AKIA" + "A1" * 8
     rows = [(1, secret), (2, secret), (3, None), (4, ""), (None, "api_key=abcdefgh1"), (1, "ſecret=abcdefghij")]
