@@ -11,8 +11,8 @@ A transcript comes in parts, in order. ``PART_BLOCK`` parts are a block, counted
 the order and not by the parts' own numbers, which may be null or repeated; ranks come from
 a sort by range, so no task numbers a transcript alone. A block is one row of the work: its
 lines reduce to the best score from each state before it to each state
-at its end, these small matrices are combined in order along a transcript of many blocks,
-and each block then traces its own path between the states it was given. So the path is
+at its end, these small matrices are combined in a tree of ``FAN`` neighbours a node, the best
+states come back down the tree, and each block then traces its own path between the states it was given. So the path is
 that of the whole transcript, however long it is, and no task holds all its text.
 
 Defined results: a null or empty text is one empty line; parts that share a number are
@@ -40,6 +40,8 @@ ROLES = ("system", "user", "assistant")
 #: States: each role beginning a turn, then each role going on.
 STATES = 2 * len(ROLES)
 PART_BLOCK = 64
+#: Blocks, or spans of them, that one group of the tree combines.
+FAN = 64
 #: The names that speaker markers use.
 NAMES = {
     "system": "system|instruction|instructions|context",
@@ -278,19 +280,23 @@ def _blocks(rows: DataFrame, *extra: str) -> DataFrame:
     flags = blocks.mapInArrow(
         _flags, "conv_id long, block long, has_marker boolean, ends_blank boolean"
     )
-    ordered = Window.partitionBy("conv_id").orderBy("block")
-    whole = Window.partitionBy("conv_id")
-    known = flags.select(
-        "conv_id",
-        "block",
-        F.lag("ends_blank").over(ordered).alias("blank"),
-        F.max("has_marker").over(whole).alias("marked"),
-        F.count("*").over(whole).alias("n"),
+    flags = stored(flags, "flags")
+    whole = flags.groupBy("conv_id").agg(
+        F.max("has_marker").alias("marked"), F.count("*").alias("n")
+    )
+    before = flags.select(
+        F.col("conv_id").alias("before"), (F.col("block") + 1).alias("next"), "ends_blank"
+    )
+    own = flags.select("conv_id", "block").join(
+        before, F.col("conv_id").eqNullSafe(F.col("before")) & (F.col("block") == F.col("next")), "left"
+    )
+    known = own.join(whole, own["conv_id"].eqNullSafe(whole["conv_id"])).select(
+        own["conv_id"], "block", F.col("ends_blank").alias("blank"), "marked", "n"
     )
     return blocks.join(known, _same(blocks, known)).select(
         blocks["conv_id"],
         blocks["block"],
-        F.col("blank").isNull().alias("is_first"),
+        (blocks["block"] == 0).alias("is_first"),
         "marked",
         F.coalesce("blank", F.lit(False)).alias("blank"),
         "parts",
@@ -321,65 +327,99 @@ def _block_scores(model: Chances, batch: pa.RecordBatch) -> Iterator[np.ndarray]
 
 
 def _summaries(model: Chances):
+    """The best scores from each state before a block to each at its end; a first block is
+    entered by the chances of first states, whatever is said to be before it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _block_scores(model, batch)
-            best = [spans_best(model, s).ravel().tolist() for s in scores]
+            best = []
+            for scores, first in zip(_block_scores(model, batch), batch.column("is_first").to_pylist()):
+                if first:
+                    end = model.start + scores[0]
+                    for line in scores[1:]:
+                        end = (end[:, None] + model.step).max(axis=0) + line
+                    span = np.tile(end, (STATES, 1))
+                else:
+                    span = spans_best(model, scores)
+                best.append(span.ravel().tolist())
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(best, pa.list_(pa.float64()))],
-                ["conv_id", "block", "best"],
+                ["conv_id", "place", "span"],
             )
 
     return run
 
 
-def _boundaries(model: Chances):
-    """Along one conversation: the scores on entering each block and its last state."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("block")
-        spans = [np.reshape(b, (STATES, STATES)) for b in frame["best"]]
-        # The first block is entered by the chances of first states, not by a step.
-        ends, entries = [], []
-        for i, (span, first) in enumerate(zip(spans, frame["head"])):
-            if i == 0:
-                entries.append(model.start)
-                ends.append(np.array(first))
-            else:
-                entries.append((ends[-1][:, None] + model.step).max(axis=0))
-                ends.append((ends[-1][:, None] + span).max(axis=0))
-        lasts = [int(ends[-1].argmax())]
-        for end, span in zip(ends[-2::-1], spans[:0:-1]):
-            lasts.append(int((end + span[:, lasts[-1]]).argmax()))
-        return pd.DataFrame(
-            {
-                "conv_id": frame["conv_id"].to_numpy(),
-                "block": frame["block"].to_numpy(),
-                "entry": [e.tolist() for e in entries],
-                "last": lasts[::-1],
-            }
-        )
+def _spans(frame: pd.DataFrame) -> list[np.ndarray]:
+    return [np.reshape(span, (STATES, STATES)) for span in frame["span"]]
 
-    return run
 
+def _combined(frame: pd.DataFrame) -> pd.DataFrame:
+    """Neighbouring spans as one."""
+    frame = frame.sort_values("place")
+    first, *rest = _spans(frame)
+    for span in rest:
+        first = (first[:, :, None] + span[None]).max(axis=1)
+    return pd.DataFrame(
+        {
+            "conv_id": frame["conv_id"].to_numpy()[:1],
+            "place": frame["place"].to_numpy()[:1] // FAN,
+            "span": [first.ravel().tolist()],
+        }
+    )
 
-def _head(model: Chances):
-    """For first blocks, the best score of each state at their end."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for scores in _block_scores(model, batch):
-                best = model.start + scores[0]
-                for line in scores[1:]:
-                    best = (best[:, None] + model.step).max(axis=0) + line
-                out.append(best.tolist())
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.float64()))],
-                ["conv_id", "block", "head"],
-            )
+def _passed_down(frame: pd.DataFrame) -> pd.DataFrame:
+    """For neighbouring spans, the scores before each and its last state, given the scores before
+    the first and the last state of the last, which is the best one where none is given."""
+    frame = frame.sort_values("place")
+    spans, before = _spans(frame), frame["before"].iloc[0]
+    befores = [np.zeros(STATES) if before is None else np.array(before)]
+    for span in spans:
+        befores.append((befores[-1][:, None] + span).max(axis=0))
+    last = frame["last"].iloc[0]
+    lasts = [int(befores[-1].argmax()) if last < 0 else int(last)]
+    for end, span in zip(befores[-2:0:-1], spans[:0:-1]):
+        lasts.append(int((end + span[:, lasts[-1]]).argmax()))
+    return pd.DataFrame(
+        {
+            "conv_id": frame["conv_id"].to_numpy(),
+            "place": frame["place"].to_numpy(),
+            "before": [b.tolist() for b in befores[:-1]],
+            "last": lasts[::-1],
+        }
+    )
 
-    return run
+
+def _entered(spans: DataFrame) -> DataFrame:
+    """``before`` and ``last`` for each span, through a tree of ``FAN`` neighbours a node.
+
+    No group has more than ``FAN`` rows, however many blocks a transcript has.
+    """
+    levels = [stored(spans, "spans")]
+    most = levels[0].agg(F.max("place")).first()[0] or 0
+    up = F.floor(F.col("place") / FAN).cast("long")
+    while most >= FAN:
+        grouped = levels[-1].groupBy("conv_id", up.alias("up"))
+        levels.append(
+            stored(grouped.applyInPandas(_combined, "conv_id long, place long, span array<double>"), "spans")
+        )
+        most //= FAN
+    shape = "conv_id long, place long, before array<double>, last int"
+    found = None
+    for level in reversed(levels):
+        if found is None:
+            given = level.withColumns(
+                {"before": F.lit(None).cast("array<double>"), "last": F.lit(-1), "up": F.lit(0)}
+            )
+        else:
+            own = level.withColumn("up", up)
+            same = own["conv_id"].eqNullSafe(found["conv_id"]) & (own["up"] == found["place"])
+            given = own.join(found, same).select(
+                own["conv_id"], own["place"], "span", "up", "before", "last"
+            )
+        found = given.groupBy("conv_id", "up").applyInPandas(_passed_down, shape)
+    return found.withColumnRenamed("place", "block")
 
 
 _TURNS = "conv_id long, block long, piece long, role string, continues boolean, n_lines long, text string, rendered string"
@@ -389,12 +429,12 @@ def _turns(model: Chances):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            names = ("conv_id", "block", "parts", "entry", "last")
+            names = ("conv_id", "block", "parts", "is_first", "before", "last")
             columns = (batch.column(name).to_pylist() for name in names)
             scored = _block_scores(model, batch)
-            for scores, conv, block, parts, entry, last in zip(scored, *columns):
+            for scores, conv, block, parts, first, before, last in zip(scored, *columns):
                 lines = _block_lines(parts)
-                start = model.start if entry is None else np.array(entry)
+                start = model.start if first else (np.array(before)[:, None] + model.step).max(axis=0)
                 states = path(model, scores, start, last)
                 begins = np.flatnonzero(states < len(ROLES))
                 cuts = begins.tolist() if len(begins) and begins[0] == 0 else [0, *begins.tolist()]
@@ -421,18 +461,12 @@ def parse(transcripts: DataFrame, model: Chances) -> DataFrame:
     """
     opened = _blocks(transcripts)
     many = opened.filter("n > 1").drop("n")
-    best = many.mapInArrow(_summaries(model), "conv_id long, block long, best array<double>")
-    heads = many.filter("is_first").mapInArrow(_head(model), "conv_id long, block long, head array<double>")
-    bounds = (
-        best.join(heads, _same(best, heads), "left")
-        .select(best["conv_id"], best["block"], "best", "head")
-        .groupBy("conv_id")
-        .applyInPandas(_boundaries(model), "conv_id long, block long, entry array<double>, last int")
-    )
+    spans = many.mapInArrow(_summaries(model), "conv_id long, place long, span array<double>")
+    bounds = _entered(spans)
     return (
         opened.join(bounds, _same(opened, bounds), "left")
         .select(
-            opened["conv_id"], opened["block"], "is_first", "marked", "blank", "parts", "entry", "last"
+            opened["conv_id"], opened["block"], "is_first", "marked", "blank", "parts", "before", "last"
         )
         .mapInArrow(_turns(model), _TURNS)
     )

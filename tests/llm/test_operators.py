@@ -567,6 +567,80 @@ def test_blocks_give_the_path_of_the_whole(spark, monkeypatch):
     assert turns() == whole
 
 
+def best_path(model, scores):
+    """Viterbi's path, step by step over the whole."""
+    best, back = model.start + scores[0], []
+    for line in scores[1:]:
+        through = best[:, None] + model.step
+        back.append(through.argmax(axis=0))
+        best = through.max(axis=0) + line
+    states = [int(best.argmax())]
+    for row in back[::-1]:
+        states.append(int(row[states[-1]]))
+    return states[::-1]
+
+
+def total(model, scores, states):
+    steps = sum(model.step[a, b] for a, b in zip(states, states[1:]))
+    return model.start[states[0]] + steps + sum(row[s] for row, s in zip(scores, states))
+
+
+def test_path_equals_enumeration():
+    rng = np.random.default_rng(12)
+    counts = rng.integers(1, 50, transcripts.STATES * (transcripts.WEIGHT + transcripts.STATES + 1))
+    model = transcripts.Chances(counts.astype(float))
+    for size in (1, 2, 3, 4):
+        scores = rng.normal(size=(size, transcripts.STATES))
+        with np.errstate(invalid="ignore"):
+            def score(states):
+                total = model.start[states[0]] + scores[0, states[0]]
+                for t in range(1, size):
+                    total += model.step[states[t - 1], states[t]] + scores[t, states[t]]
+                return total
+
+            best = max(np.ndindex(*([transcripts.STATES] * size)), key=score)
+        assert list(best) == best_path(model, scores)
+        assert list(best) == transcripts.path(model, scores, model.start, None).tolist()
+
+
+@pytest.mark.parametrize("fan, count", [(64, 4500), (3, 100)])
+def test_a_conversation_of_thousands_of_blocks(spark, monkeypatch, fan, count):
+    monkeypatch.setattr(transcripts, "PART_BLOCK", 1)
+    monkeypatch.setattr(transcripts, "FAN", fan)
+    rng = random.Random(13)
+    said = ["fine", "is it so?", "", "- a point", "User: and you?", "Assistant: well", "a " * 90]
+    rows = [(None, i, rng.choice(said)) for i in range(count)]
+    rows += [(7, i, rng.choice(said[:4])) for i in range(fan + 1)] + [(8, 0, "User: one"), (9, 0, None)]
+    shape = "conv_id long, part long, text string, span string, before int, place int"
+    raw = spark.createDataFrame([(*r, "clash", 1, 2) for r in rows], shape).repartition(4)
+    rng = np.random.default_rng(14)
+    counts = rng.integers(1, 50, transcripts.STATES * (transcripts.WEIGHT + transcripts.STATES + 1))
+    model = transcripts.Chances(counts.astype(float))
+
+    def bounded(real):
+        def run(frame):
+            if len(frame) > fan:
+                raise ValueError(f"a group of {len(frame)} rows")
+            return real(frame)
+
+        return run
+
+    for name in ("_combined", "_passed_down"):
+        monkeypatch.setattr(transcripts, name, bounded(getattr(transcripts, name)))
+    found = defaultdict(list)
+    for r in sorted(transcripts.parse(raw, model).collect(), key=lambda r: (r["block"], r["piece"])):
+        found[r["conv_id"]] += [(r["role"], i == 0 and not r["continues"]) for i in range(r["n_lines"])]
+    assert set(found) == {None, 7, 8, 9}
+    for conv in found:
+        texts = [t or "" for c, _, t in rows if c == conv]
+        marked = any(transcripts.marker_of(t)[0] for t in texts)
+        scores = model.scores(transcripts.observed(texts, True, marked, False))
+        # Several paths can be the best, so their sums are compared.
+        own = [transcripts.ROLES.index(r) + (0 if begins else len(transcripts.ROLES)) for r, begins in found[conv]]
+        assert len(own) == len(texts)
+        assert total(model, scores, own) == pytest.approx(total(model, scores, best_path(model, scores)), rel=1e-12)
+
+
 def test_blocks_are_bounded_whatever_the_numbers(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(None, rng.choice([0, 1, 2, 7, None]), f"User: q{rng.randrange(500)}?\nAssistant: a", "user") for _ in range(1500)]
