@@ -2,8 +2,13 @@
 
 A window network reads the words on both sides of a place, never the word itself, and
 predicts the word: embeddings by position, a tanh layer, and a softmax over word classes;
-within a class a word has its share of the corpus. The sum of the logarithms over all
-places of a text is its score.
+within a class a word has its share of the corpus, so the chances of all words add up to
+one. The sum of the logarithms over all places of a text is its score.
+
+Classes are learned from contexts: each frequent word has a profile of what stands left and
+right of it in all texts, and words with like profiles, by their leading singular
+directions, fall into one class. So choosing a class is choosing among words that stand
+in such a place, and not a band of frequency.
 
 Word counts come from all texts. Words from ``EMBEDDED_COUNT`` occurrences on have
 embeddings, so their number grows with the corpus, between ``EMBEDDED_LEAST`` and
@@ -12,9 +17,9 @@ hashed embeddings and one class, in which each has the share of its own (smoothe
 however rare it is. The counts of at most ``TABLE_WORDS`` words go to the tasks; words
 below that meet their counts by a join.
 
-The network is trained by every task on its own texts, on a share ``MASKED`` of the places
-of every text, in ``ROUNDS`` rounds from common weights that are the mean of the round
-before, weighted by places. The weights have a fixed size; means are taken in a tree, so
+The network is trained by every task on its own texts, on every place once: each of the
+``ROUNDS`` rounds takes another share of the places of every text, from common weights that
+are the mean of the round before, weighted by places. The weights have a fixed size; means are taken in a tree, so
 no group of weights grows with the number of tasks.
 
 Defined results: a null or empty text has no tokens, score 0 and a null mean; words are
@@ -43,9 +48,11 @@ TABLE_WORDS = 1 << 19
 SMOOTHING = 0.5
 SHARED = 256
 CLASSES = 48
+#: Kinds of neighbours in a word's profile, each side: some frequent words, the rest hashed.
+OWN_KINDS, KINDS = 48, 64
+PROFILE_DIRECTIONS, CLASS_ROUNDS = 16, 25
 HIDDEN = 16
 WINDOW = 2
-MASKED = 0.12
 ROUNDS = 2
 RATE = 0.15
 STEP = 4096
@@ -104,8 +111,90 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return stored(counts.groupBy("code").agg(F.sum("n").alias("n")), "words")
 
 
+def _profiled(known: Shared, kinds: Shared):
+    """Counts of the kinds of neighbours of each frequent word, over the task's texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, words, kind = WordCodes(), known.value, kinds.value
+        total = np.zeros(len(words.codes) * 2 * KINDS, np.int64)
+        for batch in sliced(batches, 4000):
+            line, places = contexts(coder.of(batch.column(0)), words)
+            places = places[line[places] < len(words.codes)]
+            for side, step in enumerate((-1, 1)):
+                cells = (line[places] * 2 + side) * KINDS + kind[line[places + step]]
+                total += np.bincount(cells, minlength=len(total))
+        part = TaskContext.get().partitionId()
+        blocks = [b.tobytes() for b in np.array_split(total, BLOCKS)]
+        yield pa.record_batch(
+            [pa.array(range(BLOCKS), pa.int32()), pa.array([part] * BLOCKS, pa.int64()), pa.array(blocks, pa.binary())],
+            ["block", "part", "counts"],
+        )
+
+    return run
+
+
+def _summed(frame: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(c, np.int64) for c in frame["counts"])
+    return pd.DataFrame(
+        {
+            "block": frame["block"].iloc[:1].to_numpy(),
+            "part": frame["part"].iloc[:1].to_numpy(),
+            "counts": [total.tobytes()],
+        }
+    )
+
+
+def profiles(docs: DataFrame, codes: np.ndarray) -> np.ndarray:
+    """For words given by falling frequency, how often each kind of neighbour stands beside them.
+
+    Neighbours are the boundary, the ``OWN_KINDS`` first words, and all others by hash.
+    """
+    spark, order = docs.sparkSession, np.argsort(codes)
+    known = Vocabulary(codes[order], np.empty(0, np.int64), np.empty(0))
+    kinds = OWN_KINDS + np.arange(known.size) % (KINDS - 1 - OWN_KINDS)
+    kinds[: len(codes)] = np.where(order < OWN_KINDS, order, kinds[: len(codes)])
+    kinds[known.boundary] = KINDS - 1
+    schema = "block int, part long, counts binary"
+    parts = docs.select("text").mapInArrow(_profiled(Shared(spark, known), Shared(spark, kinds)), schema)
+    rows = tree_reduced(stored(parts, "profiles"), "block", _summed, schema).collect()
+    if not rows:
+        return np.zeros((len(codes), 2 * KINDS))
+    cells = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["block"])])
+    out = np.empty((len(codes), 2 * KINDS))
+    out[order] = cells.reshape(len(codes), 2 * KINDS)
+    return out
+
+
+def learned_classes(profile: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Classes of words with like profiles, by weighted k-means on singular directions.
+
+    The square root makes shares comparable whether large or small. Centres start from a
+    frequent word each, the one worst served by the centres before it.
+    """
+    if not len(profile):
+        return np.empty(0, np.int64)
+    shares = np.sqrt((profile + 0.1) / (profile + 0.1).sum(axis=1, keepdims=True))
+    shares -= np.average(shares, axis=0, weights=own)
+    # Directions that matter for many tokens, and not for many rare words.
+    values, turn = np.linalg.eigh((shares * own[:, None]).T @ shares)
+    points = shares @ turn[:, np.argsort(-values)[:PROFILE_DIRECTIONS]]
+    weight = np.sqrt(own)
+    centres = points[:1]
+    far = ((points - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < min(CLASSES - 1, len(points)):
+        centres = np.concatenate([centres, points[[np.argmax(far * weight)]]])
+        far = np.minimum(far, ((points - centres[-1]) ** 2).sum(axis=1))
+    for _ in range(CLASS_ROUNDS):
+        away = (centres**2).sum(axis=1) - 2 * points @ centres.T
+        classes = away.argmin(axis=1)
+        sums = np.stack([np.bincount(classes, weight * p, len(centres)) for p in points.T], axis=1)
+        total = np.bincount(classes, weight, len(centres))[:, None]
+        centres = np.where(total > 0, sums / np.maximum(total, 1e-12), centres)
+    return classes.astype(np.int64)
+
+
 def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
-    """Deals the frequent words into classes, and gives further ones their shares."""
+    """Learns classes of the frequent words, and gives further words their shares."""
     counts = word_counts(docs) if counts is None else counts
     # Different counts are few: n of them need n * (n + 1) / 2 tokens.
     rows = counts.groupBy("n").agg(F.count("*").alias("kinds")).collect()
@@ -127,9 +216,8 @@ def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> Vocabulary:
     (codes, further), (own, rare) = (
         np.split(values[order], [embedded]) for values in (codes, own)
     )
-    # By frequency into classes of about equal weight; the last is that of all other words.
-    passed = np.cumsum(own) - own / 2
-    classes = (passed / max(own.sum(), 1) * (CLASSES - 1)).astype(np.int64)
+    # The last class is that of all other words.
+    classes = learned_classes(profiles(docs, codes), own)
     weight = np.bincount(classes, own, CLASSES)
     shares = np.log(own / weight[classes]) if len(own) else own
     others = tokens - own.sum() + SMOOTHING * (kinds - len(own) + 1)
@@ -227,10 +315,10 @@ def _trained(weights, known, round_: int):
         trainer, learned = Trainer(weights.value, words), 0
         for batch in sliced(batches, 4000):
             line, places = contexts(coder.of(batch.column(0)), words)
-            spread = mixed(places.astype(np.uint64) + np.uint64(round_ << 40))
-            masked = places[spread < np.uint64(int(MASKED * 2**64))]
+            # Every place has its round.
+            masked = places[mixed(places.astype(np.uint64)) % np.uint64(ROUNDS) == round_]
             # Neighbouring texts are alike; a step takes places from the whole batch.
-            masked = masked[np.argsort(mixed(masked.astype(np.uint64)), kind="stable")]
+            masked = masked[np.argsort(mixed(masked.astype(np.uint64) + np.uint64(1)), kind="stable")]
             for at in range(0, len(masked), STEP):
                 trainer.step(line, masked[at : at + STEP])
             learned += len(masked)

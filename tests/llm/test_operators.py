@@ -669,6 +669,151 @@ def test_blocks_are_bounded_whatever_the_numbers(spark, monkeypatch):
     assert lines() == bounded
 
 
+def naive_likelihood(text, weights, known):
+    """Word by word from the formulas."""
+    embed, bias, out, out_bias = masked_lm._split(weights.astype(float), known.size)
+    numbers = known.numbers(text).tolist()
+    total = 0.0
+    for t, own in enumerate(numbers):
+        hidden = bias.copy()
+        for k, side in enumerate((-2, -1, 1, 2)):
+            inside = 0 <= t + side < len(numbers)
+            hidden += embed[k, numbers[t + side] if inside else known.boundary]
+        scores = np.tanh(hidden) @ out + out_bias
+        chance = np.exp(scores - scores.max())
+        total += np.log(chance[known.classes[own]] / chance.sum()) + known.shares[own]
+        if own >= len(known.codes):
+            total += known.tail_shares(text[t : t + 1])[0][0]
+    return total
+
+
+@pytest.fixture(scope="module")
+def small_lm(spark):
+    rng = random.Random(31)
+    left, right = ["der", "die", "das"], ["the", "a", "of"]
+    texts = []
+    for i in range(300):
+        small, nouns = (left, "abcdef") if i % 2 else (right, "uvwxyz")
+        texts.append(" ".join(f"{rng.choice(small)} {rng.choice(nouns)}{rng.randrange(9)}" for _ in range(20)))
+    docs = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "text string")
+    return texts, docs, masked_lm.vocabulary(docs)
+
+
+def test_likelihood_equals_the_formulas(small_lm):
+    texts, _, known = small_lm
+    rng = np.random.default_rng(32)
+    weights = rng.normal(size=len(masked_lm.start_weights(known.size))).astype(np.float32)
+    coded = WordCodes().of(pa.array([*texts[:6], "", "der unseen a1 the", "der"]))
+    got = masked_lm.log_likelihoods(coded, weights, known)
+    want = [naive_likelihood(text, weights, known) for text in coded]
+    assert np.allclose(got, want, rtol=1e-4)
+
+
+def test_chances_of_all_words_add_up_to_one(small_lm, monkeypatch):
+    texts, docs, _ = small_lm
+    monkeypatch.setattr(masked_lm, "EMBEDDED_LEAST", 40)
+    known = masked_lm.vocabulary(docs)
+    assert len(known.codes) == 40 and len(known.table) > 20
+    for number in range(masked_lm.CLASSES - 1):
+        own = known.shares[: len(known.codes)][known.classes[: len(known.codes)] == number]
+        assert not len(own) or np.exp(own).sum() == pytest.approx(1)
+    unseen = masked_lm.SMOOTHING / known.others
+    assert np.exp(known.table_shares).sum() + unseen == pytest.approx(1)
+    weights = masked_lm.start_weights(known.size)
+    parts = masked_lm._split(weights, known.size)
+    hidden = masked_lm._hidden(parts, [np.array([3, known.boundary])] * 4)
+    assert np.allclose(np.exp(masked_lm._log_classes(parts, hidden)).sum(axis=1), 1, atol=1e-5)
+
+
+def test_gradient_equals_finite_differences(small_lm, monkeypatch):
+    texts, _, known = small_lm
+    line, places = masked_lm.contexts(WordCodes().of(pa.array(texts[:3])), known)
+    rng = np.random.default_rng(33)
+    weights = rng.normal(0, 0.5, len(masked_lm.start_weights(known.size)))
+
+    def loss(values):
+        parts = masked_lm._split(values, known.size)
+        hidden = masked_lm._hidden(parts, [line[places + side] for side in masked_lm._SIDES])
+        logs = masked_lm._log_classes(parts, hidden)
+        return -logs[np.arange(len(places)), known.classes[line[places]]].mean()
+
+    slopes = np.zeros_like(weights)
+    slope_parts = masked_lm._split(slopes, known.size)
+
+    def record(self, part, where, slope):
+        slope_parts[part][where] += slope
+
+    monkeypatch.setattr(masked_lm.Trainer, "_move", record)
+    masked_lm.Trainer(weights, known).step(line, places)
+    used = np.flatnonzero(np.abs(slopes) > 1e-6)
+    for at in [*rng.choice(used, 60, replace=False), *range(len(weights) - 60, len(weights))]:
+        ahead, behind = weights.copy(), weights.copy()
+        ahead[at] += 1e-4
+        behind[at] -= 1e-4
+        assert slopes[at] == pytest.approx((loss(ahead) - loss(behind)) / 2e-4, abs=2e-5)
+
+
+def test_classes_come_from_contexts(small_lm):
+    _, _, known = small_lm
+    rng = np.random.default_rng(34)
+    profile = np.repeat(rng.integers(0, 200, (3, 2 * masked_lm.KINDS)), 30, axis=0)
+    profile = rng.poisson(profile)
+    classes = masked_lm.learned_classes(profile, np.repeat([50.0, 7.0, 1.0], 30))
+    kinds = [set(classes[i : i + 30]) for i in (0, 30, 60)]
+    assert not (kinds[0] & kinds[1] or kinds[1] & kinds[2] or kinds[0] & kinds[2])
+    assert masked_lm.learned_classes(profile[:0], np.empty(0)).shape == (0,)
+    german, english = (
+        {int(known.classes[n]) for n in known.numbers(WordCodes().of(pa.array([words]))[0])}
+        for words in ("der die das", "the a of")
+    )
+    assert not german & english
+
+
+def test_every_place_is_learned_once(small_lm):
+    texts, docs, known = small_lm
+    steps = []
+
+    class Counting(masked_lm.Trainer):
+        def step(self, line, places):
+            steps.extend(places.tolist())
+
+    batch = pa.record_batch([pa.array(texts)], ["text"])
+
+    class Held:
+        def __init__(self, value):
+            self.value = value
+
+    start, real = masked_lm.start_weights(known.size), masked_lm.Trainer
+    masked_lm.Trainer = Counting
+    try:
+        for round_ in range(masked_lm.ROUNDS):
+            run = masked_lm._trained(Held(start), Held(known), round_)
+            try:
+                list(run(iter([batch])))
+            except AttributeError:  # no task to number what is sent back
+                pass
+    finally:
+        masked_lm.Trainer = real
+    assert len(steps) == len(set(steps)) == sum(len(t.split()) for t in texts)
+
+
+def test_contexts_beat_frequencies(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    learned_from = docs.filter(~held)
+    weights, shared = masked_lm.train(learned_from, masked_lm.vocabulary(learned_from))
+    known = shared.value
+    coded = WordCodes().of(pa.array([r["text"] for r in docs.filter(held).select("text").collect()]))
+    sums, rest = masked_lm._likelihoods(coded, weights.value, known)
+    unseen = np.log(masked_lm.SMOOTHING / known.others)
+    mean = (sums.sum() + sum(map(len, rest)) * unseen) / sum(map(len, coded))
+    counts = {r["code"]: r["n"] for r in masked_lm.word_counts(learned_from).collect()}
+    tokens = sum(counts.values()) + masked_lm.SMOOTHING * (len(counts) + 1)
+    codes = np.concatenate(coded).view(np.int64).tolist()
+    unigram = np.mean([np.log((counts.get(c, 0) + masked_lm.SMOOTHING) / tokens) for c in codes])
+    assert mean > unigram + 0.3
+
+
 def test_masked_lm_learns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     known = masked_lm.vocabulary(docs)
