@@ -283,10 +283,10 @@ def with_proposals(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.arrow_udf(_propose, _SPANS)("text").alias("proposed"))
 
 
-def accepted_combinations(proposals: DataFrame) -> set[int]:
+def accepted_combinations(proposals: DataFrame, column: str = "proposed") -> set[int]:
     """Counts the combinations in ``proposals`` and fits the classifier to them."""
     rows = (
-        proposals.select(F.explode("proposed.combination").alias("combination"))
+        proposals.select(F.explode(F.col(column)["combination"]).alias("combination"))
         .groupBy("combination")
         .count()
         .collect()
@@ -341,14 +341,20 @@ def redact(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where there is one, follows the new text; null texts stay null.
     """
-    accepted = accepted_combinations(with_proposals(docs))
-
-    def rewrite(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+    own = "proposed"
+    while own in docs.columns:
+        own += "_"
+    # Stored with the rows: the patterns run once, and the classifier sees what is replaced.
+    rows = stored(docs.withColumn(own, F.arrow_udf(_propose, _SPANS)("text")), "pii")
+    accepted = accepted_combinations(rows, own)
+
+    def rewrite(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, spans in batches:
             out = []
-            for text in (t.as_py() for t in texts):
+            for text, found in zip(texts, spans):
+                text, found = text.as_py(), found.as_py()
                 pieces, at = [], 0
-                for span in proposed(text):
+                for span in found or ():
                     if span["kind"] >= len(BASE) and span["combination"] not in accepted:
                         continue
                     if span["last"] <= at:
@@ -359,7 +365,7 @@ def redact(docs: DataFrame) -> DataFrame:
                 out.append("".join([*pieces, text[at:]]) if pieces else text)
             yield pa.array(out, pa.string())
 
-    changed = docs.withColumn("text", F.arrow_udf(rewrite, "string")("text"))
+    changed = rows.withColumn("text", F.arrow_udf(rewrite, "string")("text", own))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = changed.withColumn("n_chars", F.length("text").cast(kind))
