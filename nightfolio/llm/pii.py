@@ -1,9 +1,13 @@
 """Personal data by weak supervision.
 
-Patterns propose spans. Labelers of three sorts (regex and checksum, gazetteer, context)
+Patterns propose spans, wide enough to hold what is not personal: any words in capitals as a
+name, and numbers and addresses left of base matches that fail their checks, where two
+numbers side by side made one match too long or a number is no card. Labelers of three sorts
+(regex and checksum, gazetteer, context)
 vote on each: personal, not personal, or no opinion. How often each combination of kind,
 votes and shape occurs is counted over all documents; expectation-maximisation on these
-counts estimates how reliable each labeler is for either class. A logistic classifier is
+counts estimates how reliable each labeler is for either class, apart for addresses, numbers
+and names; the checksum's reliability is given. A logistic classifier is
 then fitted to the posteriors, weighted by the counts, and decides the proposed spans. What
 goes to the driver is one count per combination, and there are at most ``COMBINATIONS``.
 
@@ -30,7 +34,14 @@ from pyspark.sql import functions as F
 from nightfolio.llm.common import stored
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "masked_email", "local_phone", "ssn", "iban", "name")
+KINDS = (
+    *BASE, "masked_email", "local_phone", "ssn", "iban", "name",
+    # What is left of base matches that fail their checks.
+    "card_number", "phone_number", "dotted_quad",
+)
+NAME, CARD_NUMBER, PHONE_NUMBER, DOTTED_QUAD = 8, 9, 10, 11
+#: Addresses, numbers, names: a labeler may be good with one sort of span and not with another.
+FAMILY = (0, 0, 1, 1, 0, 1, 1, 1, 2, 1, 1, 0)
 
 _MAIL_END = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits can only start a match where it starts itself.
@@ -48,6 +59,8 @@ _CUED = re.compile(
     r"\b(?:[Mm]y name is|[Nn]ame:|Mr\.|Mrs\.|Ms\.|Dr\.|Dear|Signed,?|Sincerely,)\s+"
     r"([A-Z][a-zA-Z'-]{1,30}(?: [A-Z][a-zA-Z'-]{1,30}){1,2})"
 )
+_NAME = re.compile(r"\b[A-Z][a-z]{1,30}(?: [A-Z][a-z]{1,30}){1,2}\b")
+_RUN = re.compile(r"(?<![0-9])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9](?:-?[0-9]){11,18}+)(?![0-9])")
 
 # Gazetteers and context words.
 TLDS = frozenset("com org net edu gov int io co de fr es uk eu us ca ch at it nl be info".split())
@@ -65,14 +78,16 @@ NEAR = {
     "local_phone": r"phone|call|tel|fax|mobile|whatsapp|ring",
     "ssn": r"ssn|social|security|tax",
     "iban": r"iban|bank|account|transfer|konto|compte|cuenta",
-    "name": r"name|dear|signed|sincerely|mr|mrs|ms|dr",
+    "name": r"\b(?:name|dear|signed|sincerely|mr|mrs|ms|dr)\b",
 }
+NEAR |= {"card_number": NEAR["card"], "phone_number": NEAR["phone"], "dotted_quad": NEAR["ip"]}
 AWAY = r"version|isbn|issn|order|invoice|ticket|build|release|page|chapter|section|figure|part no"
 CONTEXT = 40
 LABELERS = 6
 #: Kinds by votes by length class: the bound of what the driver gets.
 COMBINATIONS = len(KINDS) * 3**LABELERS * 4
 
+_CUE_END = re.compile(r"(?:name is|Name:|Mr\.|Mrs\.|Ms\.|Dr\.|Dear|Signed,?|Sincerely,)\s+$")
 _NEAR = {kind: re.compile(words, re.IGNORECASE) for kind, words in NEAR.items()}
 _AWAY = re.compile(AWAY, re.IGNORECASE)
 
@@ -133,6 +148,43 @@ def _iban_ok(text: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _left(start: int, end: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The pieces of a range that no taken span covers; spans in order."""
+    for first, last in taken:
+        if last <= start:
+            continue
+        if first >= end:
+            break
+        if first > start:
+            yield start, first
+        start = last
+    if start < end:
+        yield start, end
+
+
+def near_misses(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Proposals from matches of base patterns that fail their checks: numbers that stand side
+    by side make one match too long, and some are no card or address at all."""
+    found = []
+    for match in _CARD.finditer(text):
+        if match.end() - match.start() >= 12:
+            digits = _digits(match[0])
+            if len(digits) >= 12 and not (len(digits) <= 19 and luhn(digits)):
+                for low, high in _left(*match.span(), taken):
+                    found += [(CARD_NUMBER, *m.span()) for m in _RUN.finditer(text, low, high)]
+    if "+" in text:
+        for match in _PHONE.finditer(text):
+            if not 9 <= len(_digits(match[0])) <= 15:
+                for low, high in _left(*match.span(), taken):
+                    piece = text[low:high].rstrip(" ().-")
+                    if piece.startswith("+") and 9 <= len(_digits(piece)) <= 15:
+                        found.append((PHONE_NUMBER, low, low + len(piece)))
+    for match in _IP.finditer(text):
+        if not all(map(_part_ok, match[0].split("."))):
+            found.append((DOTTED_QUAD, *match.span()))
+    return found
+
+
 def further_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Proposals of the further kinds that do not overlap ``taken`` or each other."""
     proposals = []
@@ -140,11 +192,20 @@ def further_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[in
         proposals += [(4, *m.span()) for m in _MASKED.finditer(text)]
     for kind, pattern in ((5, _LOCAL), (6, _SSN), (7, _IBAN)):
         proposals += [(kind, *m.span()) for m in pattern.finditer(text)]
-    proposals += [(8, *m.span(1)) for m in _CUED.finditer(text)]
+    cued = [(NAME, *m.span(1)) for m in _CUED.finditer(text)]
+    names = [m.span() for m in _NAME.finditer(text)]
+    places = [start for start, _ in names]
+    for _, start, end in cued:
+        # The cue itself may look like part of the name.
+        for k in range(max(0, bisect_left(places, start) - 1), bisect_left(places, end)):
+            if names[k][1] > start:
+                names[k] = None, 0
+    proposals += cued + [(NAME, start, end) for start, end in names if start is not None]
+    used = sorted((start, end) for _, start, end in taken)
+    proposals += near_misses(text, used)
     if not proposals:
         return []
     out = []
-    used = sorted((start, end) for _, start, end in taken)
     # Of the taken spans that start before a place, where the last one ends.
     starts = [start for start, _ in used]
     ends = [0, *accumulate((end for _, end in used), max)]
@@ -171,10 +232,12 @@ def votes(text: str, kind: int, start: int, end: int) -> tuple[int, ...]:
     elif name == "ip":
         well_formed = 1 if any(len(p) > 1 and p[0] == "0" for p in span.split(".")) else 2
         listed = 1 if span.startswith(("0.", "127.", "255.")) else 0
-    elif name == "card":
-        checked = 2
+    elif name in ("card", "card_number"):
+        checked = 2 if name == "card" or luhn(digits) else 1
         listed = 2 if digits[0] in "3456" else 0
-    elif name in ("phone", "local_phone"):
+    elif name == "dotted_quad":
+        well_formed, checked = 1, 1
+    elif name in ("phone", "local_phone", "phone_number"):
         well_formed = 2 if 10 <= len(digits) <= 13 else 0
     elif name == "ssn":
         bad = digits[:3] in ("000", "666") or digits[0] == "9" or digits[3:5] == "00"
@@ -183,9 +246,11 @@ def votes(text: str, kind: int, start: int, end: int) -> tuple[int, ...]:
         checked = 2 if _iban_ok(span) else 1
         listed = 2 if span[:2] in COUNTRIES else 1
     else:
-        listed = 2 if span.split()[0].lower() in GIVEN else 0
-    if digits:
-        varied = 1 if len(set(digits)) <= 2 and len(digits) > 4 else 2
+        cue = _CUE_END.search(before)
+        well_formed = 2 if cue else 1
+        listed = 2 if any(word.lower() in GIVEN for word in span.split()) else 0 if cue else 1
+    if len(digits) > 4 and len(set(digits)) <= 2:
+        varied = 1
     near = 2 if _NEAR[name].search(before) else 0
     away = 1 if _AWAY.search(before) else 0
     return well_formed, checked, listed, varied, near, away
@@ -208,22 +273,39 @@ def _unpacked(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rest, np.stack(out[::-1], axis=1), length
 
 
-def reliabilities(ballots: np.ndarray, counts: np.ndarray, rounds: int = 50):
+#: The checksum's reliability is given: a number that fails it is no card or account, and such
+#: numbers are the negatives from which the other labelers' reliabilities are learned.
+TRUSTED = {1: 0.99}
+
+
+def reliabilities(
+    ballots: np.ndarray, counts: np.ndarray, rounds: int = 50, trusted: dict[int, float] | None = None
+):
     """Expectation-maximisation: the share of personal spans, each labeler's chance of
-    each vote in either class, and the posteriors of the ballots."""
+    each vote in either class when it votes, and the posteriors of the ballots. Having no
+    opinion says nothing about a span.
+
+    ``trusted`` labelers keep the given chance of being right when they vote.
+    """
     weight = counts.astype(float)
     for_, against = (ballots == 2).sum(axis=1), (ballots == 1).sum(axis=1)
     posterior = (for_ + 1.0) / (for_ + against + 1.5)
+    for labeler, right in (trusted or {}).items():
+        posterior = np.where(ballots[:, labeler] == 1, 1 - right, posterior)
     for _ in range(rounds):
         classes = np.stack([1 - posterior, posterior], axis=1) * weight[:, None]
         share = (classes.sum(axis=0) + 1) / (weight.sum() + 2)
-        chance = np.empty((LABELERS, 2, 3))
+        chance = np.ones((LABELERS, 2, 3))
         for labeler in range(LABELERS):
-            for vote in range(3):
+            if labeler in (trusted or {}):
+                right = trusted[labeler]
+                chance[labeler, :, 1:] = [[right, 1 - right], [1 - right, right]]
+                continue
+            for vote in (1, 2):
                 chance[labeler, :, vote] = classes[ballots[:, labeler] == vote].sum(axis=0)
             # A labeler is taken to be right rather than wrong until counts say otherwise.
-            chance[labeler] += [[1, 4, 1], [1, 1, 4]]
-            chance[labeler] /= chance[labeler].sum(axis=1, keepdims=True)
+            chance[labeler, :, 1:] += [[4, 1], [1, 4]]
+            chance[labeler, :, 1:] /= chance[labeler, :, 1:].sum(axis=1, keepdims=True)
         score = np.tile(np.log(share), (len(ballots), 1))
         for labeler in range(LABELERS):
             score += np.log(chance[labeler][:, ballots[:, labeler]]).T
@@ -232,7 +314,7 @@ def reliabilities(ballots: np.ndarray, counts: np.ndarray, rounds: int = 50):
 
 
 def _features(kinds: np.ndarray, ballots: np.ndarray, length: np.ndarray) -> np.ndarray:
-    parts = [np.eye(len(KINDS))[kinds], np.eye(4)[length], np.ones((len(kinds), 1))]
+    parts = [np.eye(3)[np.array(FAMILY)[kinds]], np.eye(4)[length], np.ones((len(kinds), 1))]
     parts += [(ballots == vote).astype(float) for vote in (1, 2)]
     return np.concatenate(parts, axis=1)
 
@@ -242,7 +324,10 @@ def fit(numbers: np.ndarray, counts: np.ndarray) -> set[int]:
     if not len(numbers):
         return set()
     kinds, ballots, length = _unpacked(numbers)
-    _, _, posterior = reliabilities(ballots, counts)
+    families, posterior = np.array(FAMILY)[kinds], np.empty(len(numbers))
+    for family in np.unique(families):
+        own = families == family
+        posterior[own] = reliabilities(ballots[own], counts[own], trusted=TRUSTED)[2]
     x = _features(kinds, ballots, length)
     weight = counts / counts.sum()
     beta = np.zeros(x.shape[1])

@@ -216,6 +216,70 @@ def test_reliabilities_find_the_good_labelers():
     assert ((posterior > 0.5) == truth).mean() > 0.95
 
 
+def card(rng, valid):
+    digits = rng.choice("3456") + "".join(rng.choice("0123456789") for _ in range(14))
+    last = next(d for d in "0123456789" if pii.luhn(digits + d))
+    return digits + (last if valid else str((int(last) + 5) % 10))
+
+
+def planted(rng, number):
+    """A text with one span beside base matches, its kind, and whether it is personal."""
+    phone = f"+1 ({rng.randint(200, 900)}) 555-{rng.randint(1000, 9999)}"
+    ip = ".".join(str(rng.randint(11, 250)) for _ in range(4))
+    kind = number % 7
+    if kind == 0:  # a phone and an address that one pattern takes for a number too long
+        return f"so {phone} {ip} it was", "phone_number", phone, True
+    if kind == 1:  # two cards that one pattern takes for a number too long
+        one, two = card(rng, True), card(rng, True)
+        return f"took {one} {two} there", "card_number", one, True
+    if kind == 2:
+        one = card(rng, False)
+        return f"counted {one} grains", "card_number", one, False
+    if kind == 3:  # all but the checksum speak for it
+        one = card(rng, False)
+        return f"my credit card {one} was not one", "card_number", one, False
+    if kind == 4:
+        return f"Dear {rng.choice(['John Ash', 'Maria Reed', 'Hans Berg'])}, hello", "name", None, True
+    if kind == 5:
+        return f"Wide Valley was green and mail a{number}@b.com", "name", "Wide Valley", False
+    return f"call {phone} or see 300.{rng.randint(1, 99)}.4.5 now", "dotted_quad", None, False
+
+
+def test_the_classifier_decides_and_beats_the_majority():
+    rng = random.Random(41)
+    cases = [planted(rng, i) for i in range(700)]
+    spans, combos = [], Counter()
+    for text, kind, piece, personal in cases:
+        found = pii.proposed(text)
+        combos.update(s["combination"] for s in found)
+        own = [s for s in found if pii.KINDS[s["kind"]] == kind and piece in (None, text[s["first"] : s["last"]])]
+        assert own, (text, kind)
+        spans.append((text, own[0], personal))
+    numbers = np.array(sorted(combos))
+    accepted = pii.fit(numbers, np.array([combos[n] for n in numbers]))
+    assert accepted and accepted != set(numbers.tolist())
+    right = sum((s["combination"] in accepted) == personal for _, s, personal in spans)
+    for tie in (True, False):
+        majority = 0
+        for text, s, personal in spans:
+            ballot = pii.votes(text, s["kind"], s["first"], s["last"])
+            lead = ballot.count(2) - ballot.count(1)
+            majority += (lead > 0 or lead == 0 and tie) == personal
+        assert right > majority + 50
+    assert right >= 0.95 * len(spans)
+
+
+def test_near_misses_are_cut_at_base_spans():
+    text = "x +1 (826) 555-4081 190.137.223.204 7536784127813050 4845168114407329, 1.2.3.999"
+    found = [(pii.KINDS[s["kind"]], text[s["first"] : s["last"]]) for s in pii.proposed(text)]
+    assert ("phone_number", "+1 (826) 555-4081") in found and ("ip", "190.137.223.204") in found
+    assert ("card_number", "4845168114407329") in found and ("dotted_quad", "1.2.3.999") in found
+    assert list(pii._left(2, 9, [(0, 3), (5, 6), (8, 20)])) == [(3, 5), (6, 8)]
+    assert list(pii._left(2, 9, [])) == [(2, 9)]
+    long = "Dear John Ash " + "1" * 100_000 + " " + "Up " * 50_000
+    assert ("name", "John Ash") in [(pii.KINDS[s["kind"]], long[s["first"] : s["last"]]) for s in pii.proposed(long)]
+
+
 def test_pii_query_and_redaction(spark):
     rows = [
         (1, "Call phone +1 (017) 555-7713 or mail a.b@mail.example.com now"),
