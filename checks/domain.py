@@ -8,6 +8,7 @@ rows belong to one property, and reservation ids repeat.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nightfolio.schemas import RAW, RAW_COLUMNS
-from nightfolio.sources.paths import is_complete
+from nightfolio.sources.paths import delete_directory, is_complete
 
 BUSINESS_DATE = "2026-05-11"
 
@@ -85,13 +86,22 @@ def _reservations_of(lines: DataFrame) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder the cluster shares, or, in local mode without one, in
-    a temporary folder."""
+    a temporary folder. What is there goes when the driver ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         shared = os.path.join(tempfile.gettempdir(), "nightfolio")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        delete_directory(spark, path)
+    except Exception:  # the session may have gone first
+        pass
 
 
 def _spread(df: DataFrame) -> DataFrame:
