@@ -66,3 +66,12 @@ def test_raw_files_of_the_refresh_are_written_by_all_tasks(spark, tmp_path, monk
     gold = queries.incremental_gold(spark, "").collect()
     assert tasks_of(tmp_path / "refresh" / "raw" / "one", ".csv") == 12
     assert [row.reservation_count for row in gold] == [2000, 2000]
+
+
+def test_malformed_lines_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    guests = (F.col("reservation_id").substr(4, 9).cast("int") % 13 * 17 % 13).cast("string")
+    raw = reservations(spark, 12).withColumn("guest_id", F.concat(F.lit("GUEST"), guests))
+    scratch(monkeypatch, tmp_path, raw)
+    found = {row[0]: row for row in queries.csv_malformed(spark, "").collect()}
+    assert tasks_of(tmp_path / "malformed", ".csv") == 12
+    assert found["MALFORMED_ROW"].row_count == 154 and found[None].row_count == 1846
