@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 
 from builders import raw_frame
 from checks import queries
+from nightfolio.operators.ingest import to_bronze
+from nightfolio.operators.quality import with_reason
+from nightfolio.operators.refine import split
 from nightfolio.plans.incremental_batch import read_refreshed, run_incremental_batch
 from nightfolio.schemas import RAW
+from nightfolio.sources import layers
+from nightfolio.sources.snapshots import NewVersion
 
 DAY = "2026-05-11"
 
@@ -75,3 +80,15 @@ def test_malformed_lines_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
     found = {row[0]: row for row in queries.csv_malformed(spark, "").collect()}
     assert tasks_of(tmp_path / "malformed", ".csv") == 12
     assert found["MALFORMED_ROW"].row_count == 154 and found[None].row_count == 1846
+
+
+@pytest.mark.parametrize("changes", [{"property_code": None}, {}])
+def test_rows_alike_in_the_clustered_columns_are_divided(spark, tmp_path, settings, changes):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    reservations(spark, 4, **changes).write.parquet(str(tmp_path / "raw"))
+    rows = split(with_reason(to_bronze(spark.read.schema(RAW).parquet(str(tmp_path / "raw")), DAY)))
+    with NewVersion(spark, str(tmp_path / "layers")) as version:
+        silver, rejected = layers.write_split(rows, version, ["arrival_date"])
+        version.commit()
+    assert tasks_of(rejected if changes else silver, ".parquet") == 8
+    assert layers.read_layer_of(spark, str(tmp_path / "layers"), "rejected" if changes else "silver").count() == 2000
