@@ -1,5 +1,6 @@
 """No task gets a share of the rows that does not shrink with the number of tasks."""
 
+import glob
 import os
 import re
 
@@ -8,12 +9,12 @@ from pyspark.sql import functions as F
 
 from builders import raw_frame
 from checks import queries
-from nightfolio.operators.ingest import to_bronze
+from nightfolio.operators.ingest import to_bronze, to_events
 from nightfolio.operators.quality import with_reason
 from nightfolio.operators.refine import split
 from nightfolio.plans.incremental_batch import read_refreshed, run_incremental_batch
 from nightfolio.schemas import RAW
-from nightfolio.sources import layers
+from nightfolio.sources import files, layers
 from nightfolio.sources.snapshots import NewVersion
 
 DAY = "2026-05-11"
@@ -92,3 +93,17 @@ def test_rows_alike_in_the_clustered_columns_are_divided(spark, tmp_path, settin
         version.commit()
     assert tasks_of(rejected if changes else silver, ".parquet") == 8
     assert layers.read_layer_of(spark, str(tmp_path / "layers"), "rejected" if changes else "silver").count() == 2000
+
+
+def test_events_are_stored_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    raw = reservations(spark, 1)
+    scratch(monkeypatch, tmp_path, raw)
+    monkeypatch.setattr(files, "GZIP_ROWS", 500)
+    assert queries.json_roundtrip(spark, "").count() == 2000
+    assert len(files_below(tmp_path / "json", ".json.gz")) == 4
+    files.write_events_json(to_events(raw), str(tmp_path / "plain"), DAY)
+    sizes = [
+        sum(os.path.getsize(file) for file in glob.glob(f"{tmp_path}/{name}/*/part-*"))
+        for name in ("json", "plain")
+    ]
+    assert 5 * sizes[0] < sizes[1]
