@@ -107,3 +107,14 @@ def test_events_are_stored_compressed_in_bounded_files(spark, tmp_path, monkeypa
         for name in ("json", "plain")
     ]
     assert 5 * sizes[0] < sizes[1]
+
+
+def test_the_batch_reads_compressed_files_and_splits_without_a_sort(spark, tmp_path, monkeypatch):
+    scratch(monkeypatch, tmp_path, reservations(spark, 3, guest_id=None))
+    open_files, writing = [], layers._open_files
+    monkeypatch.setattr(layers, "_open_files", lambda *given: open_files.append(given[1]) or writing(*given))
+    counted = {row.layer: row for row in queries.batch_counts(spark, "").collect()}
+    assert {counted[name].row_count for name in ("bronze", "silver")} == {2000}
+    assert open_files == [2]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert len(files_below(tmp_path / "batch" / "raw", ".csv.gz")) == 3
