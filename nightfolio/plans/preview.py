@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nightfolio.schemas import BRONZE, GOLD_KEYS, SILVER
 from nightfolio.sources.layers import read_layer_of
@@ -31,8 +32,23 @@ def preview(df: DataFrame, rows: int, order_by: Sequence[str] = ()) -> DataFrame
     return (df.orderBy(*order_by) if order_by else df).limit(rows)
 
 
+def up_to_last(df: DataFrame, rows: int, order_by: Sequence[str]) -> DataFrame:
+    """The rows of a stored layer that can be among the first ``rows`` in order.
+
+    The first column alone is looked through for the value that the last of them has, which
+    is done here; rows behind it need not be read whole, nor files that hold no others.
+    """
+    lead = F.col(order_by[0])
+    leads = df.select(lead).orderBy(lead).limit(rows).collect()
+    if len(leads) < rows:
+        return df
+    last = leads[-1][0]
+    return df.filter(lead.isNull() if last is None else lead.isNull() | (lead <= F.lit(last)))
+
+
 def preview_layer(spark: SparkSession, layers_path: str, layer: str) -> DataFrame:
-    return preview(read_layer_of(spark, layers_path, layer), *PREVIEWS[layer])
+    rows, order_by = PREVIEWS[layer]
+    return preview(up_to_last(read_layer_of(spark, layers_path, layer), rows, order_by), rows, order_by)
 
 
 def show_layers(spark: SparkSession, layers_path: str) -> None:

@@ -12,7 +12,10 @@ from checks import queries
 from nightfolio.operators.ingest import to_bronze, to_events
 from nightfolio.operators.quality import with_reason
 from nightfolio.operators.refine import split
+from nightfolio.plans import reservation_batch
 from nightfolio.plans.incremental_batch import read_refreshed, run_incremental_batch
+from nightfolio.plans.preview import PREVIEWS, preview_layer, up_to_last
+from nightfolio.plans.reservation_batch import run_reservation_batch
 from nightfolio.schemas import RAW
 from nightfolio.sources import files, layers
 from nightfolio.sources.snapshots import NewVersion
@@ -118,3 +121,39 @@ def test_the_batch_reads_compressed_files_and_splits_without_a_sort(spark, tmp_p
     assert open_files == [2]
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
     assert len(files_below(tmp_path / "batch" / "raw", ".csv.gz")) == 3
+
+
+def test_a_preview_reads_whole_only_rows_that_can_be_first(spark, tmp_path):
+    path = str(tmp_path / "layers")
+    spaced = reservations(spark, 4).withColumn(
+        "reservation_id", F.when(F.col("reservation_id") != "RES1077", F.col("reservation_id"))
+    )
+    for name, raw in {"one": reservations(spark, 4), "null": spaced.unionByName(spaced)}.items():
+        files.write_reservations_csv(raw, f"{path}/raw-{name}", DAY, gzip=True)
+        run_reservation_batch(spark, f"{path}/raw-{name}", f"{path}/{name}", DAY)
+        for layer in ("bronze", "silver"):
+            stored = layers.read_layer_of(spark, f"{path}/{name}", layer)
+            rows, order = PREVIEWS[layer]
+            first = [row.reservation_id for row in stored.orderBy(*order).limit(rows).collect()]
+            some = up_to_last(stored, rows, order)
+            assert some.count() < 30
+            shown = preview_layer(spark, f"{path}/{name}", layer).collect()
+            assert [row.reservation_id for row in shown] == first
+            assert up_to_last(stored, 5000, order).count() == stored.count()
+    assert first[:2] == [None, None]
+
+
+def test_the_batch_scans_with_several_tasks_a_slot(spark, tmp_path, settings, monkeypatch):
+    path = str(tmp_path / "layers")
+    files.write_reservations_csv(reservations(spark, 2), f"{path}/raw", DAY)
+    seen, name = [], "spark.sql.files.minPartitionNum"
+    writing = reservation_batch.write_split
+    monkeypatch.setattr(
+        reservation_batch, "write_split", lambda *given: seen.append(spark.conf.get(name, None)) or writing(*given)
+    )
+    run_reservation_batch(spark, f"{path}/raw", f"{path}/layers", DAY)
+    assert spark.conf.get(name, None) is None
+    settings(name, "3")
+    run_reservation_batch(spark, f"{path}/raw", f"{path}/layers", DAY)
+    slots = spark.sparkContext.defaultParallelism
+    assert seen == [str(files.TASKS_PER_SLOT * slots), "3"] and spark.conf.get(name) == "3"
