@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import raw_frame
-from checks import queries
+from checks import domain, queries
 from nightfolio.operators.ingest import to_bronze, to_events
 from nightfolio.operators.quality import with_reason
 from nightfolio.operators.refine import split
@@ -157,3 +157,16 @@ def test_the_batch_scans_with_several_tasks_a_slot(spark, tmp_path, settings, mo
     run_reservation_batch(spark, f"{path}/raw", f"{path}/layers", DAY)
     slots = spark.sparkContext.defaultParallelism
     assert seen == [str(files.TASKS_PER_SLOT * slots), "3"] and spark.conf.get(name) == "3"
+
+
+def test_the_raw_table_is_written_by_several_tasks_a_slot(spark, tmp_path, monkeypatch):
+    seen, name = [], "spark.sql.files.minPartitionNum"
+    monkeypatch.setattr(domain, "scratch_path", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(domain, "_written", {})
+    monkeypatch.setattr(domain, "table", lambda *given: reservations(spark, 3))
+    monkeypatch.setattr(
+        domain, "_reservations_of", lambda lines: seen.append(spark.conf.get(name, None)) or lines
+    )
+    assert domain.raw_reservations(spark, "").count() == 2000
+    assert seen == [str(files.TASKS_PER_SLOT * spark.sparkContext.defaultParallelism)]
+    assert spark.conf.get(name, None) is None
