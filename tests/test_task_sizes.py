@@ -170,3 +170,13 @@ def test_the_raw_table_is_written_by_several_tasks_a_slot(spark, tmp_path, monke
     assert domain.raw_reservations(spark, "").count() == 2000
     assert seen == [str(files.TASKS_PER_SLOT * spark.sparkContext.defaultParallelism)]
     assert spark.conf.get(name, None) is None
+
+
+def test_text_is_checked_and_typed_once_for_both_loads(spark, tmp_path, monkeypatch):
+    scratch(monkeypatch, tmp_path, reservations(spark, 3))
+    silvers, typing = [], queries._silver
+    monkeypatch.setattr(queries, "_silver", lambda *given: silvers.append(1) or typing(*given))
+    queries.truncate_stage(spark, "").collect()
+    assert len(silvers) == 1 and files_below(tmp_path / "silver", ".parquet")
+    for gold in queries._two_loads(spark, ""):
+        assert all("/silver/" in file for file in gold.inputFiles()) and gold.inputFiles()
