@@ -75,6 +75,29 @@ def test_a_large_refresh_has_compressed_raw_files(spark, tmp_path, monkeypatch):
     assert found == counted(gold, "gold_ingestion_ts") and len(found) > 200
 
 
+@pytest.mark.parametrize("cluster", [False, True])
+def test_gold_in_turns_is_the_same(spark, tmp_path, monkeypatch, cluster):
+    files.write_reservations_csv(stays(spark), f"{tmp_path}/raw", DAY)
+    found, ranges, to_gold = {}, [], reservation_batch.to_gold
+    monkeypatch.setattr(
+        reservation_batch, "to_gold", lambda *given: ranges.append(given[2:4]) or to_gold(*given)
+    )
+    for rows in (300, 100):
+        ranges.clear()
+        monkeypatch.setattr(turns, "GOLD_ROWS", rows)
+        monkeypatch.setattr(turns, "DEALT_ROWS", rows)
+        path = f"{tmp_path}/{rows}"
+        counts = run_reservation_batch(spark, f"{tmp_path}/raw", path, DAY, money="decimal", cluster_silver=cluster)
+        gold = read_layer_of(spark, path, "gold")
+        assert gold.select("gold_ingestion_ts").distinct().count() == 1
+        split_rows = [
+            counted(read_layer_of(spark, path, layer), "bronze_ingestion_ts", "silver_ingestion_ts")
+            for layer in ("silver", "rejected")
+        ]
+        found[rows] = counts, counted(gold, "gold_ingestion_ts"), split_rows
+    assert len(ranges) == 3 and found[100] == found[300] and found[300][0].gold > 200
+
+
 def test_refreshed_gold_in_turns_is_the_same(spark, tmp_path, monkeypatch):
     raw, ranges, to_gold = stays(spark), [], incremental_batch.to_gold
     monkeypatch.setattr(turns, "GOLD_ROWS", 100)
@@ -93,6 +116,15 @@ def test_refreshed_gold_in_turns_is_the_same(spark, tmp_path, monkeypatch):
     assert len(found) > 200
 
 
+def test_what_a_batch_shuffles_goes(spark, tmp_path):
+    before = shuffle_files(spark)
+    files.write_reservations_csv(stays(spark), f"{tmp_path}/raw", DAY)
+    run_reservation_batch(spark, f"{tmp_path}/raw", f"{tmp_path}/layers", DAY, cluster_silver=True)
+    run_incremental_batch(spark, f"{tmp_path}/raw", f"{tmp_path}/refreshed", DAY)
+    assert not left_over(spark, before)
+    assert spark.conf.get(CLEANUP, None) is None
+
+
 def test_layers_are_compressed_unless_the_session_says_how(spark, tmp_path):
     name = "spark.sql.parquet.compression.codec"
     files.write_parquet(stays(spark), f"{tmp_path}/own")
