@@ -116,6 +116,33 @@ def test_refreshed_gold_in_turns_is_the_same(spark, tmp_path, monkeypatch):
     assert len(found) > 200
 
 
+def test_rows_are_dealt_out_in_turns(spark, tmp_path, monkeypatch):
+    stays(spark).write.parquet(f"{tmp_path}/raw")
+    rows = split(with_reason(to_bronze(spark.read.schema(RAW).parquet(f"{tmp_path}/raw"), DAY, datetime(2026, 5, 11))), datetime(2026, 5, 11))
+    starts = [date(2026, 2, 1), date(2026, 3, 2), date(2026, 3, 2), date(2026, 5, 1)]
+    found, sizes, in_turns = [], [], layers._in_turns
+
+    def watched(*given):
+        for part in in_turns(*given):
+            sizes.append(part.count())
+            yield part
+
+    monkeypatch.setattr(layers, "_in_turns", watched)
+    for given in ((), starts):
+        path = f"{tmp_path}/layers-{len(given)}"
+        with NewVersion(spark, path) as version:
+            silver, _ = layers.write_split(rows, version, ["arrival_date"], starts=given)
+            version.commit()
+            assert not os.path.exists(version.directory("turns"))
+        found.append([counted(read_layer_of(spark, path, layer)) for layer in ("silver", "rejected")])
+    assert found[0] == found[1] and len(sizes) == 5 and sum(sizes) == 300 and max(sizes) < 100
+    of_file = files.read_layer(spark, silver).groupBy(F.input_file_name()).agg(
+        F.min("arrival_date"), F.max("arrival_date")
+    )
+    for _, low, high in of_file.collect():
+        assert low is None or not any(low < start < high for start in starts)
+
+
 def test_what_a_batch_shuffles_goes(spark, tmp_path):
     before = shuffle_files(spark)
     files.write_reservations_csv(stays(spark), f"{tmp_path}/raw", DAY)
